@@ -354,3 +354,299 @@ def q_null_time_quarantine(spark, sf_dir):
     d = D.require_event_time(d, "ts", "quarantine")
     _, rej = D.split_valid(d)
     return rej.select("partition", "offset", D.REASON)
+
+
+# --------------------------------------------------------------------------
+# Filters and routing
+# --------------------------------------------------------------------------
+
+from .operators import filters as FL  # noqa: E402
+from .operators import latest as LW  # noqa: E402
+from .operators import topn as TN  # noqa: E402
+from .sources import bus as B  # noqa: E402
+
+_TOPIC_SQL = """CASE WHEN event_id % 5 = 0 THEN 'temperature_averages'
+     WHEN event_id % 13 = 0 THEN 'unknown_topic' ELSE 'iot_sensor_data' END"""
+
+
+@register("route_topics", f"""
+SELECT CASE {_TOPIC_SQL} WHEN 'iot_sensor_data' THEN 'readings'
+            WHEN 'temperature_averages' THEN 'averages' ELSE 'rejected' END AS route,
+       COUNT(*) AS n
+FROM events GROUP BY 1""")
+def q_route_topics(spark, sf_dir):
+    """Records per handler when one reader serves two topics (+ unknown)."""
+    env = X.messages(X.events(spark, sf_dir), two_topics=True)
+    tagged = FL.route(env, {"iot_sensor_data": "readings", "temperature_averages": "averages"})
+    return tagged.groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("start_from_ts", f"""
+SELECT 'iot_sensor_data' AS topic, event_id % 3 AS partition, event_id // 3 AS "offset", {_CAD_TS_SQL} AS "timestamp"
+FROM events
+WHERE ({_TOPIC_SQL}) = 'iot_sensor_data' AND {_CAD_TS_SQL} >= TIMESTAMP '2024-01-01 00:10:00'""")
+def q_start_from_ts(spark, sf_dir):
+    """Read one topic of a multi-topic bus from a start time on."""
+    env = X.messages(X.events(spark, sf_dir), two_topics=True)
+    out = B.select_envelope(env, ["iot_sensor_data"], start="2024-01-01T00:10:00")
+    return _ntz(out.select("topic", "partition", "offset", "timestamp"), "timestamp")
+
+
+@register("time_range", f"""
+WITH r AS ({NATURAL_SQL})
+SELECT device_id, ts, temperature FROM r
+WHERE ts >= TIMESTAMP '2024-01-03 00:00:00' AND ts < TIMESTAMP '2024-01-05 00:00:00'""")
+def q_time_range(spark, sf_dir):
+    """readings inside a dashboard time range (pushed to the scan)."""
+    r = X.natural_readings(X.events(spark, sf_dir))
+    out = FL.time_range(r, "ts", "2024-01-03 00:00:00", "2024-01-05 00:00:00")
+    return _ntz(out.select("device_id", "ts", "temperature"), "ts")
+
+
+_METRIC_BASE_SQL = f"""
+SELECT 'device-' || CAST(event_id % 10 + 1 AS VARCHAR) AS pod,
+       CASE WHEN event_id % 10 + 1 <= 8 THEN 'iot-pipeline' ELSE 'default' END AS namespace,
+       CASE (event_id % 10 + 1) % 3 WHEN 1 THEN 'sensor' WHEN 2 THEN 'POD' ELSE '' END AS container,
+       {_CAD_TS_SQL} AS ts, event_id, value AS gauge, CAST((event_id // 10) % 50 AS DOUBLE) AS counter
+FROM events"""
+
+_LABELS = ["namespace", "pod", "container"]
+
+
+def _metric(spark, sf_dir, name: str) -> DataFrame:
+    m = X.metrics(X.events(spark, sf_dir)).filter(F.col("metric") == name)
+    return FL.with_labels(m, _LABELS)
+
+
+@register("match_labels", f"""
+WITH m AS ({_METRIC_BASE_SQL})
+SELECT pod, container, ts, gauge AS value FROM m
+WHERE namespace = 'iot-pipeline' AND container <> 'POD' AND container <> ''""")
+def q_match_labels(spark, sf_dir):
+    """``sensor_temperature{namespace="iot-pipeline", container!="POD", container!=""}``."""
+    m = X.metrics(X.events(spark, sf_dir)).filter(F.col("metric") == X.GAUGE_METRIC)
+    sel = FL.match_labels(m, eq={"namespace": "iot-pipeline"}, ne={"container": "POD"})
+    sel = FL.match_labels(sel, ne={"container": ""})
+    return _ntz(sel.select(FL.label("pod").alias("pod"), FL.label("container").alias("container"),
+                           "ts", "value"), "ts")
+
+
+# --------------------------------------------------------------------------
+# Metric series
+# --------------------------------------------------------------------------
+
+from .operators import timeseries as TS  # noqa: E402
+
+_STEP_SQL = "make_timestamp(((epoch_us(ts) // 1000 - 1) // 60000 + 1) * 60000 * 1000)"
+
+
+@register("counter_rate_5m", f"""
+WITH m AS ({_METRIC_BASE_SQL}),
+i AS (SELECT namespace, pod, container, ts, counter AS value,
+             lag(counter) OVER (PARTITION BY namespace, pod, container ORDER BY ts, counter) AS p FROM m),
+j AS (SELECT *, CASE WHEN p IS NULL THEN 0.0 WHEN value >= p THEN value - p ELSE value END AS inc,
+             epoch_us(ts) // 1000 AS ms FROM i)
+SELECT namespace, pod, container, ts, value,
+       SUM(inc) OVER (PARTITION BY namespace, pod, container ORDER BY ms
+                      RANGE BETWEEN 299999 PRECEDING AND CURRENT ROW) / 300.0 AS rate
+FROM j""")
+def q_counter_rate_5m(spark, sf_dir):
+    """``rate(sensor_readings_total[5m])`` at every sample of every series."""
+    c = _metric(spark, sf_dir, X.COUNTER_METRIC)
+    r = TS.counter_rate(c, _LABELS, "ts", "value", "5 minutes", bucket="10 minutes")
+    return _ntz(r.select(*_LABELS, "ts", "value", "rate"), "ts")
+
+
+@register("gauge_at", f"""
+WITH m AS ({_METRIC_BASE_SQL}),
+f AS (SELECT * FROM m WHERE ts <= TIMESTAMP '2024-01-01 00:20:00' AND ts > TIMESTAMP '2024-01-01 00:15:00'),
+r AS (SELECT *, row_number() OVER (PARTITION BY namespace, pod, container ORDER BY ts DESC, gauge DESC) AS rn FROM f)
+SELECT namespace, pod, container, ts, gauge AS value FROM r WHERE rn = 1""")
+def q_gauge_at(spark, sf_dir):
+    """Instant value of every gauge series at 00:20 (5-minute look-back)."""
+    g = _metric(spark, sf_dir, X.GAUGE_METRIC)
+    return _ntz(TS.gauge_at(g, _LABELS, "2024-01-01 00:20:00", "ts", "value", "5 minutes"), "ts")
+
+
+@register("sum_by_label", f"""
+WITH m AS ({_METRIC_BASE_SQL}),
+s AS (SELECT *, {_STEP_SQL} AS step_ts FROM m WHERE namespace = 'iot-pipeline'),
+r AS (SELECT *, row_number() OVER (PARTITION BY namespace, pod, container, step_ts
+                                    ORDER BY ts DESC, gauge DESC) AS rn FROM s)
+SELECT container, step_ts, CAST(SUM(CAST(gauge AS DECIMAL(18,2))) AS DOUBLE) AS value
+FROM r WHERE rn = 1 GROUP BY container, step_ts""")
+def q_sum_by_label(spark, sf_dir):
+    """``sum(sensor_temperature{namespace="iot-pipeline"}) by (container)``
+    at every 1-minute step."""
+    g = FL.match_labels(_metric(spark, sf_dir, X.GAUGE_METRIC), eq={"namespace": "iot-pipeline"})
+    out = TS.sum_by(g, "container", _LABELS, "1 minute", exact_scale=2)
+    return _ntz(out, "step_ts")
+
+
+@register("sum_rate_by_label", f"""
+WITH m AS ({_METRIC_BASE_SQL}),
+i AS (SELECT namespace, pod, container, ts, counter AS value,
+             lag(counter) OVER (PARTITION BY namespace, pod, container ORDER BY ts, counter) AS p FROM m),
+j AS (SELECT *, CASE WHEN p IS NULL THEN 0.0 WHEN value >= p THEN value - p ELSE value END AS inc,
+             epoch_us(ts) // 1000 AS ms FROM i),
+k AS (SELECT *, SUM(inc) OVER (PARTITION BY namespace, pod, container ORDER BY ms
+                      RANGE BETWEEN 299999 PRECEDING AND CURRENT ROW) / 300.0 AS rate FROM j),
+s AS (SELECT *, {_STEP_SQL} AS step_ts FROM k),
+r AS (SELECT *, row_number() OVER (PARTITION BY namespace, pod, container, step_ts
+                                    ORDER BY ts DESC, rate DESC) AS rn FROM s)
+SELECT pod, step_ts, SUM(rate) AS rate FROM r WHERE rn = 1 GROUP BY pod, step_ts""")
+def q_sum_rate_by_label(spark, sf_dir):
+    """``sum(rate(sensor_readings_total[5m])) by (pod)`` per 1-minute step."""
+    c = _metric(spark, sf_dir, X.COUNTER_METRIC)
+    r = TS.counter_rate(c, _LABELS, "ts", "value", "5 minutes", bucket="10 minutes")
+    return _ntz(TS.sum_by(r, "pod", _LABELS, "1 minute", value="rate", out="rate"), "step_ts")
+
+
+# --------------------------------------------------------------------------
+# L1, L2: newest-n and head
+# --------------------------------------------------------------------------
+
+@register("latest_n", f"""
+WITH r AS ({NATURAL_SQL}),
+k AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY ts DESC) AS rn FROM r)
+SELECT device_id, ts, temperature, status FROM k WHERE rn <= 3""")
+def q_latest_n(spark, sf_dir):
+    """L1 (all keys): newest 3 readings of every device."""
+    r = X.natural_readings(X.events(spark, sf_dir))
+    return _ntz(TN.latest_n(r, "device_id", "ts", 3).select("device_id", "ts", "temperature", "status"), "ts")
+
+
+@register("latest_n_device", f"""
+WITH r AS ({CADENCE_SQL})
+SELECT device_id, ts, temperature, humidity, status FROM r WHERE device_id = 'device-1'
+ORDER BY ts DESC LIMIT 100""")
+def q_latest_n_device(spark, sf_dir):
+    """L1 (one key): ``WHERE device_id = 'device-1' ORDER BY ts DESC LIMIT 100``."""
+    r = FL.key_equals(X.cadence_readings(X.events(spark, sf_dir)), "device_id", "device-1")
+    return _ntz(TN.latest_n(r, None, "ts", 100), "ts")
+
+
+@register("head_n", f"""
+SELECT 'iot_sensor_data' AS topic, event_id % 3 AS partition, event_id // 3 AS "offset" FROM events
+WHERE ({_TOPIC_SQL}) = 'iot_sensor_data'
+ORDER BY partition, "offset" LIMIT 10""")
+def q_head_n(spark, sf_dir):
+    """L2: first 10 messages of a topic (in bus order)."""
+    env = B.select_envelope(X.messages(X.events(spark, sf_dir), two_topics=True), "iot_sensor_data")
+    return TN.head(env.select("topic", "partition", "offset"), 10, ["partition", "offset"])
+
+
+# --------------------------------------------------------------------------
+# Keyed tables and quarantine
+# --------------------------------------------------------------------------
+
+from .session import scratch_path  # noqa: E402
+from .sources import tables as TB  # noqa: E402
+
+_COLLIDING_LATEST_SQL = f"""
+WITH r AS ({CADENCE_SQL}),
+c AS (SELECT event_id, device_id, date_trunc('minute', ts) AS ts, temperature, humidity, status FROM r),
+k AS (SELECT *, row_number() OVER (PARTITION BY device_id, ts ORDER BY event_id DESC) AS rn FROM c)
+SELECT event_id, device_id, ts, temperature, humidity, status FROM k WHERE rn = 1"""
+
+
+@register("upsert_latest", _COLLIDING_LATEST_SQL)
+def q_upsert_latest(spark, sf_dir):
+    """K2 (operator): last write wins per (device, minute); order = event_id."""
+    c = X.colliding_readings(X.events(spark, sf_dir))
+    return _ntz(LW.latest_wins(c, ["device_id", "ts"], "event_id"), "ts")
+
+
+def _write_colliding_table(spark, sf_dir, batches: int = 3) -> str:
+    """The colliding fixture written as ``batches`` log batches (by event_id
+    range, so later writes carry later versions)."""
+    c = X.colliding_readings(X.events(spark, sf_dir))
+    path = scratch_path(spark, "table", "colliding")
+    TB.create_table_if_absent(spark, path, c.schema, ["device_id", "ts"], ["event_id"])
+    bounds = c.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    lo, hi = int(bounds["lo"]), int(bounds["hi"])
+    width = (hi - lo) // batches + 1
+    for i in range(batches):
+        part = c.filter((F.col("event_id") >= lo + i * width) & (F.col("event_id") < lo + (i + 1) * width))
+        TB.upsert_table(part, path, i)
+    return path
+
+
+@register("read_latest_table", _COLLIDING_LATEST_SQL)
+def q_read_latest_table(spark, sf_dir):
+    """Write the fixture as a keyed table (3 batches), read the latest view."""
+    path = _write_colliding_table(spark, sf_dir)
+    return _ntz(TB.read_table(spark, path), "ts")
+
+
+@register("device_filter", f"""
+WITH t AS ({_COLLIDING_LATEST_SQL}) SELECT * FROM t WHERE device_id = 'device-3'""")
+def q_device_filter(spark, sf_dir):
+    """``WHERE device_id = 'device-3'`` on a keyed table (pushed below the
+    latest-wins aggregate into the scan)."""
+    path = _write_colliding_table(spark, sf_dir)
+    return _ntz(FL.key_equals(TB.read_table(spark, path), "device_id", "device-3"), "ts")
+
+
+def _json_sql(with_ts: str | None, temp: str | None) -> str:
+    parts = [f"""'{{"device_id":"' || {_CAD_DEV_SQL} || '"'"""]
+    if with_ts is not None:
+        parts.append(f"""',"timestamp":"' || {with_ts} || '"'""")
+    if temp is not None:
+        parts.append(f"""',"temperature":' || {temp}""")
+    parts.append(f"""',"humidity":' || CAST({_HUM_SQL} AS VARCHAR)""")
+    parts.append(f"""',"status":"' || {_STATUS_SQL} || '"}}'""")
+    return " || ".join(parts)
+
+
+_RAW_SQL = f"""CASE WHEN event_id % 97 = 0 THEN 'not json'
+  WHEN event_id % 101 = 0 THEN {_json_sql(None, 'CAST(value AS VARCHAR)')}
+  WHEN event_id % 103 = 0 THEN {_json_sql(_ISO.format(t=_CAD_TS_SQL), 'CAST(value AS VARCHAR)')}
+  WHEN event_id % 107 = 0 THEN {_json_sql(_SQLMS.format(t=_CAD_TS_SQL), None)} END"""
+
+
+@register("quarantine_rows", f"""
+SELECT 'iot_sensor_data' AS topic, event_id % 3 AS partition, event_id // 3 AS "offset",
+       {_REASON_SQL} AS reject_reason, {_RAW_SQL} AS raw
+FROM events WHERE ({_REASON_SQL}) IS NOT NULL""")
+def q_quarantine_rows(spark, sf_dir):
+    """K6: rejected messages with position, reason and the raw text."""
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    _, rej = D.split_valid(D.decode_readings(env))
+    return rej.select("topic", "partition", "offset", D.REASON, "raw")
+
+
+# --------------------------------------------------------------------------
+# Q1, X1
+# --------------------------------------------------------------------------
+
+from .operators.anomalies import anomalies  # noqa: E402
+from .plans.sql import run_sql, tumbling_avg_sql  # noqa: E402
+from .sources.catalog import declare_stream  # noqa: E402
+
+
+@register("sql_tumbling_avg", ORACLE["tumbling_avg_1m"])
+def q_sql_tumbling_avg(spark, sf_dir):
+    """Q1: the tumbling average as SQL text over a declared source."""
+    r = X.cadence_readings(X.events(spark, sf_dir))
+    declare_stream(spark, "iot_sensor_data_q1", r, "ts", watermark="5 seconds")
+    out = run_sql(spark, tumbling_avg_sql("iot_sensor_data_q1", "ts", "1 minute"))
+    return _ntz(out, "window_start", "window_end")
+
+
+@register("anomalies", f"""
+WITH r AS ({CADENCE_SQL}),
+w AS (SELECT device_id, {_bucket('ts', MIN_US)} AS window_start, {_bucket('ts', MIN_US, True)} AS window_end,
+             {_exact_mean_sql('temperature')} AS avg_temp FROM r GROUP BY 1, 2, 3),
+a AS (SELECT *, COUNT(avg_temp) OVER x AS prev_n, ROUND(AVG(avg_temp) OVER x, 6) AS prev_mean,
+             ROUND(STDDEV_SAMP(avg_temp) OVER x, 6) AS prev_std
+      FROM w WINDOW x AS (PARTITION BY device_id ORDER BY window_start ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))
+SELECT device_id, window_start, window_end, avg_temp, prev_n, prev_mean, prev_std,
+       COALESCE(CASE WHEN prev_n < 3 THEN FALSE WHEN prev_std = 0 THEN avg_temp <> prev_mean
+                     ELSE ABS(avg_temp - prev_mean) > 3.0 * prev_std END, FALSE) AS is_anomaly
+FROM a""")
+def q_anomalies(spark, sf_dir):
+    """Windows whose mean leaves mean +- 3 sd of the previous 12 windows."""
+    r = X.cadence_readings(X.events(spark, sf_dir))
+    w = A.tumbling_avg(r, "device_id", "ts", "1 minute")
+    return _ntz(anomalies(w, "device_id", "window_start", "avg_temp", 12, 3.0), "window_start", "window_end")
