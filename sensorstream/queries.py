@@ -650,3 +650,112 @@ def q_anomalies(spark, sf_dir):
     r = X.cadence_readings(X.events(spark, sf_dir))
     w = A.tumbling_avg(r, "device_id", "ts", "1 minute")
     return _ntz(anomalies(w, "device_id", "window_start", "avg_temp", 12, 3.0), "window_start", "window_end")
+
+
+# --------------------------------------------------------------------------
+# Streams (S1, S4, S5, W1-W7, K1-K5): incremental availableNow runs over a
+# replayed bus, three time slices, state carried by the checkpoint.
+# --------------------------------------------------------------------------
+
+from .plans import jobs as J  # noqa: E402
+from .sources.replay import replay_slices  # noqa: E402
+
+
+def _await(q) -> None:
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def _replay_run(spark, env: DataFrame, name: str, build, slices: int = 3) -> str:
+    """Write ``env`` as ``slices`` time-ordered file drops; after each drop run
+    ``build(stream, base, checkpoint)`` to completion.  Returns the base path."""
+    base = scratch_path(spark, "stream", name)
+    src, ck = f"{base}/bus", f"{base}/checkpoint"
+
+    def step(_i):
+        stream = B.read_bus(spark, None, "parquet", src, streaming=True)
+        _await(build(stream, base, ck))
+
+    replay_slices(env, src, slices, after_each=step)
+    return base
+
+
+@register("stream_tumbling_avg_1m", ORACLE["tumbling_avg_1m"])
+def q_stream_tumbling_avg_1m(spark, sf_dir):
+    """Bus -> decode -> watermark 5 s -> 1-minute average -> keyed
+    table (update mode), run incrementally; the table equals the batch result."""
+    env = X.messages(X.events(spark, sf_dir))
+    base = _replay_run(spark, env, "avg1m",
+                       lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "1 minute", "5 seconds"))
+    out = TB.read_table(spark, f"{base}/avg")
+    return _ntz(out.select("device_id", "window_start", "window_end", "avg_temp"), "window_start", "window_end")
+
+
+@register("stream_mean_5m", ORACLE["tumbling_mean_5m"])
+def q_stream_mean_5m(spark, sf_dir):
+    """In-order variant (watermark 0 s), 5-minute (max ts, sum, count)."""
+    env = X.messages(X.events(spark, sf_dir))
+    base = _replay_run(spark, env, "mean5m",
+                       lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "5 minutes", "0 seconds",
+                                                            parts=True))
+    out = TB.read_table(spark, f"{base}/avg")
+    return _ntz(out.select("device_id", "window_start", "window_end", "last_event_ts", "sum_temp", "n",
+                           "avg_temp"), "window_start", "window_end", "last_event_ts")
+
+
+@register("stream_raw_table", f"""
+WITH r AS ({CADENCE_SQL})
+SELECT device_id, ts, temperature, humidity, status, event_id // 3 AS bus_offset
+FROM r WHERE ({_REASON_SQL}) IS NULL""")
+def q_stream_raw_table(spark, sf_dir):
+    """Decoded readings stored in a keyed raw table by a stream."""
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    base = _replay_run(spark, env, "raw",
+                       lambda s, b, ck: J.readings_to_tables(s, f"{b}/raw", f"{b}/rejects", ck))
+    return _ntz(TB.read_table(spark, f"{base}/raw"), "ts")
+
+
+@register("stream_quarantine", ORACLE["quarantine_rows"])
+def q_stream_quarantine(spark, sf_dir):
+    """K6: the same stream's rejects, written per micro-batch."""
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    base = _replay_run(spark, env, "rejects",
+                       lambda s, b, ck: J.readings_to_tables(s, f"{b}/raw", f"{b}/rejects", ck))
+    rej = spark.read.parquet(f"{base}/rejects")
+    return rej.select("topic", "partition", "offset", D.REASON, "raw")
+
+
+@register("stream_route", f"""
+WITH a AS (
+  SELECT {_CAD_DEV_SQL} AS device_id, date_trunc('minute', {_CAD_TS_SQL}) AS window_start,
+         date_trunc('minute', {_CAD_TS_SQL}) + INTERVAL 1 MINUTE AS window_end,
+         value AS avg_temperature, event_id // 3 AS bus_offset, event_id
+  FROM events WHERE event_id % 5 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY device_id, window_start ORDER BY event_id DESC) AS rn FROM a)
+SELECT device_id, window_start, window_end, avg_temperature, bus_offset FROM k WHERE rn = 1""")
+def q_stream_route(spark, sf_dir):
+    """One stream over two topics, routed per micro-batch; this is
+    the averages table it keeps (last write wins per device and window)."""
+    env = X.messages(X.events(spark, sf_dir), two_topics=True)
+    base = _replay_run(spark, env, "route",
+                       lambda s, b, ck: J.route_topics_to_tables(s, f"{b}/raw", f"{b}/avg", f"{b}/rejects", ck))
+    return _ntz(TB.read_table(spark, f"{base}/avg"), "window_start", "window_end")
+
+
+@register("stream_route_counts", f"""
+SELECT CASE {_TOPIC_SQL} WHEN 'iot_sensor_data' THEN 'raw' WHEN 'temperature_averages' THEN 'averages_messages'
+            ELSE 'rejects' END AS target, COUNT(*) AS n
+FROM events GROUP BY 1""")
+def q_stream_route_counts(spark, sf_dir):
+    """Rows stored per route by the routed stream (raw readings, all
+    average messages incl. superseded versions, rejected unknown topics)."""
+    env = X.messages(X.events(spark, sf_dir), two_topics=True)
+    base = _replay_run(spark, env, "route_counts",
+                       lambda s, b, ck: J.route_topics_to_tables(s, f"{b}/raw", f"{b}/avg", f"{b}/rejects", ck))
+    raw = TB.read_table(spark, f"{base}/raw").agg(F.count(F.lit(1)).alias("n")).withColumn("target", F.lit("raw"))
+    avg = TB.table_versions(spark, f"{base}/avg").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("target", F.lit("averages_messages"))
+    rej = spark.read.parquet(f"{base}/rejects").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("target", F.lit("rejects"))
+    return raw.unionByName(avg).unionByName(rej).select("target", "n")
