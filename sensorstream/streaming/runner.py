@@ -60,7 +60,10 @@ def progress_dicts(q: StreamingQuery) -> list[dict]:
     """``recentProgress`` as plain dicts."""
     out = []
     for p in q.recentProgress:
-        out.append(json.loads(p.json) if hasattr(p, "json") and not isinstance(p, dict) else dict(p))
+        j = getattr(p, "json", None)
+        if callable(j):
+            j = j()
+        out.append(json.loads(j) if isinstance(j, str) else dict(p))
     return out
 
 
@@ -89,6 +92,7 @@ def progress_metrics(spark: SparkSession, query_name: str, progress: list[dict])
                      float(sum(int(op.get("numRowsDroppedByWatermark", 0))
                                for op in p.get("stateOperators", [])))))
         for obs, vals in (p.get("observedMetrics") or {}).items():
+            vals = vals.asDict() if hasattr(vals, "asDict") else dict(vals)
             for k, v in vals.items():
                 if isinstance(v, (int, float)):
                     rows.append((f"observed_{obs}_{k}", labels, ts, float(v)))
