@@ -34,8 +34,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least as many partitions as the cluster has cores.
+
+    Parquet splits by row group; a small table written as one row group
+    arrives as one partition and would run every per-row stage (JSON build
+    and parse, window assignment) in a single task.  Only then is it spread
+    round-robin.  A large multi-file input already has far more partitions than
+    cores and passes through unchanged: no shuffle is added at scale.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events")
+    return spread(table(spark, sf_dir, "events"))
 
 
 def _status() -> Column:

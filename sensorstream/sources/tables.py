@@ -95,15 +95,16 @@ def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def upsert_table(df: DataFrame, path: str, batch_id: int, keys=None, order=None,
-                 target_rows_per_file: int = 1_000_000) -> None:
+                 target_rows_per_file: int = 1_000_000, manifest: Manifest | None = None) -> Manifest:
     """K2 write side: append batch ``batch_id`` to the table's log.
 
     Safe to repeat for the same ``batch_id`` (the folder is replaced).  The
     table is created from ``df``'s schema on first use.  Extra columns
-    ``partition_by`` from the manifest (e.g. a day) let readers prune.
+    ``partition_by`` from the manifest (e.g. a day) let readers prune.  A
+    caller writing many batches passes the returned manifest back in.
     """
     spark = df.sparkSession
-    m = read_manifest(spark, path)
+    m = manifest or read_manifest(spark, path)
     if m is None:
         if keys is None:
             raise ValueError(f"table {path} does not exist and no keys were given")
@@ -116,6 +117,7 @@ def upsert_table(df: DataFrame, path: str, batch_id: int, keys=None, order=None,
         .option("maxRecordsPerFile", target_rows_per_file)
         .partitionBy(BATCH, *m.partition_by)
         .parquet(f"{path}/log"))
+    return m
 
 
 def _log(spark: SparkSession, path: str, m: Manifest) -> DataFrame:

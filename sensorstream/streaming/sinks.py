@@ -21,8 +21,12 @@ BatchFn = Callable[[DataFrame, int], None]
 
 def upsert_sink(path: str, keys=None, order=None) -> BatchFn:
     """K2/K4: each micro-batch becomes ``log/batch_id=<id>`` of a keyed table."""
+    state = {}
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(batch, path, batch_id, keys, order)
+        # The schema and keys do not change while a query runs: read the
+        # manifest once per sink, not once per micro-batch.
+        state["m"] = upsert_table(batch, path, batch_id, keys, order, manifest=state.get("m"))
     return write
 
 
