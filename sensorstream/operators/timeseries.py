@@ -17,8 +17,9 @@ Scale: a plain ``Window.partitionBy(series)`` would sort all samples of a
 series in one task; a series holding a third of all samples would then be a
 third of the job in one task.  ``counter_rate`` instead partitions by
 ``(series, time bucket)``.  The previous sample of a bucket's first row comes
-from a per-bucket summary (one row per series and bucket), and the range sum
-sees the previous bucket's last ``range`` of samples through a halo copy.
+from a per-bucket summary (one row per series and bucket, unioned in as a
+marker row), and the range sum sees the previous bucket's last ``range`` of
+samples through a halo copy.
 Parallelism is series x buckets; the duplicated halo is ``range / bucket`` of
 the input.
 """
@@ -45,22 +46,31 @@ def _cols(c) -> list[str]:
 def counter_increments(df: DataFrame, series, ts: str = "ts", value: str = "value",
                        bucket: str = "1 hour", out: str = "increase") -> DataFrame:
     """Per-sample counter increase (reset-aware), partitioned by series and
-    time bucket.  Adds ``_ms`` (epoch ms) and ``_b`` (bucket) columns."""
+    time bucket.  Adds ``_ms`` (epoch ms) and ``_b`` (bucket) columns.
+
+    The first sample of a bucket needs the last sample of the previous
+    non-empty bucket.  That value comes from a per-(series, bucket) summary
+    and is *unioned* into the next bucket as a marker row that sorts first, so
+    the same ``lag`` that serves every other row also serves it: no join, no
+    broadcast of a table that grows with series x buckets.
+    """
     s = _cols(series)
     b_ms = interval_ms(bucket)
     e = (df.withColumn("_ms", F.unix_millis(F.col(ts)))
-           .withColumn("_b", F.floor(F.col("_ms") / F.lit(b_ms))))
-    # Last sample of every (series, bucket), then the previous non-empty
-    # bucket's last value: a table of series x buckets rows.
+           .withColumn("_b", F.floor(F.col("_ms") / F.lit(b_ms)))
+           .withColumn("_carry", F.lit(False)))
     last = e.groupBy(*s, "_b").agg(F.max_by(F.col(value), F.struct("_ms", value)).alias("_last"))
-    prev = (last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*s).orderBy("_b")))
-                .select(*s, "_b", "_carry"))
-    w = Window.partitionBy(*s, "_b").orderBy("_ms", value)
-    j = e.join(prev, on=[*s, "_b"], how="left")
-    p = F.coalesce(F.lag(value).over(w), F.col("_carry"))
+    carry = (last.withColumn("_next", F.lead("_b").over(Window.partitionBy(*s).orderBy("_b")))
+                 .filter(F.col("_next").isNotNull())
+                 .select(*s, F.col("_next").alias("_b"), F.col("_last").alias(value),
+                         F.lit(True).alias("_carry")))
+    both = e.unionByName(carry, allowMissingColumns=True)
+    w = Window.partitionBy(*s, "_b").orderBy(F.col("_ms").asc_nulls_first(), F.col(value))
+    p = F.lag(value).over(w)
     v = F.col(value)
     inc = F.when(p.isNull(), F.lit(0.0)).when(v >= p, v - p).otherwise(v)
-    return j.withColumn(out, inc.cast("double")).drop("_carry")
+    return (both.withColumn(out, inc.cast("double"))
+                .filter(~F.col("_carry")).drop("_carry"))
 
 
 def counter_rate(df: DataFrame, series, ts: str = "ts", value: str = "value",

@@ -8,6 +8,8 @@
 * ``route_topics_to_tables``  one reader over several topics, dispatched by
                               topic to per-topic decoders and tables; unknown
                               topics are quarantined.
+* ``averages_to_bus``         windows as JSON messages on an append-only topic
+                              (each window once, when the watermark closes it).
 
 All take a streaming envelope (``sources.bus.read_bus``) and a checkpoint
 path; run them with ``trigger="availableNow"`` for scheduled incremental
@@ -110,3 +112,21 @@ def route_topics_to_tables(envelope: DataFrame, raw_path: str, avg_path: str, re
          "averages": (decode_averages, S.upsert_sink(avg_path, AVG_KEYS, ["bus_offset"])),
          "rejected": (unknown, S.quarantine_sink(rejects_path))})
     return start_query(envelope, sink, "route_topics_to_tables", checkpoint, "append", trigger)
+
+
+def averages_to_bus(envelope: DataFrame, out_path: str, checkpoint: str, topic: str = "iot_windowed_data",
+                    width: str = "1 minute", delay: str = "5 seconds", trigger="availableNow",
+                    time_mode: str = "sql", format: str = "parquet",
+                    bootstrap: str | None = None) -> StreamingQuery:
+    """V2: valid readings -> watermark -> tumbling average -> JSON messages on
+    an append-only topic.  Each window is written once, when the watermark
+    passes its end (windows still open at the end of a run stay in state)."""
+    from ..sources.bus import encode_messages
+    from ..streaming.sinks import bus_sink
+
+    valid, _ = D.split_valid(decoded(envelope, time_mode))
+    agg = windowed_average(valid, "device_id", "ts", width, delay)
+    msgs = encode_messages(agg, ["device_id", "window_start", "window_end", "avg_temp"], topic,
+                           time_col="window_end")
+    writer = bus_sink(msgs, out_path, topic, format, bootstrap)
+    return start_query(msgs, None, "averages_to_bus", checkpoint, "append", trigger, writer=writer)

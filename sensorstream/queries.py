@@ -759,3 +759,34 @@ def q_stream_route_counts(spark, sf_dir):
     rej = spark.read.parquet(f"{base}/rejects").agg(F.count(F.lit(1)).alias("n")) \
         .withColumn("target", F.lit("rejects"))
     return raw.unionByName(avg).unionByName(rej).select("target", "n")
+
+
+@register("stream_averages_bus", f"""
+WITH r AS ({CADENCE_SQL}),
+w AS (SELECT device_id, {_bucket('ts', MIN_US)} AS window_start, {_bucket('ts', MIN_US, True)} AS window_end,
+             {_exact_mean_sql('temperature')} AS avg_temp FROM r GROUP BY 1, 2, 3)
+SELECT 'iot_windowed_data' AS topic, device_id, window_start, window_end, avg_temp FROM w
+WHERE window_end <= (SELECT max(ts) FROM r) - INTERVAL 5 SECOND""")
+def q_stream_averages_bus(spark, sf_dir):
+    """Windows appended once, when final, as JSON messages to a topic;
+    read back from the topic and decoded.  Windows not yet closed by the
+    watermark (end > max event time - 5 s) are still in state, by design."""
+    from .sources.bus import read_bus
+    env = X.messages(X.events(spark, sf_dir))
+    base = _replay_run(spark, env, "bus",
+                       lambda s, b, ck: J.averages_to_bus(s, f"{b}/topic", ck))
+    topic = read_bus(spark, "iot_windowed_data", "parquet", f"{base}/topic", streaming=False)
+    m = from_json_col(F.col("value").cast("string"),
+                      _parse_schema("device_id string, window_start string, window_end string, avg_temp double"))
+    out = topic.select("topic", m.alias("m")).select(
+        "topic", "m.device_id", parse_sql_ts("m.window_start").alias("window_start"),
+        parse_sql_ts("m.window_end").alias("window_end"), "m.avg_temp")
+    return _ntz(out, "window_start", "window_end")
+
+
+def _parse_schema(ddl: str):
+    from pyspark.sql.types import _parse_datatype_string
+    return _parse_datatype_string(ddl)
+
+
+from .functions.json import from_json_col  # noqa: E402
