@@ -124,6 +124,8 @@ def sum_by(df: DataFrame, by, series, step: str = "1 minute", ts: str = "ts",
     """``sum(x) by (label)`` evaluated at every step.  ``exact_scale``
     sums as a decimal of that scale (order-independent result)."""
     from ..functions.math import exact_sum
-    inst = at_steps(df, series, step, ts, value)
+    s = _cols(series)
+    s += [b for b in _cols(by) if b not in s]   # grouping labels identify the series too
+    inst = at_steps(df, s, step, ts, value)
     total = exact_sum(value, exact_scale) if exact_scale is not None else F.sum(value)
     return inst.groupBy(*_cols(by), "step_ts").agg(total.alias(out))

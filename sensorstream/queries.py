@@ -790,3 +790,38 @@ def _parse_schema(ddl: str):
 
 
 from .functions.json import from_json_col  # noqa: E402
+
+
+@register("stream_sql_tumbling_avg", ORACLE["tumbling_avg_1m"])
+def q_stream_sql_tumbling_avg(spark, sf_dir):
+    """S5/Q1 on a stream: the decoded bus declared as a view with event time
+    and a 5 s watermark, the average written as SQL text, run incrementally."""
+    from .streaming import sinks as S
+    from .streaming.runner import start_query
+
+    def build(stream, b, ck):
+        valid, _ = D.split_valid(J.decoded(stream))
+        declare_stream(spark, "iot_sensor_data_stream", valid, "ts", watermark="5 seconds")
+        agg = run_sql(spark, tumbling_avg_sql("iot_sensor_data_stream", "ts", "1 minute"))
+        return start_query(agg, S.upsert_sink(f"{b}/avg", J.AVG_KEYS), "sql_avg", ck, "update")
+
+    env = X.messages(X.events(spark, sf_dir))
+    base = _replay_run(spark, env, "sqlavg", build)
+    return _ntz(TB.read_table(spark, f"{base}/avg"), "window_start", "window_end")
+
+
+@register("compacted_table", _COLLIDING_LATEST_SQL)
+def q_compacted_table(spark, sf_dir):
+    """K7: a keyed table compacted after two of its three batches (snapshot +
+    live log) reads the same as the uncompacted latest view."""
+    c = X.colliding_readings(X.events(spark, sf_dir))
+    path = scratch_path(spark, "table", "compacted")
+    TB.create_table_if_absent(spark, path, c.schema, ["device_id", "ts"], ["event_id"])
+    b = c.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    lo, width = int(b["lo"]), (int(b["hi"]) - int(b["lo"])) // 3 + 1
+    for i in range(3):
+        TB.upsert_table(c.filter((F.col("event_id") >= lo + i * width) & (F.col("event_id") < lo + (i + 1) * width)),
+                        path, i)
+        if i == 1:
+            TB.compact(spark, path)
+    return _ntz(TB.read_table(spark, path), "ts")

@@ -134,3 +134,47 @@ def test_progress_metrics_table(spark, tmp_path):
     m = R.progress_metrics(spark, "metrics", R.progress_dicts(q))
     rows = m.filter("metric = 'observed_pipeline_counts_rows'").collect()
     assert sum(r["value"] for r in rows) == 2.0
+
+
+def test_tee_writes_every_sink_once(spark, tmp_path):
+    src = str(tmp_path / "in")
+    _drop_files(src, [[("a", _t(0, 0, 1), 1.0), ("b", _t(0, 0, 2), 2.0)]])
+    p1, p2 = str(tmp_path / "t1"), str(tmp_path / "t2")
+    s = spark.readStream.schema(SCHEMA).parquet(src)
+    R.run_available_now(s, S.tee(S.upsert_sink(p1, ["device_id", "ts"]), S.quarantine_sink(p2)), "tee",
+                        str(tmp_path / "ck"))
+    assert TB.read_table(spark, p1).count() == 2
+    assert spark.read.parquet(p2).count() == 2
+
+
+def test_bounded_disorder_loses_nothing(spark, tmp_path):
+    """Rows displaced by at most the watermark delay are never dropped: the
+    stream's windows equal the batch windows (SURVEY 5.3)."""
+    import random
+    rng = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    rows = [("d", base + dt.timedelta(seconds=i), float(i % 17)) for i in range(600)]
+    # Each row may move up to 5 positions later (1 s apart: <= 5 s of disorder).
+    keyed = sorted(((i + rng.uniform(0, 5), r) for i, r in enumerate(rows)), key=lambda x: x[0])
+    arrived = [r for _, r in keyed]
+    # Sentinel far ahead closes every window of the data.
+    arrived.append(("d", base + dt.timedelta(hours=1), 0.0))
+    batches = [arrived[i:i + 50] for i in range(0, len(arrived), 50)]
+    src = str(tmp_path / "in")
+    _drop_files(src, batches)
+    got = []
+
+    def collect(df, batch_id):
+        got.extend((r["window_start"], r["n"], r["s"]) for r in df.collect())
+
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    agg = A.tumbling_agg(watermark(stream, "ts", "5 seconds"), "device_id", "ts", "1 minute",
+                         {"n": F.count(F.lit(1)), "s": F.sum("temperature")})
+    q = R.run_available_now(agg, collect, "disorder", str(tmp_path / "ck"), "append")
+    assert R.dropped_late_rows(R.progress_dicts(q)) == 0
+    want = {}
+    for _, t, v in rows:
+        k = t.replace(second=0)
+        n, s = want.get(k, (0, 0.0))
+        want[k] = (n + 1, s + v)
+    assert {w: (n, s) for w, n, s in got} == want
