@@ -71,11 +71,16 @@ def ensure_storage_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and _FALLBACK_ROOT is not None:
+        root = _FALLBACK_ROOT
     if root:
         return root.rstrip("/")
     if _FALLBACK_ROOT is None:
         _FALLBACK_ROOT = tempfile.mkdtemp(prefix="sensorstream-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", _FALLBACK_ROOT)
+    try:
+        spark.conf.set("spark.checkpoint.dir", _FALLBACK_ROOT)
+    except Exception:  # noqa: BLE001  (a core conf may be read-only at runtime)
+        pass
     spark.sparkContext.setCheckpointDir(_FALLBACK_ROOT)
     return _FALLBACK_ROOT
 
