@@ -185,7 +185,7 @@ def q_trend_5m(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 _MSG_FIELDS_SQL = f"""
-SELECT event_id % 3 AS partition, event_id // 3 AS "offset",
+SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset",
   CASE WHEN event_id % 97 = 0 THEN NULL ELSE {_CAD_DEV_SQL} END AS device_id,
   CASE WHEN event_id % 97 = 0 OR event_id % 101 = 0 THEN NULL
        WHEN event_id % 103 = 0 THEN {_ISO.format(t=_CAD_TS_SQL)}
@@ -209,7 +209,7 @@ def q_decode_json(spark, sf_dir):
 
 @register("valid_readings", f"""
 WITH r AS ({CADENCE_SQL})
-SELECT event_id % 3 AS partition, event_id // 3 AS "offset", device_id, ts, temperature, humidity, status
+SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset", device_id, ts, temperature, humidity, status
 FROM r WHERE ({_REASON_SQL}) IS NULL""")
 def q_valid_readings(spark, sf_dir):
     """Rows that survive decode, required-field, number and time checks."""
@@ -219,7 +219,7 @@ def q_valid_readings(spark, sf_dir):
 
 
 @register("rejected_readings", f"""
-SELECT event_id % 3 AS partition, event_id // 3 AS "offset", {_REASON_SQL} AS reject_reason
+SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset", {_REASON_SQL} AS reject_reason
 FROM events WHERE ({_REASON_SQL}) IS NOT NULL""")
 def q_rejected_readings(spark, sf_dir):
     """The rejected messages with the first failing check."""
@@ -239,7 +239,7 @@ def q_project_fields(spark, sf_dir):
 
 
 @register("coerce_double", f"""
-SELECT event_id % 3 AS partition, event_id // 3 AS "offset", value AS temperature,
+SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset", value AS temperature,
        event_id % 109 = 0 AS was_text
 FROM events
 WHERE event_id % 97 <> 0 AND event_id % 101 <> 0 AND event_id % 103 <> 0 AND event_id % 107 <> 0""")
@@ -273,7 +273,7 @@ def q_safe_mean(spark, sf_dir):
 
 @register("encode_json", f"""
 WITH r AS ({CADENCE_SQL})
-SELECT event_id % 3 AS partition, event_id // 3 AS "offset",
+SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset",
   '{{"device_id":"' || device_id || '","timestamp":"' || {_SQLMS.format(t='ts')} ||
   '","temperature":' || CAST(temperature AS VARCHAR) || ',"humidity":' || CAST(humidity AS VARCHAR) ||
   ',"status":"' || status || '"}}' AS message
@@ -341,7 +341,7 @@ def q_format_ts(spark, sf_dir):
 
 
 @register("null_time_quarantine", f"""
-SELECT event_id % 3 AS partition, event_id // 3 AS "offset",
+SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset",
        CASE WHEN event_id % 97 = 0 THEN 'malformed_json' ELSE 'null_time' END AS reject_reason
 FROM events WHERE event_id % 97 = 0 OR event_id % 101 = 0 OR event_id % 103 = 0""")
 def q_null_time_quarantine(spark, sf_dir):
@@ -382,7 +382,7 @@ def q_route_topics(spark, sf_dir):
 
 
 @register("start_from_ts", f"""
-SELECT 'iot_sensor_data' AS topic, event_id % 3 AS partition, event_id // 3 AS "offset", {_CAD_TS_SQL} AS "timestamp"
+SELECT 'iot_sensor_data' AS topic, CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset", {_CAD_TS_SQL} AS "timestamp"
 FROM events
 WHERE ({_TOPIC_SQL}) = 'iot_sensor_data' AND {_CAD_TS_SQL} >= TIMESTAMP '2024-01-01 00:10:00'""")
 def q_start_from_ts(spark, sf_dir):
@@ -527,7 +527,7 @@ def q_latest_n_device(spark, sf_dir):
 
 
 @register("head_n", f"""
-SELECT 'iot_sensor_data' AS topic, event_id % 3 AS partition, event_id // 3 AS "offset" FROM events
+SELECT 'iot_sensor_data' AS topic, CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset" FROM events
 WHERE ({_TOPIC_SQL}) = 'iot_sensor_data'
 ORDER BY partition, "offset" LIMIT 10""")
 def q_head_n(spark, sf_dir):
@@ -606,7 +606,7 @@ _RAW_SQL = f"""CASE WHEN event_id % 97 = 0 THEN 'not json'
 
 
 @register("quarantine_rows", f"""
-SELECT 'iot_sensor_data' AS topic, event_id % 3 AS partition, event_id // 3 AS "offset",
+SELECT 'iot_sensor_data' AS topic, CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset",
        {_REASON_SQL} AS reject_reason, {_RAW_SQL} AS raw
 FROM events WHERE ({_REASON_SQL}) IS NOT NULL""")
 def q_quarantine_rows(spark, sf_dir):
