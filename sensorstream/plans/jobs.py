@@ -27,7 +27,7 @@ from ..functions.time import parse_any_ts
 from ..operators import decode as D
 from ..schemas import DEFAULT_TOPIC_AVERAGES, DEFAULT_TOPIC_READINGS
 from ..streaming import sinks as S
-from ..streaming.runner import start_query
+from ..streaming.runner import observe_counts, start_query
 from ..streaming.windows import windowed_average, windowed_mean_parts
 
 RAW_KEYS = ["device_id", "ts"]
@@ -49,14 +49,18 @@ def _split_valid(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def readings_to_tables(envelope: DataFrame, raw_path: str, rejects_path: str, checkpoint: str,
-                       trigger="availableNow", time_mode: str = "sql") -> StreamingQuery:
-    """Raw readings table (key device_id, ts; newest bus offset wins) + rejects."""
+                       trigger="availableNow", time_mode: str = "sql", observe: bool = True) -> StreamingQuery:
+    """Raw readings table (key device_id, ts; newest bus offset wins) + rejects.
+    With ``observe`` each micro-batch reports its row and reject counts in the
+    query progress (``observedMetrics.decode_counts``)."""
     sink = S.split_sink(_split_valid, {
         "valid": S.upsert_sink(raw_path, RAW_KEYS, ["bus_offset"]),
         "rejected": S.quarantine_sink(rejects_path),
     })
-    return start_query(decoded(envelope, time_mode), sink, "readings_to_tables", checkpoint,
-                       "append", trigger)
+    d = decoded(envelope, time_mode)
+    if observe:
+        d = observe_counts(d)
+    return start_query(d, sink, "readings_to_tables", checkpoint, "append", trigger)
 
 
 def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width: str = "1 minute",

@@ -667,15 +667,21 @@ def _await(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def _replay_run(spark, env: DataFrame, name: str, build, slices: int = 3) -> str:
+def _replay_run(spark, env: DataFrame, name: str, build, slices: int = 3,
+                progress: list | None = None) -> str:
     """Write ``env`` as ``slices`` time-ordered file drops; after each drop run
-    ``build(stream, base, checkpoint)`` to completion.  Returns the base path."""
+    ``build(stream, base, checkpoint)`` to completion.  Returns the base path;
+    the runs' progress reports are appended to ``progress`` if given."""
+    from .streaming.runner import progress_dicts
     base = scratch_path(spark, "stream", name)
     src, ck = f"{base}/bus", f"{base}/checkpoint"
 
     def step(_i):
         stream = B.read_bus(spark, None, "parquet", src, streaming=True)
-        _await(build(stream, base, ck))
+        q = build(stream, base, ck)
+        _await(q)
+        if progress is not None:
+            progress.extend(progress_dicts(q))
 
     replay_slices(env, src, slices, after_each=step)
     return base
@@ -825,3 +831,21 @@ def q_compacted_table(spark, sf_dir):
         if i == 1:
             TB.compact(spark, path)
     return _ntz(TB.read_table(spark, path), "ts")
+
+
+@register("stream_decode_metrics", f"""
+SELECT 'observed_decode_counts_rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM events
+UNION ALL
+SELECT 'observed_decode_counts_rejected' AS metric,
+       CAST(SUM(CASE WHEN ({_REASON_SQL}) IS NOT NULL THEN 1 ELSE 0 END) AS DOUBLE) AS value FROM events""")
+def q_stream_decode_metrics(spark, sf_dir):
+    """K8: per-batch success/error counts observed inside the decode stream,
+    turned into METRIC rows from the query progress and summed per metric."""
+    from .streaming.runner import progress_metrics
+    progress: list = []
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    _replay_run(spark, env, "metrics",
+                lambda s, b, ck: J.readings_to_tables(s, f"{b}/raw", f"{b}/rejects", ck), progress=progress)
+    m = progress_metrics(spark, "readings_to_tables", progress)
+    return (m.filter(F.col("metric").startswith("observed_"))
+             .groupBy("metric").agg(F.sum("value").alias("value")))

@@ -48,7 +48,7 @@ def run_available_now(df: DataFrame, sink, name: str, checkpoint: str,
     return q
 
 
-def observe_counts(df: DataFrame, name: str = "pipeline_counts", reason_col: str = "reject_reason") -> DataFrame:
+def observe_counts(df: DataFrame, name: str = "decode_counts", reason_col: str = "reject_reason") -> DataFrame:
     """K8: per-batch success/error counts computed inside the query."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     if reason_col in df.columns:

@@ -132,7 +132,7 @@ def test_progress_metrics_table(spark, tmp_path):
     s = R.observe_counts(spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src))
     q = R.run_available_now(s, lambda df, i: df.count(), "metrics", str(tmp_path / "ck"))
     m = R.progress_metrics(spark, "metrics", R.progress_dicts(q))
-    rows = m.filter("metric = 'observed_pipeline_counts_rows'").collect()
+    rows = m.filter("metric = 'observed_decode_counts_rows'").collect()
     assert sum(r["value"] for r in rows) == 2.0
 
 
