@@ -111,3 +111,26 @@ def test_record_time_and_future_guard(spark):
 
 def test_split_statements():
     assert split_statements("CREATE x AS 'a;b'; SELECT 1 ;\n") == ["CREATE x AS 'a;b'", "SELECT 1"]
+
+
+def test_with_column_and_not_null(spark):
+    from sensorstream.operators import decode as D
+    df = spark.createDataFrame([(1, None), (2, 3)], "a int, b int")
+    out = D.with_column(df, "c", "a * 10")
+    assert [r["c"] for r in out.orderBy("a").collect()] == [10, 20]
+    assert [r["a"] for r in D.not_null(out, ["a", "b"]).collect()] == [2]
+    assert D.project(out, {"x": "c"}).columns == ["x"]
+
+
+def test_table_partition_pruning(spark, tmp_path):
+    from sensorstream.plans import checks as C
+    from sensorstream.sources import tables as TB
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("d1", _t(0), "2024-01-01", 1.0), ("d2", _t(1), "2024-01-02", 2.0)],
+                               "device_id string, ts timestamp, dt string, v double")
+    TB.create_table_if_absent(spark, path, df.schema, ["device_id", "ts"], partition_by=["dt"])
+    TB.upsert_table(df, path, 0)
+    v = TB.read_table(spark, path).filter("dt = '2024-01-02'")
+    assert [r["device_id"] for r in v.collect()] == ["d2"]
+    scan = [ln for ln in C.plan_text(v).splitlines() if "FileScan" in ln]
+    assert scan and all("PartitionFilters: [isnotnull(dt" in ln for ln in scan)
