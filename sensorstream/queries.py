@@ -14,11 +14,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.time import format_ts, parse_any_ts, parse_iso_ts, parse_sql_ts, to_ntz
+from .functions.json import from_json_col, to_json_col
+from .functions.math import exact_sum, safe_avg
+from .functions.time import (format_ts, from_epoch_ms, parse_any_ts, parse_iso_ts, parse_sql_ts, to_epoch_ms,
+                             to_ntz)
 from .operators import aggregates as A
 from .operators import decode as D
-from .session import ensure_utc
+from .operators import filters as FL
+from .operators import latest as LW
+from .operators import timeseries as TS
+from .operators import topn as TN
+from .operators.anomalies import anomalies
+from .plans import jobs as J
+from .plans.sql import run_sql, tumbling_avg_sql
+from .session import ensure_utc, scratch_path
+from .sources import bus as B
 from .sources import fixtures as X
+from .sources import tables as TB
+from .sources.catalog import declare_stream
+from .sources.replay import replay_slices
+from .streaming import sinks as S
+from .streaming.runner import progress_dicts, progress_metrics, start_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -262,7 +278,6 @@ SELECT device_id, window_start, fail_n,
 FROM w""")
 def q_safe_mean(spark, sf_dir):
     """Zero-guarded mean; windows with no FAIL reading give 0.0, not an error."""
-    from .functions.math import exact_sum, safe_avg
     r = X.cadence_readings(X.events(spark, sf_dir))
     fail_t = F.when(F.col("status") == "FAIL", F.col("temperature"))
     w = A.tumbling_agg(r, "device_id", "ts", "1 minute",
@@ -280,7 +295,6 @@ SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset",
 FROM r""")
 def q_encode_json(spark, sf_dir):
     """Readings -> JSON messages with SQL-form millisecond times."""
-    from .functions.json import to_json_col
     r = X.cadence_readings(X.events(spark, sf_dir), with_event_id=True)
     r = r.withColumn("timestamp", F.col("ts"))
     return r.select((F.col("event_id") % 3).cast("int").alias("partition"),
@@ -326,7 +340,6 @@ SELECT event_id, epoch_us(ts) // 1000 AS ts_ms, make_timestamp(epoch_us(ts) // 1
 FROM events""")
 def q_epoch_ms(spark, sf_dir):
     """T4: time <-> epoch milliseconds (microseconds are cut)."""
-    from .functions.time import from_epoch_ms, to_epoch_ms
     ev = X.events(spark, sf_dir).select("event_id", F.col("ts").cast("timestamp").alias("ts"))
     out = ev.select("event_id", to_epoch_ms("ts").alias("ts_ms"))
     return _ntz(out.withColumn("ts_back", from_epoch_ms("ts_ms")), "ts_back")
@@ -360,10 +373,6 @@ def q_null_time_quarantine(spark, sf_dir):
 # Filters and routing
 # --------------------------------------------------------------------------
 
-from .operators import filters as FL  # noqa: E402
-from .operators import latest as LW  # noqa: E402
-from .operators import topn as TN  # noqa: E402
-from .sources import bus as B  # noqa: E402
 
 _TOPIC_SQL = """CASE WHEN event_id % 5 = 0 THEN 'temperature_averages'
      WHEN event_id % 13 = 0 THEN 'unknown_topic' ELSE 'iot_sensor_data' END"""
@@ -435,7 +444,6 @@ def q_match_labels(spark, sf_dir):
 # Metric series
 # --------------------------------------------------------------------------
 
-from .operators import timeseries as TS  # noqa: E402
 
 _STEP_SQL = "make_timestamp(((epoch_us(ts) // 1000 - 1) // 60000 + 1) * 60000 * 1000)"
 
@@ -540,8 +548,6 @@ def q_head_n(spark, sf_dir):
 # Keyed tables and quarantine
 # --------------------------------------------------------------------------
 
-from .session import scratch_path  # noqa: E402
-from .sources import tables as TB  # noqa: E402
 
 _COLLIDING_LATEST_SQL = f"""
 WITH r AS ({CADENCE_SQL}),
@@ -620,9 +626,6 @@ def q_quarantine_rows(spark, sf_dir):
 # Q1, X1
 # --------------------------------------------------------------------------
 
-from .operators.anomalies import anomalies  # noqa: E402
-from .plans.sql import run_sql, tumbling_avg_sql  # noqa: E402
-from .sources.catalog import declare_stream  # noqa: E402
 
 
 @register("sql_tumbling_avg", ORACLE["tumbling_avg_1m"])
@@ -657,8 +660,6 @@ def q_anomalies(spark, sf_dir):
 # replayed bus, three time slices, state carried by the checkpoint.
 # --------------------------------------------------------------------------
 
-from .plans import jobs as J  # noqa: E402
-from .sources.replay import replay_slices  # noqa: E402
 
 
 def _await(q) -> None:
@@ -672,7 +673,6 @@ def _replay_run(spark, env: DataFrame, name: str, build, slices: int = 3,
     """Write ``env`` as ``slices`` time-ordered file drops; after each drop run
     ``build(stream, base, checkpoint)`` to completion.  Returns the base path;
     the runs' progress reports are appended to ``progress`` if given."""
-    from .streaming.runner import progress_dicts
     base = scratch_path(spark, "stream", name)
     src, ck = f"{base}/bus", f"{base}/checkpoint"
 
@@ -777,7 +777,6 @@ def q_stream_averages_bus(spark, sf_dir):
     """Windows appended once, when final, as JSON messages to a topic;
     read back from the topic and decoded.  Windows not yet closed by the
     watermark (end > max event time - 5 s) are still in state, by design."""
-    from .sources.bus import read_bus
     env = X.messages(X.events(spark, sf_dir))
     base = _replay_run(spark, env, "bus",
                        lambda s, b, ck: J.averages_to_bus(s, f"{b}/topic", ck))
@@ -795,15 +794,12 @@ def _parse_schema(ddl: str):
     return _parse_datatype_string(ddl)
 
 
-from .functions.json import from_json_col  # noqa: E402
 
 
 @register("stream_sql_tumbling_avg", ORACLE["tumbling_avg_1m"])
 def q_stream_sql_tumbling_avg(spark, sf_dir):
     """S5/Q1 on a stream: the decoded bus declared as a view with event time
     and a 5 s watermark, the average written as SQL text, run incrementally."""
-    from .streaming import sinks as S
-    from .streaming.runner import start_query
 
     def build(stream, b, ck):
         valid, _ = D.split_valid(J.decoded(stream))
@@ -841,7 +837,6 @@ SELECT 'observed_decode_counts_rejected' AS metric,
 def q_stream_decode_metrics(spark, sf_dir):
     """K8: per-batch success/error counts observed inside the decode stream,
     turned into METRIC rows from the query progress and summed per metric."""
-    from .streaming.runner import progress_metrics
     progress: list = []
     env = X.messages(X.events(spark, sf_dir), corrupt=True)
     _replay_run(spark, env, "metrics",
