@@ -780,7 +780,7 @@ def q_stream_averages_bus(spark, sf_dir):
     env = X.messages(X.events(spark, sf_dir))
     base = _replay_run(spark, env, "bus",
                        lambda s, b, ck: J.averages_to_bus(s, f"{b}/topic", ck))
-    topic = read_bus(spark, "iot_windowed_data", "parquet", f"{base}/topic", streaming=False)
+    topic = B.read_bus(spark, "iot_windowed_data", "parquet", f"{base}/topic", streaming=False)
     m = from_json_col(F.col("value").cast("string"),
                       _parse_schema("device_id string, window_start string, window_end string, avg_temp double"))
     out = topic.select("topic", m.alias("m")).select(
