@@ -568,13 +568,13 @@ def _write_colliding_table(spark, sf_dir, batches: int = 3) -> str:
     range, so later writes carry later versions)."""
     c = X.colliding_readings(X.events(spark, sf_dir))
     path = scratch_path(spark, "table", "colliding")
-    TB.create_table_if_absent(spark, path, c.schema, ["device_id", "ts"], ["event_id"])
+    m = TB.create_table_if_absent(spark, path, c.schema, ["device_id", "ts"], ["event_id"])
     bounds = c.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     width = (hi - lo) // batches + 1
     for i in range(batches):
         part = c.filter((F.col("event_id") >= lo + i * width) & (F.col("event_id") < lo + (i + 1) * width))
-        TB.upsert_table(part, path, i)
+        m = TB.upsert_table(part, path, i, manifest=m)
     return path
 
 
@@ -818,14 +818,14 @@ def q_compacted_table(spark, sf_dir):
     live log) reads the same as the uncompacted latest view."""
     c = X.colliding_readings(X.events(spark, sf_dir))
     path = scratch_path(spark, "table", "compacted")
-    TB.create_table_if_absent(spark, path, c.schema, ["device_id", "ts"], ["event_id"])
+    m = TB.create_table_if_absent(spark, path, c.schema, ["device_id", "ts"], ["event_id"])
     b = c.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
     lo, width = int(b["lo"]), (int(b["hi"]) - int(b["lo"])) // 3 + 1
     for i in range(3):
-        TB.upsert_table(c.filter((F.col("event_id") >= lo + i * width) & (F.col("event_id") < lo + (i + 1) * width)),
-                        path, i)
+        m = TB.upsert_table(c.filter((F.col("event_id") >= lo + i * width)
+                                     & (F.col("event_id") < lo + (i + 1) * width)), path, i, manifest=m)
         if i == 1:
-            TB.compact(spark, path)
+            m = TB.compact(spark, path)
     return _ntz(TB.read_table(spark, path), "ts")
 
 

@@ -34,7 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+_SCAN_PARTITIONS: dict[str, int] = {}
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Give a scan at least as many partitions as the cluster has cores.
 
     Parquet splits by row group; a small table written as one row group
@@ -44,13 +47,19 @@ def spread(df: DataFrame) -> DataFrame:
     cores and passes through unchanged: no shuffle is added at scale.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    if key is not None and key in _SCAN_PARTITIONS:
+        have = _SCAN_PARTITIONS[key]
+    else:
+        have = df.rdd.getNumPartitions()   # plans the scan only; reads no data
+        if key is not None:
+            _SCAN_PARTITIONS[key] = have
+    if have < want:
         return df.repartition(want)
     return df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "events"))
+    return spread(table(spark, sf_dir, "events"), key=f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def _status() -> Column:
