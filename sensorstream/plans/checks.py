@@ -50,12 +50,7 @@ def has_partial_aggregate(df: DataFrame) -> bool:
 
 
 def has_unpartitioned_window(df: DataFrame) -> bool:
-    """A ``Window`` whose partition spec is empty gathers all rows in one task."""
-    for line in plan_text(df).splitlines():
-        s = line.strip().lstrip("+-:* ")
-        if s.startswith("Window ") and "], [" in s:
-            # Window [exprs], [partitionSpec], [orderSpec]
-            parts = s.split("], [")
-            if len(parts) >= 2 and parts[1].strip() == "":
-                return True
-    return False
+    """A ``Window`` without partition keys: the plan shows the window and
+    ``Exchange SinglePartition`` (all rows gathered into one task)."""
+    p = plan_text(df)
+    return "Window [" in p and "Exchange SinglePartition" in p
