@@ -77,7 +77,7 @@ def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width
     agg = (windowed_mean_parts(valid, "device_id", "ts", width, delay) if parts
            else windowed_average(valid, "device_id", "ts", width, delay))
     return start_query(agg, S.upsert_sink(out_path, AVG_KEYS), "windowed_averages", checkpoint,
-                       mode, trigger)
+                       mode, trigger, no_data_batches=(mode != "update"))
 
 
 def decode_averages(df: DataFrame) -> DataFrame:

@@ -805,7 +805,8 @@ def q_stream_sql_tumbling_avg(spark, sf_dir):
         valid, _ = D.split_valid(J.decoded(stream))
         declare_stream(spark, "iot_sensor_data_stream", valid, "ts", watermark="5 seconds")
         agg = run_sql(spark, tumbling_avg_sql("iot_sensor_data_stream", "ts", "1 minute"))
-        return start_query(agg, S.upsert_sink(f"{b}/avg", J.AVG_KEYS), "sql_avg", ck, "update")
+        return start_query(agg, S.upsert_sink(f"{b}/avg", J.AVG_KEYS), "sql_avg", ck, "update",
+                           no_data_batches=False)
 
     env = X.messages(X.events(spark, sf_dir))
     base = _replay_run(spark, env, "sqlavg", build)

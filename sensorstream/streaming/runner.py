@@ -13,14 +13,33 @@ from ..schemas import METRIC
 from ..session import scratch_path
 
 
+_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 def start_query(df: DataFrame, sink, name: str, checkpoint: str | None = None,
                 output_mode: str = "append", trigger: str | dict = "availableNow",
-                writer=None) -> StreamingQuery:
+                writer=None, no_data_batches: bool | None = None) -> StreamingQuery:
     """Start a streaming query.  ``sink`` is a ``foreachBatch`` function, or
     None when ``writer`` (a prepared ``DataStreamWriter``) is given.  The
     checkpoint holds source offsets and window state: restarting with the same
-    checkpoint resumes exactly where the last committed batch ended (S4)."""
+    checkpoint resumes exactly where the last committed batch ended (S4).
+
+    ``no_data_batches=False`` skips the extra micro-batch Spark runs only to
+    advance the watermark.  Right for ``update`` mode into a keyed table (that
+    batch emits nothing; state is evicted on the next data batch), wrong for
+    ``append`` mode, where it is what emits windows closed without new data.
+    The setting is captured when the query starts."""
     spark = df.sparkSession
+    if no_data_batches is not None:
+        prev = spark.conf.get(_NO_DATA, None)
+        spark.conf.set(_NO_DATA, str(bool(no_data_batches)).lower())
+        try:
+            return start_query(df, sink, name, checkpoint, output_mode, trigger, writer, None)
+        finally:
+            if prev is None:
+                spark.conf.unset(_NO_DATA)
+            else:
+                spark.conf.set(_NO_DATA, prev)
     ck = checkpoint or scratch_path(spark, "checkpoint", name)
     w = writer if writer is not None else df.writeStream
     w = w.queryName(name).option("checkpointLocation", ck).outputMode(output_mode)
