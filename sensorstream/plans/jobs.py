@@ -25,14 +25,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.json import from_json_col
 from ..functions.time import parse_any_ts
 from ..operators import decode as D
-from ..schemas import DEFAULT_TOPIC_AVERAGES, DEFAULT_TOPIC_READINGS
+from ..schemas import DEFAULT_TOPIC_AVERAGES, DEFAULT_TOPIC_READINGS, WINDOW_AVG_WIRE
 from ..streaming import sinks as S
 from ..streaming.runner import observe_counts, start_query
 from ..streaming.windows import windowed_average, windowed_mean_parts
 
 RAW_KEYS = ["device_id", "ts"]
 AVG_KEYS = ["device_id", "window_start"]
-AVERAGE_WIRE = "device_id STRING, window_start STRING, window_end STRING, avg_temperature STRING"
 
 
 def decoded(envelope: DataFrame, time_mode: str = "sql", required=("device_id", "timestamp", "temperature")) -> DataFrame:
@@ -82,7 +81,7 @@ def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width
 
 def decode_averages(df: DataFrame) -> DataFrame:
     """Window-average messages (the averages topic) -> typed rows."""
-    m = from_json_col(F.col("value").cast("string"), _avg_schema()).alias("m")
+    m = from_json_col(F.col("value").cast("string"), WINDOW_AVG_WIRE).alias("m")
     return df.select(F.col("offset").alias("bus_offset"), m).select(
         F.col("m.device_id").alias("device_id"),
         parse_any_ts("m.window_start").alias("window_start"),
@@ -92,11 +91,6 @@ def decode_averages(df: DataFrame) -> DataFrame:
     ).filter(F.col("device_id").isNotNull() & F.col("window_start").isNotNull())
 
 
-def _avg_schema():
-    from pyspark.sql.types import _parse_datatype_string
-    return _parse_datatype_string(AVERAGE_WIRE)
-
-
 def route_topics_to_tables(envelope: DataFrame, raw_path: str, avg_path: str, rejects_path: str,
                            checkpoint: str, trigger="availableNow",
                            readings_topic: str = DEFAULT_TOPIC_READINGS,

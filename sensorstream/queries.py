@@ -27,6 +27,7 @@ from .operators import topn as TN
 from .operators.anomalies import anomalies
 from .plans import jobs as J
 from .plans.sql import run_sql, tumbling_avg_sql
+from .schemas import WINDOW_AVG_MESSAGE
 from .session import ensure_utc, scratch_path
 from .sources import bus as B
 from .sources import fixtures as X
@@ -781,19 +782,13 @@ def q_stream_averages_bus(spark, sf_dir):
     base = _replay_run(spark, env, "bus",
                        lambda s, b, ck: J.averages_to_bus(s, f"{b}/topic", ck))
     topic = B.read_bus(spark, "iot_windowed_data", "parquet", f"{base}/topic", streaming=False)
-    m = from_json_col(F.col("value").cast("string"),
-                      _parse_schema("device_id string, window_start string, window_end string, avg_temp double"))
+    m = from_json_col(F.col("value").cast("string"), WINDOW_AVG_MESSAGE)
     out = topic.select("topic", m.alias("m")).select(
         "topic", "m.device_id", parse_sql_ts("m.window_start").alias("window_start"),
         parse_sql_ts("m.window_end").alias("window_end"), "m.avg_temp")
     return _ntz(out, "window_start", "window_end")
 
 
-def _parse_schema(ddl: str):
-    from pyspark.sql.types import _parse_datatype_string
-    return _parse_datatype_string(ddl)
-
-
 
 
 @register("stream_sql_tumbling_avg", ORACLE["tumbling_avg_1m"])

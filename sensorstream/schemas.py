@@ -58,12 +58,29 @@ ENVELOPE = T.StructType([
     T.StructField("timestamp", T.TimestampType(), True),
 ])
 
+# Window-average message as it travels on the averages topic (times as text,
+# number read as text first, like READING_WIRE).
+WINDOW_AVG_WIRE = T.StructType([
+    T.StructField("device_id", T.StringType(), True),
+    T.StructField("window_start", T.StringType(), True),
+    T.StructField("window_end", T.StringType(), True),
+    T.StructField("avg_temperature", T.StringType(), True),
+])
+
+# Window-average message written by the windowed job (avg_temp, P7 encoding).
+WINDOW_AVG_MESSAGE = T.StructType([
+    T.StructField("device_id", T.StringType(), True),
+    T.StructField("window_start", T.StringType(), True),
+    T.StructField("window_end", T.StringType(), True),
+    T.StructField("avg_temp", T.DoubleType(), True),
+])
+
 # Rejected input, one row per bad message (quarantine table).
 REJECT = T.StructType([
     T.StructField("topic", T.StringType(), True),
     T.StructField("partition", T.IntegerType(), True),
     T.StructField("offset", T.LongType(), True),
-    T.StructField("reason", T.StringType(), True),
+    T.StructField("reject_reason", T.StringType(), True),
     T.StructField("raw", T.StringType(), True),
 ])
 

@@ -37,8 +37,7 @@ def kafka_options(topics, bootstrap: str, start="earliest", group_id: str | None
     if isinstance(start, str) and start in ("earliest", "latest"):
         o["startingOffsets"] = start
     else:
-        ms = start if isinstance(start, int) else int(_to_dt(start).timestamp() * 1000)
-        o["startingTimestamp"] = str(ms)
+        o["startingTimestamp"] = str(int(_to_dt(start).timestamp() * 1000))
     if not streaming:
         o["endingOffsets"] = "latest"
     if group_id:
@@ -48,10 +47,11 @@ def kafka_options(topics, bootstrap: str, start="earliest", group_id: str | None
 
 
 def _to_dt(v) -> _dt.datetime:
-    if isinstance(v, _dt.datetime):
-        return v if v.tzinfo else v.replace(tzinfo=_dt.timezone.utc)
-    return _dt.datetime.fromisoformat(str(v).replace("Z", "+00:00")).replace(
-        tzinfo=_dt.timezone.utc) if "+" not in str(v) else _dt.datetime.fromisoformat(str(v))
+    """datetime / ISO text / epoch ms -> aware UTC datetime (naive = UTC)."""
+    if isinstance(v, int):
+        return _dt.datetime.fromtimestamp(v / 1000, _dt.timezone.utc)
+    d = v if isinstance(v, _dt.datetime) else _dt.datetime.fromisoformat(str(v).replace("Z", "+00:00"))
+    return d if d.tzinfo else d.replace(tzinfo=_dt.timezone.utc)
 
 
 def select_envelope(df: DataFrame, topics=None, start="earliest", start_col: str = "timestamp",
@@ -67,13 +67,10 @@ def select_envelope(df: DataFrame, topics=None, start="earliest", start_col: str
         out = out.filter(F.col("topic").isin(_topics(topics)))
     if start == "earliest" or start is None:
         return out
-    if start == "latest":
-        bound = now or _dt.datetime.now(_dt.timezone.utc)
-    else:
-        bound = _to_dt(start) if not isinstance(start, int) else _dt.datetime.fromtimestamp(
-            start / 1000, _dt.timezone.utc)
-    return out.filter(F.col(start_col) >= F.lit(bound.astimezone(_dt.timezone.utc)
-                                                 .replace(tzinfo=None)).cast("timestamp"))
+    bound = (now or _dt.datetime.now(_dt.timezone.utc)) if start == "latest" else _to_dt(start)
+    # Session zone is UTC (session.ensure_utc): a naive UTC literal is exact.
+    utc = bound.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return out.filter(F.col(start_col) >= F.lit(utc).cast("timestamp"))
 
 
 def read_bus(spark: SparkSession, topics, format: str = "parquet", path: str | None = None,
