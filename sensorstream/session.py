@@ -70,7 +70,10 @@ def ensure_storage_root(spark: SparkSession) -> str:
     global _FALLBACK_ROOT
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001  (no SparkContext, e.g. Spark Connect)
+            root = None
     if not root and _FALLBACK_ROOT is not None:
         root = _FALLBACK_ROOT
     if root:
@@ -81,7 +84,10 @@ def ensure_storage_root(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", _FALLBACK_ROOT)
     except Exception:  # noqa: BLE001  (a core conf may be read-only at runtime)
         pass
-    spark.sparkContext.setCheckpointDir(_FALLBACK_ROOT)
+    try:
+        spark.sparkContext.setCheckpointDir(_FALLBACK_ROOT)
+    except Exception:  # noqa: BLE001
+        pass
     return _FALLBACK_ROOT
 
 

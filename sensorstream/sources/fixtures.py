@@ -46,13 +46,16 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     round-robin.  A large multi-file input already has far more partitions than
     cores and passes through unchanged: no shuffle is added at scale.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if key is not None and key in _SCAN_PARTITIONS:
-        have = _SCAN_PARTITIONS[key]
-    else:
-        have = df.rdd.getNumPartitions()   # plans the scan only; reads no data
-        if key is not None:
-            _SCAN_PARTITIONS[key] = have
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        if key is not None and key in _SCAN_PARTITIONS:
+            have = _SCAN_PARTITIONS[key]
+        else:
+            have = df.rdd.getNumPartitions()   # plans the scan only; reads no data
+            if key is not None:
+                _SCAN_PARTITIONS[key] = have
+    except Exception:  # noqa: BLE001  (no RDD API, e.g. a Spark Connect session)
+        return df
     if have < want:
         return df.repartition(want)
     return df

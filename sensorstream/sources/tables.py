@@ -54,10 +54,17 @@ _MANIFEST_SCHEMA = T.StructType([
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    """Does ``path`` exist on the table's filesystem (any Hadoop FS)?"""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # noqa: BLE001  (no JVM gateway, e.g. Spark Connect): probe by listing
+        try:
+            spark.read.format("binaryFile").load(path).limit(1).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
 
 
 def read_manifest(spark: SparkSession, path: str) -> Manifest | None:
