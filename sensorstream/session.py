@@ -31,6 +31,8 @@ SCALE_CONF = {
     # Stateful stream operators: RocksDB keeps per-key window state off-heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Each micro-batch uploads only the state changes, not a full snapshot.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
