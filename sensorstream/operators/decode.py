@@ -101,11 +101,15 @@ def require_event_time(df: DataFrame, ts: str = "ts", on_null_time: str = "quara
     ``fail`` raises at run time.  Must run before any ``window()``, which would
     drop such rows silently.
     """
+    # The policy applies to rows that passed every other check; a row already
+    # rejected for another reason keeps that reason and goes to the rejects.
+    missing = F.col(ts).isNull()
+    if REASON in df.columns:
+        missing = missing & F.col(REASON).isNull()
     if on_null_time == "drop":
-        return df.filter(F.col(ts).isNotNull())
+        return df.filter(~missing)
     if on_null_time == "fail":
-        return df.withColumn(ts, F.when(F.col(ts).isNull(),
-                                        F.raise_error(F.lit("row without event time")))
+        return df.withColumn(ts, F.when(missing, F.raise_error(F.lit("row without event time")))
                              .otherwise(F.col(ts)))
     if on_null_time == "quarantine":
         return _flag(df, F.col(ts).isNull(), "null_time")

@@ -86,3 +86,12 @@ def test_safe_avg_zero(spark):
     from sensorstream.functions.math import safe_avg
     df = spark.createDataFrame([(10.0, 0), (10.0, 4)], "s double, n long")
     assert [r[0] for r in df.select(safe_avg("s", "n")).collect()] == [0.0, 2.5]
+
+
+def test_null_time_policy_spares_rows_rejected_for_other_reasons(spark):
+    env = spark.createDataFrame([(1, "not json"), (2, '{"device_id":"d","temperature":1}'),
+                                 (3, FULL % ("2025-11-24 19:35:48.012", "21.5"))], "offset long, value string")
+    kept = D.decode_readings(env, required=("device_id",), on_null_time="drop")
+    assert sorted((r["offset"], r[D.REASON]) for r in kept.collect()) == [(1, "malformed_json"), (3, None)]
+    failing = D.decode_readings(env.filter("offset <> 2"), required=("device_id",), on_null_time="fail")
+    assert failing.count() == 2          # the malformed row does not trip the time policy
