@@ -80,36 +80,59 @@ def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width
 
 
 def decode_averages(df: DataFrame) -> DataFrame:
-    """Window-average messages (the averages topic) -> typed rows."""
-    m = from_json_col(F.col("value").cast("string"), WINDOW_AVG_WIRE).alias("m")
-    return df.select(F.col("offset").alias("bus_offset"), m).select(
-        F.col("m.device_id").alias("device_id"),
-        parse_any_ts("m.window_start").alias("window_start"),
-        parse_any_ts("m.window_end").alias("window_end"),
-        F.col("m.avg_temperature").try_cast("double").alias("avg_temperature"),
-        "bus_offset",
-    ).filter(F.col("device_id").isNotNull() & F.col("window_start").isNotNull())
+    """Window-average messages (the averages topic) -> typed rows with the
+    same ``reject_reason`` flags as readings (split with ``split_valid``)."""
+    d = D.decode_json(df, WINDOW_AVG_WIRE)
+    d = D.flag_malformed(d)
+    d = D.require_fields(d, ["device_id", "window_start", "avg_temperature"])
+    d = D.coerce(d, {"avg_temperature": "double"})
+    d = d.withColumn("window_start", parse_any_ts("window_start")) \
+         .withColumn("window_end", parse_any_ts("window_end"))
+    d = D._flag(d, F.col("window_start").isNull(), "bad_time")
+    return d.withColumnRenamed("offset", "bus_offset")
+
+
+REJECT_COLS = ["topic", "partition", "offset", D.REASON, "raw"]
+
+
+def _rejects(df: DataFrame) -> DataFrame:
+    return df.select("topic", "partition", F.col("bus_offset").alias("offset"), D.REASON, "raw")
 
 
 def route_topics_to_tables(envelope: DataFrame, raw_path: str, avg_path: str, rejects_path: str,
                            checkpoint: str, trigger="availableNow",
                            readings_topic: str = DEFAULT_TOPIC_READINGS,
                            averages_topic: str = DEFAULT_TOPIC_AVERAGES) -> StreamingQuery:
-    """The consumer: one query over both topics, routed per micro-batch."""
-    def readings(df: DataFrame) -> DataFrame:
-        valid, _ = D.split_valid(decoded(df, "any"))
-        return valid.select("device_id", "ts", "temperature", "humidity", "status", "bus_offset")
-
-    def unknown(df: DataFrame) -> DataFrame:
-        return df.select("topic", "partition", "offset", F.lit("unknown_topic").alias(D.REASON),
-                         F.col("value").cast("string").alias("raw"))
-
-    sink = S.route_sink(
-        {readings_topic: "readings", averages_topic: "averages"},
-        {"readings": (readings, S.upsert_sink(raw_path, RAW_KEYS, ["bus_offset"])),
-         "averages": (decode_averages, S.upsert_sink(avg_path, AVG_KEYS, ["bus_offset"])),
-         "rejected": (unknown, S.quarantine_sink(rejects_path))})
-    return start_query(envelope, sink, "route_topics_to_tables", checkpoint, "append", trigger)
+    """The consumer: one query over both topics.  Each micro-batch is computed
+    once (persisted), routed by topic, decoded per route; valid rows go to
+    their keyed tables, and every reject -- unknown topic, bad reading, bad
+    average -- goes to the quarantine in one write per batch."""
+    from pyspark import StorageLevel
+
+    from ..operators.filters import route, split_routes
+
+    raw_sink = S.upsert_sink(raw_path, RAW_KEYS, ["bus_offset"])
+    avg_sink = S.upsert_sink(avg_path, AVG_KEYS, ["bus_offset"])
+    bad_sink = S.quarantine_sink(rejects_path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            tagged = route(batch, {readings_topic: "readings", averages_topic: "averages"})
+            parts = split_routes(tagged, ["readings", "averages", "rejected"])
+            r_ok, r_bad = D.split_valid(decoded(parts["readings"], "any"))
+            a_ok, a_bad = D.split_valid(decode_averages(parts["averages"]))
+            raw_sink(r_ok.select("device_id", "ts", "temperature", "humidity", "status", "bus_offset"), batch_id)
+            avg_sink(a_ok.select("device_id", "window_start", "window_end", "avg_temperature", "bus_offset"),
+                     batch_id)
+            unknown = parts["rejected"].select("topic", "partition", "offset",
+                                               F.lit("unknown_topic").alias(D.REASON),
+                                               F.col("value").cast("string").alias("raw"))
+            bad_sink(_rejects(r_bad).unionByName(_rejects(a_bad)).unionByName(unknown), batch_id)
+        finally:
+            batch.unpersist()
+
+    return start_query(envelope, write, "route_topics_to_tables", checkpoint, "append", trigger)
 
 
 def averages_to_bus(envelope: DataFrame, out_path: str, checkpoint: str, topic: str = "iot_windowed_data",

@@ -840,3 +840,28 @@ def q_stream_decode_metrics(spark, sf_dir):
     m = progress_metrics(spark, "readings_to_tables", progress)
     return (m.filter(F.col("metric").startswith("observed_"))
              .groupBy("metric").agg(F.sum("value").alias("value")))
+
+
+@register("stream_route_rejects", f"""
+WITH e AS (
+  SELECT ({_TOPIC_SQL}) AS topic, CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset", event_id
+  FROM events),
+r AS (
+  SELECT topic, partition, "offset",
+         CASE WHEN topic = 'unknown_topic' THEN 'unknown_topic'
+              WHEN topic = 'iot_sensor_data' THEN
+                CASE WHEN event_id % 97 = 0 THEN 'malformed_json'
+                     WHEN event_id % 101 = 0 THEN 'missing_timestamp'
+                     WHEN event_id % 103 = 0 THEN NULL
+                     WHEN event_id % 107 = 0 THEN 'missing_temperature' END
+         END AS reject_reason
+  FROM e)
+SELECT * FROM r WHERE reject_reason IS NOT NULL""")
+def q_stream_route_rejects(spark, sf_dir):
+    """The routed consumer over two topics with broken readings: unknown
+    topics and bad readings land in one quarantine (ISO times are accepted by
+    this consumer's SQL-then-ISO time parse)."""
+    env = X.messages(X.events(spark, sf_dir), corrupt=True, two_topics=True)
+    base = _replay_run(spark, env, "route_rejects",
+                       lambda s, b, ck: J.route_topics_to_tables(s, f"{b}/raw", f"{b}/avg", f"{b}/rejects", ck))
+    return spark.read.parquet(f"{base}/rejects").select("topic", "partition", "offset", D.REASON)

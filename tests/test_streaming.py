@@ -208,3 +208,17 @@ def test_crash_after_write_then_restart_is_exactly_once(spark, tmp_path):
     rows = sorted(tuple(r) for r in TB.read_table(spark, out).collect())
     assert rows == sorted((d, t, v) for b in batches for d, t, v in b)
     assert TB.table_versions(spark, out).count() == 6      # batch 1 overwritten, not appended
+
+
+def test_route_sink_dispatches_each_topic(spark, tmp_path):
+    df = spark.createDataFrame([("t1", 1), ("t2", 2), ("zz", 3)], "topic string, v int")
+    seen = {}
+
+    def keep(name):
+        return lambda d, i: seen.setdefault(name, sorted(r["v"] for r in d.collect()))
+
+    sink = S.route_sink({"t1": "one", "t2": "two"},
+                        {"one": (lambda d: d, keep("one")), "two": (lambda d: d, keep("two")),
+                         "rejected": (lambda d: d, keep("rejected"))})
+    sink(df, 0)
+    assert seen == {"one": [1], "two": [2], "rejected": [3]}
