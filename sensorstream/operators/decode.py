@@ -38,6 +38,11 @@ def decode_json(df: DataFrame, schema: T.StructType = READING_WIRE, value_col: s
     """
     raw = F.col(value_col).cast("string")
     kept = [c for c in keep if c in df.columns]
+    # The bus record time may be kept; it is renamed so that it cannot clash
+    # with a payload field of the same name.
+    if "timestamp" in kept:
+        df = df.withColumnRenamed("timestamp", "record_ts")
+        kept = ["record_ts" if c == "timestamp" else c for c in kept]
     # The parse is emitted by a one-row generator.  A later filter on decoded
     # fields (``reject_reason IS NULL``) cannot be pushed below a generator,
     # whereas through a plain projection Catalyst would inline the parse once
@@ -151,14 +156,23 @@ READING_FIELDS = ["device_id", "ts", "temperature", "humidity", "status"]
 
 def decode_readings(envelope: DataFrame, required=("device_id", "timestamp", "temperature"),
                     time_mode: str = "sql", on_null_time: str = "quarantine",
-                    value_col: str = "value") -> DataFrame:
+                    value_col: str = "value", max_skew: str | None = None) -> DataFrame:
     """The whole reading decode as one flagged frame: JSON -> required fields ->
-    numbers -> event time.  ``split_valid`` separates the result."""
-    d = decode_json(envelope, READING_WIRE, value_col=value_col)
+    numbers -> event time.  ``split_valid`` separates the result.
+
+    ``max_skew`` (e.g. ``"1 hour"``) rejects readings stamped further than that
+    after their bus record time (``future_time``): one device with a wrong
+    clock would otherwise move the global watermark and close every device's
+    windows early."""
+    keep = ENVELOPE_META + (("timestamp",) if max_skew else ())
+    d = decode_json(envelope, READING_WIRE, value_col=value_col, keep=keep)
     d = flag_malformed(d)
     d = require_fields(d, list(required))
     d = coerce(d, {"temperature": "double", "humidity": "double"})
     d = with_event_time(d, "timestamp", "ts", time_mode)
     if on_null_time != "quarantine" or "timestamp" not in required:
         d = require_event_time(d, "ts", on_null_time)
+    if max_skew:
+        late = F.col("ts") > F.col("record_ts") + F.expr(f"INTERVAL {max_skew}")
+        d = _flag(d, late, "future_time").drop("record_ts")
     return d

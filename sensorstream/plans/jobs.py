@@ -34,9 +34,10 @@ RAW_KEYS = ["device_id", "ts"]
 AVG_KEYS = ["device_id", "window_start"]
 
 
-def decoded(envelope: DataFrame, time_mode: str = "sql", required=("device_id", "timestamp", "temperature")) -> DataFrame:
+def decoded(envelope: DataFrame, time_mode: str = "sql", required=("device_id", "timestamp", "temperature"),
+            max_skew: str | None = None) -> DataFrame:
     """Envelope -> flagged readings with bus position (``bus_offset``)."""
-    d = D.decode_readings(envelope, required=required, time_mode=time_mode)
+    d = D.decode_readings(envelope, required=required, time_mode=time_mode, max_skew=max_skew)
     return d.withColumnRenamed("offset", "bus_offset")
 
 
@@ -64,7 +65,8 @@ def readings_to_tables(envelope: DataFrame, raw_path: str, rejects_path: str, ch
 
 def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width: str = "1 minute",
                       delay: str = "5 seconds", mode: str = "update", trigger="availableNow",
-                      time_mode: str = "sql", parts: bool = False) -> StreamingQuery:
+                      time_mode: str = "sql", parts: bool = False,
+                      max_skew: str | None = None) -> StreamingQuery:
     """Valid readings -> per-device tumbling average -> keyed averages table.
 
     ``mode="update"`` rewrites a window whenever it changes (the table is
@@ -72,7 +74,7 @@ def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width
     watermark passes its end.  ``parts=True`` is the (max ts, sum, count)
     variant with its zero-guarded mean.
     """
-    valid, _ = D.split_valid(decoded(envelope, time_mode))
+    valid, _ = D.split_valid(decoded(envelope, time_mode, max_skew=max_skew))
     agg = (windowed_mean_parts(valid, "device_id", "ts", width, delay) if parts
            else windowed_average(valid, "device_id", "ts", width, delay))
     return start_query(agg, S.upsert_sink(out_path, AVG_KEYS), "windowed_averages", checkpoint,

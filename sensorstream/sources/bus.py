@@ -60,7 +60,10 @@ def select_envelope(df: DataFrame, topics=None, start="earliest", start_col: str
 
     ``latest`` keeps only records stamped at or after the reader's start
     (``now``), the file equivalent of skipping what is already on the topic.
-    Both filters reach the Parquet scan as pushed predicates.
+    The bound is fixed when the reader is built; a restarted stream that must
+    keep the original start passes that time explicitly (a Kafka source
+    instead keeps its offsets in the checkpoint).  Both filters reach the
+    Parquet scan as pushed predicates.
     """
     out = df
     if topics is not None:

@@ -95,3 +95,12 @@ def test_null_time_policy_spares_rows_rejected_for_other_reasons(spark):
     assert sorted((r["offset"], r[D.REASON]) for r in kept.collect()) == [(1, "malformed_json"), (3, None)]
     failing = D.decode_readings(env.filter("offset <> 2"), required=("device_id",), on_null_time="fail")
     assert failing.count() == 2          # the malformed row does not trip the time policy
+
+
+def test_future_readings_are_rejected_not_watermarked(spark):
+    rows = [(1, FULL % ("2025-11-24 19:35:48.012", "21.5"), dt.datetime(2025, 11, 24, 19, 35, 49)),
+            (2, FULL % ("2031-01-01 00:00:00.000", "21.5"), dt.datetime(2025, 11, 24, 19, 35, 49))]
+    env = spark.createDataFrame(rows, "offset long, value string, timestamp timestamp")
+    d = D.decode_readings(env, max_skew="1 hour")
+    assert {r["offset"]: r[D.REASON] for r in d.collect()} == {1: None, 2: "future_time"}
+    assert "record_ts" not in d.columns
