@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.json import from_json_col
 from ..functions.time import parse_any_ts
 from ..operators import decode as D
 from ..schemas import DEFAULT_TOPIC_AVERAGES, DEFAULT_TOPIC_READINGS, WINDOW_AVG_WIRE

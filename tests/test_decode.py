@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from sensorstream.functions.time import parse_any_ts, parse_iso_ts, parse_sql_ts
 from sensorstream.operators import decode as D
