@@ -61,8 +61,12 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     return df
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "events"), key=f"{sf_dir.rstrip('/')}/events.parquet")
+def events(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
+    """The driver's ``events`` table.  ``spread_rows`` for inputs whose per-row
+    work dominates (JSON build/parse, per-series windows): a single-partition
+    scan is then spread over the cores; light aggregations skip that shuffle."""
+    ev = table(spark, sf_dir, "events")
+    return spread(ev, key=f"{sf_dir.rstrip('/')}/events.parquet") if spread_rows else ev
 
 
 def _status() -> Column:
