@@ -3,11 +3,12 @@ N3).
 
 Semantics (ours; the reference only names these dashboard queries):
 
-* ``counter_rate``: for each sample at time t, the sum of counter increases
-  over samples in ``(t - range, t]`` divided by the range in seconds.  An
-  increase is ``v - prev`` or, after a reset (``v < prev``), ``v`` itself; the
-  first sample of a series contributes 0.  No extrapolation to the window
-  edges.
+* ``counter_rate``: for each sample at time t, the increase of the counter
+  over the samples in ``(t - range, t]`` -- the sum of the increments between
+  consecutive samples inside that frame, an increment being ``v - prev`` or,
+  after a reset (``v < prev``), ``v`` itself -- divided by the range in
+  seconds.  The first sample of a frame is its baseline; no extrapolation to
+  the frame edges.  Counter values are non-negative.
 * ``at_steps``: the instant value of a series at step time t is its newest
   sample in ``(t - step, t]`` (look-back = step).
 * ``sum_by``: sum of the instant values of all series sharing a label value,
@@ -16,12 +17,9 @@ Semantics (ours; the reference only names these dashboard queries):
 Scale: a plain ``Window.partitionBy(series)`` would sort all samples of a
 series in one task; a series holding a third of all samples would then be a
 third of the job in one task.  ``counter_rate`` instead partitions by
-``(series, time bucket)``.  The previous sample of a bucket's first row comes
-from a per-bucket summary (one row per series and bucket, unioned in as a
-marker row), and the range sum sees the previous bucket's last ``range`` of
-samples through a halo copy.
-Parallelism is series x buckets; the duplicated halo is ``range / bucket`` of
-the input.
+``(series, time bucket)`` and gives each bucket a halo copy of the previous
+bucket's last ``range`` of samples: one shuffle, parallelism series x buckets,
+``range / bucket`` of the input duplicated.
 """
 
 from __future__ import annotations
@@ -43,51 +41,37 @@ def _cols(c) -> list[str]:
     return [c] if isinstance(c, str) else list(c)
 
 
-def counter_increments(df: DataFrame, series, ts: str = "ts", value: str = "value",
-                       bucket: str = "1 hour", out: str = "increase") -> DataFrame:
-    """Per-sample counter increase (reset-aware), partitioned by series and
-    time bucket.  Adds ``_ms`` (epoch ms) and ``_b`` (bucket) columns.
-
-    The first sample of a bucket needs the last sample of the previous
-    non-empty bucket.  That value comes from a per-(series, bucket) summary
-    and is *unioned* into the next bucket as a marker row that sorts first, so
-    the same ``lag`` that serves every other row also serves it: no join, no
-    broadcast of a table that grows with series x buckets.
-    """
-    s = _cols(series)
-    b_ms = interval_ms(bucket)
-    e = (df.withColumn("_ms", F.unix_millis(F.col(ts)))
-           .withColumn("_b", F.floor(F.col("_ms") / F.lit(b_ms)))
-           .withColumn("_carry", F.lit(False)))
-    last = e.groupBy(*s, "_b").agg(F.max_by(F.col(value), F.struct("_ms", value)).alias("_last"))
-    carry = (last.withColumn("_next", F.lead("_b").over(Window.partitionBy(*s).orderBy("_b")))
-                 .filter(F.col("_next").isNotNull())
-                 .select(*s, F.col("_next").alias("_b"), F.col("_last").alias(value),
-                         F.lit(True).alias("_carry")))
-    both = e.unionByName(carry, allowMissingColumns=True)
-    w = Window.partitionBy(*s, "_b").orderBy(F.col("_ms").asc_nulls_first(), F.col(value))
-    p = F.lag(value).over(w)
-    v = F.col(value)
-    inc = F.when(p.isNull(), F.lit(0.0)).when(v >= p, v - p).otherwise(v)
-    return (both.withColumn(out, inc.cast("double"))
-                .filter(~F.col("_carry")).drop("_carry"))
-
-
 def counter_rate(df: DataFrame, series, ts: str = "ts", value: str = "value",
                  range_: str = "5 minutes", bucket: str = "1 hour", out: str = "rate") -> DataFrame:
-    """``rate(counter[range])`` evaluated at every sample (see module doc)."""
+    """``rate(counter[range])`` evaluated at every sample (see module doc).
+
+    One shuffle on ``(series, bucket)``; the bucket also receives, as a halo,
+    the previous bucket's samples of the last ``range``.  Inside a partition,
+    in sample order: the reset-aware increment of each sample (``lag``) and
+    its running sum ``C``.  Over the frame ``(t - range, t]`` the increase is
+    ``max(C) - min(C)`` = the sum of the increments between consecutive
+    samples inside the frame (increments are >= 0 for a counter), so the
+    first sample of a frame -- and with it the halo's first sample, whose
+    predecessor is not in the partition -- is only the baseline.
+    """
     s = _cols(series)
     r_ms = interval_ms(range_)
     b_ms = max(interval_ms(bucket), r_ms)
-    inc = counter_increments(df, s, ts, value, f"{b_ms} ms", "_inc")
-    # Halo: samples in the last `range` of bucket b are also placed in b + 1.
+    e = (df.withColumn("_ms", F.unix_millis(F.col(ts)))
+           .withColumn("_b", F.floor(F.col("_ms") / F.lit(b_ms))))
     in_halo = F.col("_ms") > (F.col("_b") + 1) * F.lit(b_ms) - F.lit(r_ms)
     targets = F.when(in_halo, F.array(F.col("_b"), F.col("_b") + 1)).otherwise(F.array(F.col("_b")))
-    h = inc.withColumn("_tb", F.explode(targets))
-    w = Window.partitionBy(*s, "_tb").orderBy("_ms").rangeBetween(-(r_ms - 1), 0)
-    res = (h.withColumn(out, F.sum("_inc").over(w) / F.lit(r_ms / 1000.0))
-             .filter(F.col("_tb") == F.col("_b")))
-    return res.drop("_ms", "_b", "_tb", "_inc")
+    h = e.withColumn("_tb", F.explode(targets))
+    seq = Window.partitionBy(*s, "_tb").orderBy("_ms", value)
+    p = F.lag(value).over(seq)
+    v = F.col(value)
+    inc = F.when(p.isNull(), F.lit(0.0)).when(v >= p, v - p).otherwise(v).cast("double")
+    frame = Window.partitionBy(*s, "_tb").orderBy("_ms").rangeBetween(-(r_ms - 1), 0)
+    res = (h.withColumn("_inc", inc)
+            .withColumn("_c", F.sum("_inc").over(seq.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn(out, (F.max("_c").over(frame) - F.min("_c").over(frame)) / F.lit(r_ms / 1000.0))
+            .filter(F.col("_tb") == F.col("_b")))
+    return res.drop("_ms", "_b", "_tb", "_inc", "_c")
 
 
 def gauge_at(df: DataFrame, series, at, ts: str = "ts", value: str = "value",

@@ -456,9 +456,9 @@ i AS (SELECT namespace, pod, container, ts, counter AS value,
 j AS (SELECT *, CASE WHEN p IS NULL THEN 0.0 WHEN value >= p THEN value - p ELSE value END AS inc,
              epoch_us(ts) // 1000 AS ms FROM i)
 SELECT namespace, pod, container, ts, value,
-       SUM(inc) OVER (PARTITION BY namespace, pod, container ORDER BY ms
-                      RANGE BETWEEN 299999 PRECEDING AND CURRENT ROW) / 300.0 AS rate
-FROM j""")
+       (SUM(inc) OVER w - FIRST_VALUE(inc) OVER w) / 300.0 AS rate
+FROM j
+WINDOW w AS (PARTITION BY namespace, pod, container ORDER BY ms RANGE BETWEEN 299999 PRECEDING AND CURRENT ROW)""")
 def q_counter_rate_5m(spark, sf_dir):
     """``rate(sensor_readings_total[5m])`` at every sample of every series."""
     c = _metric(spark, sf_dir, X.COUNTER_METRIC)
@@ -498,8 +498,9 @@ i AS (SELECT namespace, pod, container, ts, counter AS value,
              lag(counter) OVER (PARTITION BY namespace, pod, container ORDER BY ts, counter) AS p FROM m),
 j AS (SELECT *, CASE WHEN p IS NULL THEN 0.0 WHEN value >= p THEN value - p ELSE value END AS inc,
              epoch_us(ts) // 1000 AS ms FROM i),
-k AS (SELECT *, SUM(inc) OVER (PARTITION BY namespace, pod, container ORDER BY ms
-                      RANGE BETWEEN 299999 PRECEDING AND CURRENT ROW) / 300.0 AS rate FROM j),
+k AS (SELECT *, (SUM(inc) OVER w - FIRST_VALUE(inc) OVER w) / 300.0 AS rate FROM j
+      WINDOW w AS (PARTITION BY namespace, pod, container ORDER BY ms
+                   RANGE BETWEEN 299999 PRECEDING AND CURRENT ROW)),
 s AS (SELECT *, {_STEP_SQL} AS step_ts FROM k),
 r AS (SELECT *, row_number() OVER (PARTITION BY namespace, pod, container, step_ts
                                     ORDER BY ts DESC, rate DESC) AS rn FROM s)

@@ -76,10 +76,11 @@ def test_counter_rate_reset_and_bucket_edges(spark):
     vals = [0, 10, 20, 30, 5, 15, 25]
     df = spark.createDataFrame([("s", _t(i), float(v)) for i, v in enumerate(vals)], "sid string, ts timestamp, value double")
     got = {r["ts"]: r["rate"] for r in TS.counter_rate(df, "sid", range_="5 minutes", bucket="5 minutes").collect()}
-    # increments: 0,10,10,10,5(reset),10,10 ; window (t-300s, t] holds 5 samples
+    # increments: 0,10,10,10,5(reset),10,10 ; frame (t-300s, t] holds 5 samples,
+    # the first of them is the baseline
     inc = [0, 10, 10, 10, 5, 10, 10]
     for i in range(len(vals)):
-        want = sum(inc[max(0, i - 4): i + 1]) / 300.0
+        want = sum(inc[max(0, i - 4) + 1: i + 1]) / 300.0
         assert abs(got[_t(i)] - want) < 1e-12, i
 
 

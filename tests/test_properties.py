@@ -47,7 +47,8 @@ def _brute_rate(rows, range_ms):
                 p = pts[i - 1][1]
                 inc.append(float(v - p) if v >= p else float(v))
         for i, (ms, v) in enumerate(pts):
-            tot = sum(inc[j] for j, (m2, _) in enumerate(pts) if ms - range_ms < m2 <= ms)
+            members = [j for j, (m2, _) in enumerate(pts) if ms - range_ms < m2 <= ms]
+            tot = sum(inc[j] for j in members[1:])      # first sample of the frame = baseline
             out.setdefault((sid, ms), set()).add(tot / (range_ms / 1000.0))
     return out
 
