@@ -35,7 +35,7 @@ from .sources import tables as TB
 from .sources.catalog import declare_stream
 from .sources.replay import replay_slices
 from .streaming import sinks as S
-from .streaming.runner import progress_dicts, progress_metrics, start_query
+from .streaming.runner import cluster_cores, progress_dicts, progress_metrics, start_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -695,7 +695,8 @@ def q_stream_tumbling_avg_1m(spark, sf_dir):
     table (update mode), run incrementally; the table equals the batch result."""
     env = X.messages(X.events(spark, sf_dir, spread_rows=True))
     base = _replay_run(spark, env, "avg1m",
-                       lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "1 minute", "5 seconds"))
+                       lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "1 minute", "5 seconds",
+                                                            state_partitions=cluster_cores(spark)))
     out = TB.read_table(spark, f"{base}/avg")
     return _ntz(out.select("device_id", "window_start", "window_end", "avg_temp"), "window_start", "window_end")
 
@@ -706,7 +707,7 @@ def q_stream_mean_5m(spark, sf_dir):
     env = X.messages(X.events(spark, sf_dir, spread_rows=True))
     base = _replay_run(spark, env, "mean5m",
                        lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "5 minutes", "0 seconds",
-                                                            parts=True))
+                                                            parts=True, state_partitions=cluster_cores(spark)))
     out = TB.read_table(spark, f"{base}/avg")
     return _ntz(out.select("device_id", "window_start", "window_end", "last_event_ts", "sum_temp", "n",
                            "avg_temp"), "window_start", "window_end", "last_event_ts")
@@ -781,7 +782,8 @@ def q_stream_averages_bus(spark, sf_dir):
     watermark (end > max event time - 5 s) are still in state, by design."""
     env = X.messages(X.events(spark, sf_dir, spread_rows=True))
     base = _replay_run(spark, env, "bus",
-                       lambda s, b, ck: J.averages_to_bus(s, f"{b}/topic", ck))
+                       lambda s, b, ck: J.averages_to_bus(s, f"{b}/topic", ck,
+                                                          state_partitions=cluster_cores(spark)))
     topic = B.read_bus(spark, "iot_windowed_data", "parquet", f"{base}/topic", streaming=False)
     m = from_json_col(F.col("value").cast("string"), WINDOW_AVG_MESSAGE)
     out = topic.select("topic", m.alias("m")).select(
@@ -802,7 +804,7 @@ def q_stream_sql_tumbling_avg(spark, sf_dir):
         declare_stream(spark, "iot_sensor_data_stream", valid, "ts", watermark="5 seconds")
         agg = run_sql(spark, tumbling_avg_sql("iot_sensor_data_stream", "ts", "1 minute"))
         return start_query(agg, S.upsert_sink(f"{b}/avg", J.AVG_KEYS), "sql_avg", ck, "update",
-                           no_data_batches=False)
+                           no_data_batches=False, state_partitions=cluster_cores(spark))
 
     env = X.messages(X.events(spark, sf_dir, spread_rows=True))
     base = _replay_run(spark, env, "sqlavg", build)

@@ -14,44 +14,65 @@ from ..session import scratch_path
 
 
 _NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+_SHUFFLE = "spark.sql.shuffle.partitions"
 
 
 def start_query(df: DataFrame, sink, name: str, checkpoint: str | None = None,
                 output_mode: str = "append", trigger: str | dict = "availableNow",
-                writer=None, no_data_batches: bool | None = None) -> StreamingQuery:
+                writer=None, no_data_batches: bool | None = None,
+                state_partitions: int | None = None) -> StreamingQuery:
     """Start a streaming query.  ``sink`` is a ``foreachBatch`` function, or
     None when ``writer`` (a prepared ``DataStreamWriter``) is given.  The
     checkpoint holds source offsets and window state: restarting with the same
     checkpoint resumes exactly where the last committed batch ended (S4).
 
+    Both options below are session settings captured when the query starts:
+
     ``no_data_batches=False`` skips the extra micro-batch Spark runs only to
     advance the watermark.  Right for ``update`` mode into a keyed table (that
     batch emits nothing; state is evicted on the next data batch), wrong for
     ``append`` mode, where it is what emits windows closed without new data.
-    The setting is captured when the query starts."""
+
+    ``state_partitions`` sizes the stateful operators (window state) at the
+    query's first start; the number is then fixed in the checkpoint.  Size it
+    to the cluster (about the number of cores), not to the batch default.
+    """
     spark = df.sparkSession
+    overrides = {}
     if no_data_batches is not None:
-        prev = spark.conf.get(_NO_DATA, None)
-        spark.conf.set(_NO_DATA, str(bool(no_data_batches)).lower())
-        try:
-            return start_query(df, sink, name, checkpoint, output_mode, trigger, writer, None)
-        finally:
-            if prev is None:
-                spark.conf.unset(_NO_DATA)
+        overrides[_NO_DATA] = str(bool(no_data_batches)).lower()
+    if state_partitions is not None:
+        overrides[_SHUFFLE] = str(int(state_partitions))
+    saved = {k: spark.conf.get(k, None) for k in overrides}
+    for k, v in overrides.items():
+        spark.conf.set(k, v)
+    try:
+        ck = checkpoint or scratch_path(spark, "checkpoint", name)
+        w = writer if writer is not None else df.writeStream
+        w = w.queryName(name).option("checkpointLocation", ck).outputMode(output_mode)
+        if sink is not None:
+            w = w.foreachBatch(sink)
+        if trigger == "availableNow":
+            w = w.trigger(availableNow=True)
+        elif isinstance(trigger, dict):
+            w = w.trigger(**trigger)
+        else:
+            w = w.trigger(processingTime=trigger)
+        return w.start()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
             else:
-                spark.conf.set(_NO_DATA, prev)
-    ck = checkpoint or scratch_path(spark, "checkpoint", name)
-    w = writer if writer is not None else df.writeStream
-    w = w.queryName(name).option("checkpointLocation", ck).outputMode(output_mode)
-    if sink is not None:
-        w = w.foreachBatch(sink)
-    if trigger == "availableNow":
-        w = w.trigger(availableNow=True)
-    elif isinstance(trigger, dict):
-        w = w.trigger(**trigger)
-    else:
-        w = w.trigger(processingTime=trigger)
-    return w.start()
+                spark.conf.set(k, v)
+
+
+def cluster_cores(spark: SparkSession) -> int:
+    """Total task slots of the cluster (a sizing default for state)."""
+    try:
+        return max(1, int(spark.sparkContext.defaultParallelism))
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get(_SHUFFLE, "200"))
 
 
 def run_available_now(df: DataFrame, sink, name: str, checkpoint: str,
