@@ -61,7 +61,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
     except Exception:  # noqa: BLE001  (no JVM gateway, e.g. Spark Connect): probe by listing
         try:
-            spark.read.format("binaryFile").load(path).limit(1).collect()
+            spark.read.format("binaryFile").load(path).select("path").limit(1).collect()  # no file content
             return True
         except Exception:  # noqa: BLE001
             return False
