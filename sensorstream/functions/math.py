@@ -16,14 +16,15 @@ def safe_avg(total, n) -> Column:
     return F.when(k > 0, t.cast("double") / k.cast("double")).otherwise(F.lit(0.0))
 
 
-def exact_sum(col, scale: int = 2) -> Column:
+def exact_sum(col, scale: int) -> Column:
     """Sum accumulated as a decimal: independent of row order and of how the
     partial aggregates are merged, so a re-run or a re-plan gives identical
-    bits.  Readings carry ``scale`` decimals (two, by the data contract)."""
-    return F.sum(_c(col).cast(f"decimal(18,{scale})")).cast("double")
+    bits.  Only for columns with at most ``scale`` decimals (readings carry
+    two by the data contract): the cast rounds anything finer."""
+    return F.sum(_c(col).cast(f"decimal(28,{scale})")).cast("double")
 
 
-def exact_mean(col, scale: int = 2) -> Column:
+def exact_mean(col, scale: int) -> Column:
     """Order-independent mean of a column with at most ``scale`` decimals;
     NULL when the group has no non-null value (``avg`` semantics)."""
     c = _c(col)

@@ -18,6 +18,14 @@ from pyspark.sql import functions as F
 from ..functions.math import exact_mean, exact_sum, safe_avg
 
 
+def _mean(col: str, exact_scale: int | None) -> Column:
+    return exact_mean(col, exact_scale) if exact_scale is not None else F.avg(col)
+
+
+def _sum(col: str, exact_scale: int | None) -> Column:
+    return exact_sum(col, exact_scale) if exact_scale is not None else F.sum(col).cast("double")
+
+
 def _cols(keys) -> list[str]:
     if keys is None:
         return []
@@ -45,22 +53,23 @@ def tumbling_agg(df: DataFrame, keys, ts: str, width: str,
 
 
 def tumbling_avg(df: DataFrame, keys="device_id", ts: str = "ts", width: str = "1 minute",
-                 value: str = "temperature", out: str = "avg_temp", exact: bool = True,
-                 scale: int = 2) -> DataFrame:
-    """A1: mean of ``value`` per key and window.  ``exact`` accumulates the sum
-    as a decimal so that the result does not depend on row order."""
-    e = exact_mean(value, scale) if exact else F.avg(value)
-    return tumbling_agg(df, keys, ts, width, {out: e})
+                 value: str = "temperature", out: str = "avg_temp",
+                 exact_scale: int | None = None) -> DataFrame:
+    """A1: mean of ``value`` per key and window (SQL ``AVG``).  With
+    ``exact_scale`` (values carry at most that many decimals) the sum is
+    accumulated as a decimal, so the result does not depend on row order or on
+    how partial aggregates are merged."""
+    return tumbling_agg(df, keys, ts, width, {out: _mean(value, exact_scale)})
 
 
 def tumbling_mean_parts(df: DataFrame, keys="device_id", ts: str = "ts", width: str = "5 minutes",
-                        value: str = "temperature", scale: int = 2) -> DataFrame:
+                        value: str = "temperature", exact_scale: int | None = None) -> DataFrame:
     """A2: reduce each window to (max time, sum, count), then a zero-guarded
     mean.  ``last_event_ts`` keeps the newest reading time of the window; the
     window bounds are the true ones."""
     parts = tumbling_agg(df, keys, ts, width, {
         "last_event_ts": F.max(ts),
-        "sum_temp": exact_sum(value, scale),
+        "sum_temp": _sum(value, exact_scale),
         "n": F.count(value),
     })
     return parts.withColumn("avg_temp", safe_avg("sum_temp", "n"))
@@ -91,11 +100,11 @@ def status_distribution(df: DataFrame, keys=None, status: str = "status") -> Dat
 
 
 def trend(df: DataFrame, ts: str, bucket: str, cols: list[str], keys=None,
-          scale: int = 2) -> DataFrame:
+          exact_scale: int | None = None) -> DataFrame:
     """Per time bucket (and key), mean/min/max/count of each column."""
     aggs: dict[str, Column] = {}
     for c in cols:
-        aggs[f"avg_{c}"] = exact_mean(c, scale)
+        aggs[f"avg_{c}"] = _mean(c, exact_scale)
         aggs[f"min_{c}"] = F.min(c)
         aggs[f"max_{c}"] = F.max(c)
     aggs["n"] = F.count(F.lit(1))

@@ -65,7 +65,8 @@ def readings_to_tables(envelope: DataFrame, raw_path: str, rejects_path: str, ch
 def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width: str = "1 minute",
                       delay: str = "5 seconds", mode: str = "update", trigger="availableNow",
                       time_mode: str = "sql", parts: bool = False,
-                      max_skew: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+                      max_skew: str | None = None, state_partitions: int | None = None,
+                      exact_scale: int | None = None) -> StreamingQuery:
     """Valid readings -> per-device tumbling average -> keyed averages table.
 
     ``mode="update"`` rewrites a window whenever it changes (the table is
@@ -74,8 +75,8 @@ def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width
     variant with its zero-guarded mean.
     """
     valid, _ = D.split_valid(decoded(envelope, time_mode, max_skew=max_skew))
-    agg = (windowed_mean_parts(valid, "device_id", "ts", width, delay) if parts
-           else windowed_average(valid, "device_id", "ts", width, delay))
+    agg = (windowed_mean_parts(valid, "device_id", "ts", width, delay, exact_scale=exact_scale) if parts
+           else windowed_average(valid, "device_id", "ts", width, delay, exact_scale=exact_scale))
     return start_query(agg, S.upsert_sink(out_path, AVG_KEYS), "windowed_averages", checkpoint,
                        mode, trigger, no_data_batches=(mode != "update"), state_partitions=state_partitions)
 
@@ -139,7 +140,8 @@ def route_topics_to_tables(envelope: DataFrame, raw_path: str, avg_path: str, re
 def averages_to_bus(envelope: DataFrame, out_path: str, checkpoint: str, topic: str = "iot_windowed_data",
                     width: str = "1 minute", delay: str = "5 seconds", trigger="availableNow",
                     time_mode: str = "sql", format: str = "parquet",
-                    bootstrap: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+                    bootstrap: str | None = None, state_partitions: int | None = None,
+                    exact_scale: int | None = None) -> StreamingQuery:
     """V2: valid readings -> watermark -> tumbling average -> JSON messages on
     an append-only topic.  Each window is written once, when the watermark
     passes its end (windows still open at the end of a run stay in state)."""
@@ -147,7 +149,7 @@ def averages_to_bus(envelope: DataFrame, out_path: str, checkpoint: str, topic:
     from ..streaming.sinks import bus_sink
 
     valid, _ = D.split_valid(decoded(envelope, time_mode))
-    agg = windowed_average(valid, "device_id", "ts", width, delay)
+    agg = windowed_average(valid, "device_id", "ts", width, delay, exact_scale=exact_scale)
     msgs = encode_messages(agg, ["device_id", "window_start", "window_end", "avg_temp"], topic,
                            time_col="window_end")
     writer = bus_sink(msgs, out_path, topic, format, bootstrap)

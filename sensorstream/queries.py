@@ -80,6 +80,10 @@ SELECT event_id, 'device-' || CAST(user_id AS VARCHAR) AS device_id, ts,
        value AS temperature, {_HUM_SQL} AS humidity, {_STATUS_SQL} AS status
 FROM events"""
 
+# Data contract: readings carry at most two decimals (the producers round to
+# two), so sums are exact as DECIMAL(28,2) on both sides of the oracle.
+SCALE = 2
+
 _SQLMS = "strftime({t}, '%Y-%m-%d %H:%M:%S.%g')"
 _ISO = "strftime({t}, '%Y-%m-%dT%H:%M:%S.%f')"
 
@@ -116,7 +120,7 @@ FROM r GROUP BY 1, 2, 3""")
 def q_tumbling_avg_1m(spark, sf_dir):
     """A1: mean temperature per device and 1-minute window (cadence readings)."""
     r = X.cadence_readings(X.events(spark, sf_dir))
-    return _ntz(A.tumbling_avg(r, "device_id", "ts", "1 minute"), "window_start", "window_end")
+    return _ntz(A.tumbling_avg(r, "device_id", "ts", "1 minute", exact_scale=SCALE), "window_start", "window_end")
 
 
 @register("tumbling_mean_5m", f"""
@@ -132,7 +136,7 @@ FROM r GROUP BY 1, 2, 3""")
 def q_tumbling_mean_5m(spark, sf_dir):
     """A2: (max time, sum, count) per device and 5-minute window, then mean."""
     r = X.cadence_readings(X.events(spark, sf_dir))
-    out = A.tumbling_mean_parts(r, "device_id", "ts", "5 minutes")
+    out = A.tumbling_mean_parts(r, "device_id", "ts", "5 minutes", exact_scale=SCALE)
     return _ntz(out, "window_start", "window_end", "last_event_ts")
 
 
@@ -145,7 +149,7 @@ def q_tumbling_avg_1d_natural(spark, sf_dir):
     """A1 on the natural (sparse, irregular) readings with 1-day windows."""
     r = X.natural_readings(X.events(spark, sf_dir))
     out = A.tumbling_agg(r, "device_id", "ts", "1 day",
-                         {"avg_temp": A.exact_mean("temperature"), "n": F.count(F.lit(1))})
+                         {"avg_temp": A.exact_mean("temperature", SCALE), "n": F.count(F.lit(1))})
     return _ntz(out, "window_start", "window_end")
 
 
@@ -194,7 +198,8 @@ FROM r GROUP BY 1, 2""")
 def q_trend_5m(spark, sf_dir):
     """temperature/humidity trend over 5-minute buckets, all devices."""
     r = X.cadence_readings(X.events(spark, sf_dir))
-    return _ntz(A.trend(r, "ts", "5 minutes", ["temperature", "humidity"]), "window_start", "window_end")
+    return _ntz(A.trend(r, "ts", "5 minutes", ["temperature", "humidity"], exact_scale=SCALE),
+                "window_start", "window_end")
 
 
 # --------------------------------------------------------------------------
@@ -282,7 +287,7 @@ def q_safe_mean(spark, sf_dir):
     r = X.cadence_readings(X.events(spark, sf_dir))
     fail_t = F.when(F.col("status") == "FAIL", F.col("temperature"))
     w = A.tumbling_agg(r, "device_id", "ts", "1 minute",
-                       {"fail_sum": exact_sum(fail_t), "fail_n": F.count(fail_t)})
+                       {"fail_sum": exact_sum(fail_t, SCALE), "fail_n": F.count(fail_t)})
     out = w.select("device_id", "window_start", "fail_n", safe_avg("fail_sum", "fail_n").alias("fail_avg"))
     return _ntz(out, "window_start")
 
@@ -488,7 +493,7 @@ def q_sum_by_label(spark, sf_dir):
     """``sum(sensor_temperature{namespace="iot-pipeline"}) by (container)``
     at every 1-minute step."""
     g = FL.match_labels(_metric(spark, sf_dir, X.GAUGE_METRIC), eq={"namespace": "iot-pipeline"})
-    out = TS.sum_by(g, "container", _LABELS, "1 minute", exact_scale=2)
+    out = TS.sum_by(g, "container", _LABELS, "1 minute", exact_scale=SCALE)
     return _ntz(out, "step_ts")
 
 
@@ -653,7 +658,7 @@ FROM a""")
 def q_anomalies(spark, sf_dir):
     """Windows whose mean leaves mean +- 3 sd of the previous 12 windows."""
     r = X.cadence_readings(X.events(spark, sf_dir))
-    w = A.tumbling_avg(r, "device_id", "ts", "1 minute")
+    w = A.tumbling_avg(r, "device_id", "ts", "1 minute", exact_scale=SCALE)
     return _ntz(anomalies(w, "device_id", "window_start", "avg_temp", 12, 3.0), "window_start", "window_end")
 
 
@@ -696,7 +701,8 @@ def q_stream_tumbling_avg_1m(spark, sf_dir):
     env = X.messages(X.events(spark, sf_dir, spread_rows=True))
     base = _replay_run(spark, env, "avg1m",
                        lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "1 minute", "5 seconds",
-                                                            state_partitions=cluster_cores(spark)))
+                                                            state_partitions=cluster_cores(spark),
+                                                            exact_scale=SCALE))
     out = TB.read_table(spark, f"{base}/avg")
     return _ntz(out.select("device_id", "window_start", "window_end", "avg_temp"), "window_start", "window_end")
 
@@ -707,7 +713,8 @@ def q_stream_mean_5m(spark, sf_dir):
     env = X.messages(X.events(spark, sf_dir, spread_rows=True))
     base = _replay_run(spark, env, "mean5m",
                        lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "5 minutes", "0 seconds",
-                                                            parts=True, state_partitions=cluster_cores(spark)))
+                                                            parts=True, state_partitions=cluster_cores(spark),
+                                                            exact_scale=SCALE))
     out = TB.read_table(spark, f"{base}/avg")
     return _ntz(out.select("device_id", "window_start", "window_end", "last_event_ts", "sum_temp", "n",
                            "avg_temp"), "window_start", "window_end", "last_event_ts")
@@ -783,7 +790,8 @@ def q_stream_averages_bus(spark, sf_dir):
     env = X.messages(X.events(spark, sf_dir, spread_rows=True))
     base = _replay_run(spark, env, "bus",
                        lambda s, b, ck: J.averages_to_bus(s, f"{b}/topic", ck,
-                                                          state_partitions=cluster_cores(spark)))
+                                                          state_partitions=cluster_cores(spark),
+                                                          exact_scale=SCALE))
     topic = B.read_bus(spark, "iot_windowed_data", "parquet", f"{base}/topic", streaming=False)
     m = from_json_col(F.col("value").cast("string"), WINDOW_AVG_MESSAGE)
     out = topic.select("topic", m.alias("m")).select(

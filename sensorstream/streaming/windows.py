@@ -51,15 +51,16 @@ def guard_future(df: DataFrame, ts: str = "ts", record_col: str = "record_ts",
 
 def windowed_average(readings: DataFrame, keys="device_id", ts: str = "ts",
                      width: str = "1 minute", delay: str | None = "5 seconds",
-                     value: str = "temperature", out: str = "avg_temp") -> DataFrame:
+                     value: str = "temperature", out: str = "avg_temp",
+                     exact_scale: int | None = None) -> DataFrame:
     """A1 + W1/W4 for batch and stream alike (watermark only on streams)."""
     src = watermark(readings, ts, delay) if (delay is not None and readings.isStreaming) else readings
-    return A.tumbling_avg(src, keys, ts, width, value, out)
+    return A.tumbling_avg(src, keys, ts, width, value, out, exact_scale)
 
 
 def windowed_mean_parts(readings: DataFrame, keys="device_id", ts: str = "ts",
                         width: str = "5 minutes", delay: str | None = "0 seconds",
-                        value: str = "temperature") -> DataFrame:
+                        value: str = "temperature", exact_scale: int | None = None) -> DataFrame:
     """A2 + W2 (the in-order variant with 5-minute windows)."""
     src = watermark(readings, ts, delay) if (delay is not None and readings.isStreaming) else readings
-    return A.tumbling_mean_parts(src, keys, ts, width, value)
+    return A.tumbling_mean_parts(src, keys, ts, width, value, exact_scale)
