@@ -33,6 +33,8 @@ SCALE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Each micro-batch uploads only the state changes, not a full snapshot.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Not set: rocksdb.boundedMemoryUsage (one capped budget per executor);
+    # with its default cap the windowed stream ran ~3x slower (21 s vs 7.7 s).
 }
 
 
