@@ -528,7 +528,8 @@ SELECT device_id, ts, temperature, status FROM k WHERE rn <= 3""")
 def q_latest_n(spark, sf_dir):
     """L1 (all keys): newest 3 readings of every device."""
     r = X.natural_readings(X.events(spark, sf_dir))
-    return _ntz(TN.latest_n(r, "device_id", "ts", 3).select("device_id", "ts", "temperature", "status"), "ts")
+    cols = r.select("device_id", "ts", "temperature", "status")   # project first: ties break on these only
+    return _ntz(TN.latest_n(cols, "device_id", "ts", 3), "ts")
 
 
 @register("latest_n_device", f"""
