@@ -28,13 +28,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+_UNIT_MS = {"ms": 1, "millisecond": 1, "s": 1000, "sec": 1000, "second": 1000, "min": 60_000,
+            "minute": 60_000, "h": 3_600_000, "hr": 3_600_000, "hour": 3_600_000, "d": 86_400_000,
+            "day": 86_400_000}
+
+
 def interval_ms(text: str) -> int:
-    """'5 minutes' -> 300000 (units: ms, s, min, h, d)."""
+    """'5 minutes' -> 300000 (units: ms, s/sec/second, min/minute, h/hr/hour,
+    d/day; plural forms accepted)."""
     n, unit = text.strip().split(None, 1)
-    unit = unit.lower().rstrip("s") if unit.lower() not in ("ms",) else "ms"
-    mult = {"ms": 1, "millisecond": 1, "second": 1000, "sec": 1000, "minute": 60_000,
-            "min": 60_000, "hour": 3_600_000, "day": 86_400_000}[unit]
-    return int(float(n) * mult)
+    u = unit.strip().lower()
+    if u not in _UNIT_MS and u.endswith("s"):
+        u = u[:-1]
+    if u not in _UNIT_MS:
+        raise ValueError(f"unknown interval unit in {text!r}")
+    return int(float(n) * _UNIT_MS[u])
 
 
 def _cols(c) -> list[str]:

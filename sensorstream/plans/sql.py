@@ -26,9 +26,17 @@ def tumbling_avg_sql(source: str = "iot_sensor_data", ts: str = "ts", width: str
 
 
 def split_statements(script: str) -> list[str]:
-    """Split a script at top-level ``;`` (quotes respected)."""
-    out, cur, quote = [], [], None
-    for ch in script:
+    """Split a script at top-level ``;`` (quotes and ``--`` comments respected)."""
+    out, cur, quote, comment = [], [], None, False
+    for i, ch in enumerate(script):
+        if comment:
+            if ch == "\n":
+                comment = False
+                cur.append(ch)
+            continue
+        if not quote and ch == "-" and script[i + 1:i + 2] == "-":
+            comment = True
+            continue
         if quote:
             cur.append(ch)
             if ch == quote:

@@ -166,3 +166,9 @@ def test_declare_stream_and_sql_script(spark):
         SELECT device_id, window.start AS ws, avg(temperature) AS a
         FROM readings_ok GROUP BY device_id, window(ts, '1 minute');""")
     assert [tuple(r) for r in out.collect()] == [("d", _t(0), 2.0)]
+
+
+def test_interval_units_and_script_comments():
+    assert [TS.interval_ms(t) for t in ("5 minutes", "1 h", "2 hours", "30 s", "1 day", "250 ms", "3 mins")] == \
+        [300_000, 3_600_000, 7_200_000, 30_000, 86_400_000, 250, 180_000]
+    assert split_statements("SELECT 1; -- a; comment\nSELECT 2") == ["SELECT 1", "SELECT 2"]
