@@ -42,3 +42,24 @@ def test_partial_aggregation_before_shuffle(spark):
 def test_windows_are_partitioned(spark):
     for name in ("latest_n", "counter_rate_5m", "anomalies", "status_distribution_by_device"):
         assert not C.has_unpartitioned_window(E.queries()[name](spark, SF_SMALL)), name
+
+
+@pytest.mark.parametrize("name", sorted(BATCH))
+def test_no_broadcast(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    assert "Broadcast" not in C.plan_text(df)
+
+
+def _shuffles(df):
+    import re
+    return [e for e in re.findall(r"Exchange (\w+)", C.plan_text(df)) if e != "RoundRobinPartitioning"]
+
+
+def test_counter_rate_shuffles_once(spark):
+    df = E.queries()["counter_rate_5m"](spark, SF_SMALL)
+    assert _shuffles(df) == ["hashpartitioning"]
+
+
+def test_global_top_n_limits_before_the_shuffle(spark):
+    plan = C.plan_text(E.queries()["latest_n_device"](spark, SF_SMALL))
+    assert plan.count("WindowGroupLimit") == 2 and "TakeOrderedAndProject" in plan
