@@ -197,19 +197,21 @@ def describe_table(spark: SparkSession, path: str) -> DataFrame:
 def compact(spark: SparkSession, path: str, strategy: str = "window") -> Manifest:
     """K7: fold the log into a new snapshot generation and switch the manifest.
 
-    Only batches already committed when compaction starts are folded in
-    (``upto`` = their highest id, taken from the log listing); batches written
-    meanwhile stay in the log and are still read.  Old generations and folded
-    log folders can be removed afterwards; readers no longer touch them.
+    Folds every batch *below* the newest one visible when compaction starts.
+    The newest batch stays in the log: a writer may still be committing its
+    files (they appear one by one), and it is the only batch a restarted
+    stream may rewrite.  Batches written meanwhile also stay in the log and are
+    still read.  Old generations and folded log folders can be removed
+    afterwards; readers no longer touch them.  One compactor at a time.
     """
     m = read_manifest(spark, path)
     if m is None:
         raise FileNotFoundError(f"no table at {path}")
     versions = table_versions(spark, path)
     hi = versions.agg(F.max(BATCH)).first()[0]  # one scalar
-    if hi is None:
-        return m
-    upto = int(hi)
+    if hi is None or int(hi) - 1 <= m.upto:
+        return m                                 # nothing settled to fold yet
+    upto = int(hi) - 1
     folded = latest_wins(versions.filter(F.col(BATCH) <= upto), _group_keys(m), [BATCH] + m.order, strategy)
     gen = m.generation + 1
     folded.write.mode("overwrite").parquet(f"{path}/snapshot/gen={gen}")
