@@ -14,6 +14,11 @@ checkpoint replays the last batch -- leaves the table unchanged (K4).
 Reading = snapshot + log batches above ``upto``, then ``latest_wins`` on the
 keys.  Compaction writes a new generation, then a new manifest version; the
 writer never waits for it and readers switch atomically on the manifest.
+
+Isolation: plain Parquet has no atomic multi-file commit, so a read that
+overlaps the commit of the newest batch may see part of it (or, during a
+replay's overwrite, none of it); the next read sees it whole.  Older batches
+and snapshots are immutable.
 """
 
 from __future__ import annotations
