@@ -17,13 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorstream.llm import decontaminate, mixing, near_dup, quality_rules, token_files
+from sensorstream.llm._columns import packed, unpacked
 from sensorstream.llm._scratch import settle
 from sensorstream.session import scratch_path
 
 
 def by_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the fixed and the adaptive rules keep."""
-    return quality_rules.quality_rules(docs).where("kept").select(docs.columns)
+    needed = "doc_id", "lang", "source", "text"
+    return unpacked(quality_rules.quality_rules(packed(docs, *needed)).where("kept"), docs.columns, *needed)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of documents so that each source meets its target."""
-    return mixing.take(mixing.mix(docs)).select(docs.columns)
+    needed = "doc_id", "source", "text"
+    return unpacked(mixing.take(mixing.mix(packed(docs, *needed))), docs.columns, *needed)
 
 
 def to_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
