@@ -25,6 +25,9 @@ from __future__ import annotations
 
 import json
 import os
+import struct
+import sys
+import types
 import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
@@ -32,13 +35,14 @@ from urllib.parse import urlparse
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 END_ID = 1
-#: Pieces kept by a worker before its table is started anew.
-CACHE_PIECES = 400_000
+#: Pieces kept by a worker before a table is started anew (about 100 bytes each).
+CACHE_PIECES = 900_000
 _BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -58,28 +62,92 @@ def _write(folder: str, name: str, chunks: list[bytes]) -> None:
     fs.move(own, f"{path}/{name}")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level
+    vocabulary: itself, or the next free one from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+#: Pieces of Latin letters, digits and marks: case and splitting are plain.
+_SIMPLE = regex.compile("[\x21-\x7e\xa1-\u012f\u0131-\u024f]+")
+
+
+def _worker_tables(key: tuple) -> tuple[dict, dict]:
+    """Tables of this worker process, shared by the tasks that it runs in turn
+    (this module itself travels by value, anew for each task)."""
+    home = sys.modules.setdefault("_token_tables_of_worker", types.ModuleType("_token_tables_of_worker"))
+    return home.__dict__.setdefault(key, ({}, {}))
+
+
 class PieceEncoder:
-    """Ids of whole texts as little-endian bytes, through a table of pieces."""
+    """Ids of whole texts as little-endian bytes, through tables.
+
+    A text's blank-separated pieces are looked up in a table.  A new piece of
+    Latin characters is lowered and cut by the tokenizer's own pattern, and its
+    parts, of which there are far fewer, are looked up in a second table or
+    given to the tokenizer's model.  Other pieces, and all pieces for a
+    tokenizer of another make, go through the whole tokenizer.
+    """
 
     def __init__(self, tokenizer_file: str, dtype: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.dtype, self.table = np.dtype(dtype).newbyteorder("<"), {}
+        self.dtype = np.dtype(dtype).newbyteorder("<")
+        self.code = {"uint16": "<%dH", "uint32": "<%dI"}[dtype]
+        held = _worker_tables((tokenizer_file, dtype))
+        self.table: dict[str, bytes] = held[0]
+        self.parts: dict[str, bytes] = held[1]
+        self.letters = _byte_letters()
+        self.pattern = self._own_pattern(json.loads(self.tokenizer.to_str()))
+
+    @staticmethod
+    def _own_pattern(spec: dict) -> regex.Pattern | None:
+        """The pattern that cuts words, if the tokenizer lowers, cuts by a
+        pattern and maps bytes, and does nothing else."""
+        steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        if steps != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in cuts] != ["Split", "ByteLevel"]:
+            return None
+        if not cuts[0]["invert"] or cuts[1]["add_prefix_space"] or cuts[1]["use_regex"] or spec.get("post_processor"):
+            return None
+        return regex.compile(cuts[0]["pattern"]["Regex"])
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return struct.pack(self.code % len(ids), *ids)
+
+    def _learn(self, new: list[str]) -> None:
+        hard, parts, model, letters = [], self.parts, self.tokenizer.model, self.letters
+        for piece in new:
+            if self.pattern is None or "<|" in piece or not _SIMPLE.fullmatch(piece):
+                hard.append(piece)
+                continue
+            got = []
+            for part in self.pattern.findall(piece.lower()):
+                ids = parts.get(part)
+                if ids is None:
+                    mapped = "".join([letters[b] for b in part.encode()])
+                    ids = parts[part] = self._bytes([t.id for t in model.tokenize(mapped)])
+                got.append(ids)
+            self.table[piece] = b"".join(got)
+        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        for at in range(0, len(hard), 4096):
+            some = hard[at:at + 4096]
+            for piece, got in zip(some, encode(some, add_special_tokens=False), strict=True):
+                self.table[piece] = self._bytes(got.ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = [t.split(" ") if t.isascii() and not any(b in t for b in _BLANKS[1:]) else
-                  t.translate(_TO_SPACE).split(" ") for t in texts]
-        table = self.table
-        new = list({p for text in pieces for p in text}.difference(table))
+        pieces = [t.translate(_TO_SPACE).split(" ") for t in texts]
+        table, every = self.table, {p for text in pieces for p in text}
+        new = every.difference(table)
+        if len(self.parts) > CACHE_PIECES:
+            self.parts.clear()
         if len(table) + len(new) > CACHE_PIECES:
             table.clear()
-            new = list({p for text in pieces for p in text})
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for piece, got in zip(part, encode(part, add_special_tokens=False), strict=True):
-                table[piece] = np.array(got.ids, dtype=self.dtype).tobytes()
+            new = every
+        self._learn(list(new))
         return [b"".join([table[p] for p in text]) for text in pieces]
 
 
