@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (crf_quality, decontaminate, mixing, near_dup, pii, quality_rules,
-               ring_shards, token_files)
+               ring_shards, substring_dup, token_files)
 from ._columns import crc32_of
 from ._scratch import settle
 
@@ -59,6 +59,11 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = substring_dup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return rest.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     judged = quality_rules.judge(settle(quality_rules.measure(docs).drop("text"), "measured"))
@@ -79,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op4_mixing": op4_mixing,
     "op5_decontaminate": op5_decontaminate,
     "op6_near_dup": op6_near_dup,
+    "op7_substring_dup": op7_substring_dup,
     "op8_quality_rules": op8_quality_rules,
     "op10_ring_shards": op10_ring_shards,
 }
