@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (crf_quality, decontaminate, mixing, near_dup, pii, quality_rules,
+from . import (crf_quality, decontaminate, katz_lm, mixing, near_dup, pii, quality_rules,
                ring_shards, substring_dup, token_files)
 from ._columns import crc32_of
 from ._scratch import settle
@@ -71,6 +71,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op9_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = katz_lm.score(_table(spark, sf_dir, "documents"), "crc32(cast(cast(doc_id as string) as binary)) % 7 <> 2")
+    return scored.select("doc_id", (crc32_of("doc_id") % 7 == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op10_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return (ring_shards.ring_shards(docs, 40, carry=False)
@@ -86,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op6_near_dup": op6_near_dup,
     "op7_substring_dup": op7_substring_dup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_katz_lm": op9_katz_lm,
     "op10_ring_shards": op10_ring_shards,
 }
 
