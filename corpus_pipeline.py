@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sensorstream.llm import decontaminate, mixing, near_dup, quality_rules, token_files
 from sensorstream.llm._columns import packed, unpacked
-from sensorstream.llm._scratch import settle
+from sensorstream.llm._scratch import bounded, settle
 from sensorstream.session import scratch_path
 
 
@@ -31,7 +31,7 @@ def by_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component; rows without an id stay."""
     gone = near_dup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(settle(gone, "duplicates"), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(bounded(settle(gone, "duplicates")), "doc_id", "left_anti").select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

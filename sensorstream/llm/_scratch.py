@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -26,3 +27,13 @@ def share(spark: SparkSession, value: object):
     """
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
     return lambda: cloudpickle.loads(sent.value)
+
+
+#: Most ids of a table that is broadcast whole: some 30 MB.
+BROADCAST_IDS = 1_000_000
+
+
+def bounded(ids: DataFrame) -> DataFrame:
+    """A stored table of ids as a join side: marked for broadcast if it is
+    counted to be small, else left to a shuffled join."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

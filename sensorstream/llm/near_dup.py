@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._scratch import settle
+from ._scratch import bounded, settle
 from ._text import mix, random_words, scan, signed
 from .components import connected_components
 
@@ -164,13 +164,14 @@ def _linked(percent: int):
 
 def _confirmed(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs ``(u, v)`` that are links."""
-    minima = sketches.select("doc_id", "minima")
+    ends = settle(pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct(), "ends")
+    minima = settle(sketches.select("doc_id", "minima").join(bounded(ends), "doc_id", "left_semi"), "minima")
     seen = (pairs.join(minima.select(F.col("doc_id").alias("u"), F.col("minima").alias("mu")), "u")
             .join(minima.select(F.col("doc_id").alias("v"), F.col("minima").alias("mv")), "v")
             .select("u", "v", "mu", "mv").mapInArrow(_agreeing, "u long, v long"))
     seen = settle(seen, "agreeing")
-    wanted = seen.select(F.col("u").alias("doc_id")).union(seen.select("v")).distinct()
-    sets = (docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
+    wanted = settle(seen.select(F.col("u").alias("doc_id")).union(seen.select("v")).distinct(), "wanted")
+    sets = (docs.join(bounded(wanted), "doc_id", "left_semi").select("doc_id", "text")
             .mapInArrow(_full_sets, "doc_id long, shingles binary"))
     sets = settle(sets, "sets")
     return (seen.join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su")), "u")
@@ -185,15 +186,13 @@ def _with_component(members: DataFrame, links: DataFrame) -> DataFrame:
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, parts, row = batch.column(0).to_numpy(), batch.column(2).to_numpy(), 0
+        ids, row = batch.column(0).to_numpy(), 0
         for words in scan(batch.column(1), lower=True):
             sets = list(shingle_sets(words))
             n = np.array([len(s) for s in sets], dtype=np.int64)
-            span = slice(row, row + len(sets))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(ids[span], n)), pa.array(np.repeat(parts[span], n)),
-                 pa.array(np.repeat(n, n)), pa.array(signed(np.concatenate(sets)))],
-                names=["doc_id", "component", "n", "shingle"])
+                [pa.array(np.repeat(ids[row:row + len(sets)], n)), pa.array(signed(np.concatenate(sets)))],
+                names=["doc_id", "shingle"])
             row += len(sets)
 
 
@@ -207,13 +206,18 @@ def _prefix_pairs(open_docs: DataFrame, docs: DataFrame, percent: int) -> DataFr
     expanded into all pairs: only documents outside the component that holds
     most of its documents are paired.
     """
-    rows = settle(docs.join(open_docs, "doc_id").select("doc_id", "text", "component")
-                  .mapInArrow(_shingle_rows, "doc_id long, component long, n long, shingle long"), "shingles")
-    often = rows.groupBy("shingle").agg(F.count("*").alias("often"))
+    rows = settle(docs.join(bounded(open_docs), "doc_id", "left_semi").select("doc_id", "text")
+                  .mapInArrow(_shingle_rows, "doc_id long, shingle long"), "shingles")
+    often = rows.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
+    sizes = rows.groupBy("doc_id").agg(F.count("*").alias("n"))
+    # Shingles of one document only come first and make no pair: places of the
+    # others follow them.
     order = Window.partitionBy("doc_id").orderBy("often", "shingle")
-    first = (rows.join(often, "shingle").withColumn("place", F.row_number().over(order))
-             .where(F.expr(f"place <= n - ceil({percent} * n / 100.0) + 1 AND often > 1"))
-             .select("shingle", "doc_id", "component", "n", "place"))
+    shared = rows.join(often, "shingle").withColumn("k", F.row_number().over(order)).withColumn(
+        "m", F.count("*").over(Window.partitionBy("doc_id")))
+    first = (shared.join(sizes, "doc_id").withColumn("place", F.expr("n - m + k"))
+             .where(F.expr(f"place <= n - ceil({percent} * n / 100.0) + 1"))
+             .join(open_docs, "doc_id").select("shingle", "doc_id", "component", "n", "place"))
     first = settle(first, "prefixes")
     parts = first.groupBy("shingle", "component").agg(F.count("*").alias("held"))
     main = (parts.groupBy("shingle").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("held", "component"))
@@ -245,11 +249,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     named = sketches.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = named.groupBy("key_hi", "key_lo").agg(F.min("doc_id").alias("rep"))
     member = settle(named.select("doc_id", "key_hi", "key_lo").join(classes, ["key_hi", "key_lo"])
-                    .select("doc_id", "rep"), "classes")
-    # One sketch per distinct set: the row of the class's smallest document.
-    reps = named.join(classes.select("key_hi", "key_lo", F.col("rep").alias("doc_id")),
-                      ["key_hi", "key_lo", "doc_id"], "left_semi")
-    banded = reps.select("doc_id", F.explode(F.array_distinct("bands")).alias("band"))
+                    .select("doc_id", "key_hi", "key_lo", "rep"), "classes")
+    # Of a class only its smallest document goes on.
+    others = member.where("doc_id <> rep").select("doc_id", "key_hi", "key_lo")
+    banded = (named.select("doc_id", "key_hi", "key_lo", "bands").join(others, ["doc_id", "key_hi", "key_lo"], "left_anti")
+              .select("doc_id", F.explode(F.array_distinct("bands")).alias("band")))
     buckets = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).where("n > 1")
     members = settle(banded.join(buckets, "band").select("band", "doc_id", "low"), "buckets")
     same = member.where("doc_id <> rep").select(F.col("rep").alias("u"), F.col("doc_id").alias("v"))
@@ -257,13 +261,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     tried = settle(members.where("doc_id <> low").select(F.col("low").alias("u"), F.col("doc_id").alias("v"))
                    .distinct(), "pairs")
-    links = settle(_confirmed(tried, reps, rep_docs, percent), "links")
+    links = settle(_confirmed(tried, named, rep_docs, percent), "links")
     placed = settle(_with_component(members.select("band", "doc_id"), links), "placed")
     mixed = (placed.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"))
              .where("a <> b").select("band"))
     open_docs = settle(placed.join(mixed, "band").select("doc_id", "component").distinct(), "open")
     rest = _prefix_pairs(open_docs, rep_docs, percent).join(tried, ["u", "v"], "left_anti")
-    links = links.unionByName(settle(_confirmed(settle(rest, "pairs"), reps, rep_docs, percent), "links"))
+    links = links.unionByName(settle(_confirmed(settle(rest, "pairs"), named, rep_docs, percent), "links"))
     # Documents of a class hang on its first one, which hangs on its component.
     found = connected_components(links.unionByName(same))
     sized = sketches.select("doc_id", "n_shingles")
