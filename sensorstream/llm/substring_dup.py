@@ -35,7 +35,7 @@ from ._text import _power_tables, _RUN, Words, mix, scan, signed
 
 SIZE = 35
 GRAM = 12
-SHARD_PIECES = 500
+SHARD_PIECES = 5000
 
 _ROW = "doc_id long, text_crc long"
 _ANCHORS = f"{_ROW}, anchor long, piece long, first int, windows int"
