@@ -23,6 +23,7 @@ Words are known by 48 bits of their hash.
 
 from __future__ import annotations
 
+import itertools
 import struct
 from collections.abc import Iterator
 from urllib.parse import urlparse
@@ -32,6 +33,7 @@ import pyarrow as pa
 import pyarrow.dataset
 import pyarrow.fs
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,10 +64,11 @@ def _from_six(raw: memoryview, n: int) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
-def pack(history: np.ndarray, word: np.ndarray, doc: np.ndarray, docs: np.ndarray) -> bytes:
+def pack(history: np.ndarray, word: np.ndarray, doc: np.ndarray, docs: np.ndarray, number: int = 0) -> bytes:
     """A block of pairs sorted by history, word, document.
 
-    ``doc`` are rows of ``docs`` (id, null mark, checksum, train mark).
+    ``doc`` are rows of ``docs`` (id, null mark, row in the pack, train mark);
+    ``number`` is the pack's, the texts that a map task sorted together.
     """
     new = np.ones(len(doc), dtype=bool)
     pair = np.ones(len(doc), dtype=bool)
@@ -80,12 +83,13 @@ def pack(history: np.ndarray, word: np.ndarray, doc: np.ndarray, docs: np.ndarra
     arrays = [_six(history[head]), follow.astype("<u4").tobytes(), _six(word[pair]), places.astype("<u4").tobytes(),
               local.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), times.astype("<u4").tobytes(), docs[used].astype("<i8").T.tobytes()]
     sizes = struct.pack("<4q", int(head.sum()), int(pair.sum()), int(new.sum()), len(used))
-    return zstandard.compress(sizes + b"".join(arrays), 3)
+    return zstandard.compress(sizes + b"".join(arrays) + struct.pack("<q", number), 3)
 
 
 def unpack(block: bytes) -> dict[str, np.ndarray]:
     """Entries ``history, word, doc, times`` and the block's ``docs``."""
     raw = memoryview(zstandard.decompress(block))
+    pack_id, = struct.unpack("<q", raw[-8:])
     h, p, e, d = struct.unpack("<4q", raw[:32])
     at = 32
 
@@ -102,7 +106,8 @@ def unpack(block: bytes) -> dict[str, np.ndarray]:
     times = np.frombuffer(take(4 * e), "<u4")
     docs = np.frombuffer(take(32 * d), "<i8").reshape(4, d)
     return {"history": np.repeat(np.repeat(history, follow), places), "word": np.repeat(word, places),
-            "doc": doc.astype(np.int64), "times": times.astype(np.int64), "docs": docs}
+            "doc": doc.astype(np.int64), "times": times.astype(np.int64), "docs": docs,
+            "pack": pack_id}
 
 
 def _tokens(words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,6 +147,7 @@ def _bucket(history: np.ndarray, word: np.ndarray, hot: np.ndarray, buckets: int
 def _blocks(hot: np.ndarray, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        packs = itertools.count(TaskContext.get().partitionId() << 32)
 
         def flush() -> Iterator[pa.RecordBatch]:
             base, parts, docs = 0, [], []
@@ -150,20 +156,21 @@ def _blocks(hot: np.ndarray, buckets: int):
                 docs.append(own)
                 base += len(own)
             history, word, doc = (np.concatenate([p[k] for p in parts]) for k in range(3))
-            table = np.concatenate(docs)
+            table, number = np.concatenate(docs), next(packs)
+            table[:, 2] = np.arange(len(table))
             bucket = _bucket(history, word, hot, buckets)
             order = np.lexsort((doc, word, history, bucket))
             history, word, doc, bucket = history[order], word[order], doc[order], bucket[order]
             for part in np.split(np.arange(len(order)), np.flatnonzero(np.diff(bucket)) + 1):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(bucket[part[0]])], pa.int32()), pa.array([pack(history[part], word[part], doc[part], table)], pa.binary())],
+                    [pa.array([int(bucket[part[0]])], pa.int32()), pa.array([pack(history[part], word[part], doc[part], table, number)], pa.binary())],
                     names=["bucket", "block"])
             held.clear()
 
         for batch in batches:
             ids = batch.column(0)
             null = np.array(ids.is_null().to_numpy(zero_copy_only=False))
-            about = np.stack([ids.fill_null(0).to_numpy(), null, batch.column(1).fill_null(-1).to_numpy(),
+            about = np.stack([ids.fill_null(0).to_numpy(), null, np.zeros(len(ids)),
                               np.array(batch.column(2).to_pylist(), dtype=bool)], axis=1).astype(np.int64)
             row = 0
             for words in scan(batch.column(3), lower=True):
@@ -347,14 +354,33 @@ def _score(shared):
                     log += np.where(flat[k] == key, gain[k], 0.0)
                 n, docs = block["times"], block["docs"]
                 total = lambda x: np.bincount(block["doc"], weights=x, minlength=docs.shape[1])  # noqa: B023, E731
+                sums = np.stack([total(n * log), total(n * base[at])]).astype("<f8").tobytes()
+                counts_ = np.stack([docs[0], docs[1], docs[2], total(n * known[at]), total(n)]).astype("<i8").tobytes()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(docs[0], mask=docs[1] == 1), pa.array(docs[2]),
-                    pa.array(total(n * log)), pa.array(total(n * base[at])), pa.array(total(n * known[at]).astype(np.int64)),
-                    pa.array(total(n).astype(np.int64)), pa.array(total(n * begin[at]).astype(np.int64)),
-                ], names=["doc_id", "text_crc", "log", "base", "known", "tokens", "rows"])
+                    pa.array([block["pack"]], pa.int64()),
+                    pa.array([zstandard.compress(sums, 1)], pa.binary()), pa.array([zstandard.compress(counts_, 1)], pa.binary()),
+                ], names=["pack", "sums", "counts"])
     return run
 
 
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each document of the packs of a partition."""
+    packs: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    for batch in batches:
+        for number, sums, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            packs.setdefault(number, []).append((np.frombuffer(zstandard.decompress(sums), "<f8").reshape(2, -1),
+                                                 np.frombuffer(zstandard.decompress(counts), "<i8").reshape(5, -1)))
+    while packs:
+        _, parts = packs.popitem()
+        sums, counts = (np.concatenate([p[k] for p in parts], axis=1) for k in (0, 1))
+        rows, at, back = np.unique(counts[2], return_index=True, return_inverse=True)
+        add = lambda x: np.bincount(back, weights=x, minlength=len(rows))  # noqa: B023, E731
+        yield pa.RecordBatch.from_arrays([
+            pa.array(counts[0][at], mask=counts[1][at] == 1), pa.array(add(counts[4]).astype(np.int64)),
+            pa.array(add(counts[3]).astype(np.int64)), pa.array(add(sums[1])), pa.array(add(sums[0]))],
+            names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+
 def _mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
     from ._text import mix
     return mix(mix(history.astype(np.uint64)) + word.astype(np.uint64))
@@ -398,14 +424,10 @@ def score(docs: DataFrame, train: str = "true") -> DataFrame:
     unigrams, discount = Unigrams(total, kinds, few), discounts(pair_few, LEAST)
     left = _left(spark, path, hot, unigrams, discount) if total else {}
     model = share(spark, {"words": unigrams, "hot": hot, "path": path, "discount": discount, "left": left, "ends": ends})
-    parts = blocks.mapInArrow(_score(model), "doc_id long, text_crc long, log double, base double, known long, tokens long, rows long")
-    sums = parts.groupBy("doc_id", "text_crc").agg(*(F.sum(c).alias(c) for c in ("log", "base", "known", "tokens", "rows")))
-    same = F.expr("a.doc_id <=> b.doc_id AND a.text_crc <=> b.text_crc")
-    each = rows.select("doc_id", "text_crc")
-    return (each.alias("a").join(sums.alias("b"), same)
-            .select("a.doc_id", F.expr("b.tokens div b.rows").alias("n_tokens"), F.expr("b.known div b.rows").alias("n_known"),
-                    F.lit(total).cast("long").alias("train_tokens"), (F.col("b.base") / F.col("b.rows")).alias("base_score"),
-                    (F.col("b.log") / F.col("b.rows")).alias("score")))
+    # A pack's documents meet again: few rows, each with the sums of many.
+    parts = blocks.mapInArrow(_score(model), "pack long, sums binary, counts binary").repartition("pack")
+    scored = parts.mapInArrow(_gather, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return scored.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def _left(spark, path: str, hot: dict[int, int], words: Unigrams, discount: np.ndarray
