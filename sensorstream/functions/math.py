@@ -21,7 +21,10 @@ def exact_sum(col, scale: int) -> Column:
     partial aggregates are merged, so a re-run or a re-plan gives identical
     bits.  Only for columns with at most ``scale`` decimals (readings carry
     two by the data contract): the cast rounds anything finer."""
-    return F.sum(_c(col).cast(f"decimal(28,{scale})")).cast("double")
+    c = _c(col)
+    exact = c.try_cast(f"decimal(28,{scale})")
+    # NaN, infinities and values beyond the decimal: the plain sum has them.
+    return F.when(F.count(exact) == F.count(c), F.sum(exact).try_cast("double")).otherwise(F.sum(c.cast("double")))
 
 
 def exact_mean(col, scale: int) -> Column:

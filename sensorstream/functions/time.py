@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import ISO_TS_FORMAT, SQL_TS_FORMAT
 
+_ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?$"
 _SQL_TS_MICRO = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -24,14 +25,19 @@ def parse_sql_ts(col) -> Column:
 
 
 def parse_iso_ts(col) -> Column:
-    """ISO-8601 with optional fraction and zone (``Z`` = UTC)."""
-    return F.try_to_timestamp(_c(col))
+    """ISO-8601 date and time with optional fraction and zone (``Z`` = UTC).
+
+    A time alone or a shorter date is NULL: Spark would read the first as
+    today's and fill in the second.
+    """
+    c = _c(col)
+    return F.when(c.rlike(_ISO_SHAPE), F.try_to_timestamp(c))
 
 
 def parse_any_ts(col) -> Column:
     """SQL form with 1-6 fraction digits first, then ISO-8601."""
     c = _c(col)
-    return F.coalesce(F.try_to_timestamp(c, F.lit(_SQL_TS_MICRO)), F.try_to_timestamp(c))
+    return F.coalesce(F.try_to_timestamp(c, F.lit(_SQL_TS_MICRO)), parse_iso_ts(c))
 
 
 def parse_ts(col, mode: str = "sql") -> Column:

@@ -25,11 +25,12 @@ def anomalies(win: DataFrame, keys="device_id", order: str = "window_start",
     out = (win.withColumn("prev_n", cnt)
               .withColumn("prev_mean", mean)
               .withColumn("prev_std", std))
-    if digits is not None:
-        out = (out.withColumn("prev_mean", F.round("prev_mean", digits))
-                  .withColumn("prev_std", F.round("prev_std", digits)))
     v, m, s = F.col(value), F.col("prev_mean"), F.col("prev_std")
     flag = (F.when(F.col("prev_n") < min_history, F.lit(False))
              .when(s == 0, v != m)
              .otherwise(F.abs(v - m) > F.lit(k) * s))
-    return out.withColumn("is_anomaly", F.coalesce(flag, F.lit(False)))
+    out = out.withColumn("is_anomaly", F.coalesce(flag, F.lit(False)))
+    if digits is not None:      # for show only: the flag compares unrounded values
+        out = (out.withColumn("prev_mean", F.round("prev_mean", digits))
+                  .withColumn("prev_std", F.round("prev_std", digits)))
+    return out

@@ -70,6 +70,10 @@ def flag_malformed(df: DataFrame) -> DataFrame:
     return out.drop("malformed")
 
 
+#: Readings of this size or more are no measurements.
+MOST_READING = 1e15
+
+
 def require_fields(df: DataFrame, required: list[str]) -> DataFrame:
     """Flag the first required field that is NULL (F1 is the complement)."""
     out = df
@@ -80,10 +84,15 @@ def require_fields(df: DataFrame, required: list[str]) -> DataFrame:
 
 def coerce(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """``try_cast`` each field; a non-NULL input that does not convert is
-    flagged ``bad_<field>`` (``NaN`` text converts, like ``float()``)."""
+    flagged ``bad_<field>``.  A float must be a finite number under
+    ``MOST_READING`` without a type letter (``31.5d``): one such reading would
+    decide a whole window's mean."""
     out = df
     for name, typ in types.items():
-        cast = F.col(name).cast("string").try_cast(typ) if typ != "string" else F.col(name)
+        text = F.col(name).cast("string")
+        cast = text.try_cast(typ) if typ != "string" else F.col(name)
+        if typ in ("double", "float"):
+            cast = F.when((F.abs(cast) < MOST_READING) & ~F.isnan(cast) & ~F.trim(text).rlike("[dDfF]$"), cast)
         out = _flag(out, F.col(name).isNotNull() & cast.isNull(), f"bad_{name}")
         out = out.withColumn(name, cast)
     return out

@@ -10,19 +10,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# SQL twin of operators.aggregates.tumbling_avg (exact decimal mean).
+# SQL twin of operators.aggregates.tumbling_avg.
 TUMBLING_AVG_SQL = """
 SELECT device_id,
        window.start AS window_start,
        window.end   AS window_end,
-       CAST(SUM(CAST(temperature AS DECIMAL(18,2))) AS DOUBLE) / COUNT(temperature) AS avg_temp
+       {mean} AS avg_temp
 FROM {source}
 GROUP BY device_id, window({ts}, '{width}')
 """
 
 
-def tumbling_avg_sql(source: str = "iot_sensor_data", ts: str = "ts", width: str = "1 minute") -> str:
-    return TUMBLING_AVG_SQL.format(source=source, ts=ts, width=width)
+def tumbling_avg_sql(source: str = "iot_sensor_data", ts: str = "ts", width: str = "1 minute",
+                     exact_scale: int | None = None) -> str:
+    """``exact_scale``: an order-independent mean of readings with at most so many decimals."""
+    mean = "AVG(temperature)" if exact_scale is None else (
+        f"CAST(SUM(CAST(temperature AS DECIMAL(28,{exact_scale}))) AS DOUBLE) / COUNT(temperature)")
+    return TUMBLING_AVG_SQL.format(source=source, ts=ts, width=width, mean=mean)
 
 
 def split_statements(script: str) -> list[str]:

@@ -223,7 +223,7 @@ FROM events"""
 @register("decode_json", _MSG_FIELDS_SQL)
 def q_decode_json(spark, sf_dir):
     """Bus messages (some broken) -> typed fields and a malformed flag."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True), corrupt=True)
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
     d = D.coerce(D.decode_json(env), {"temperature": "double", "humidity": "double"})
     return d.select("partition", "offset", "device_id", "timestamp", "temperature",
                     "humidity", "status", "malformed")
@@ -235,7 +235,7 @@ SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset", de
 FROM r WHERE ({_REASON_SQL}) IS NULL""")
 def q_valid_readings(spark, sf_dir):
     """Rows that survive decode, required-field, number and time checks."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True), corrupt=True)
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
     valid, _ = D.split_valid(D.decode_readings(env))
     return _ntz(valid.select("partition", "offset", *D.READING_FIELDS), "ts")
 
@@ -245,7 +245,7 @@ SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset", {_
 FROM events WHERE ({_REASON_SQL}) IS NOT NULL""")
 def q_rejected_readings(spark, sf_dir):
     """The rejected messages with the first failing check."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True), corrupt=True)
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
     _, rej = D.split_valid(D.decode_readings(env))
     return rej.select("partition", "offset", D.REASON)
 
@@ -267,7 +267,7 @@ FROM events
 WHERE event_id % 97 <> 0 AND event_id % 101 <> 0 AND event_id % 103 <> 0 AND event_id % 107 <> 0""")
 def q_coerce_double(spark, sf_dir):
     """Number fields read as text, then ``try_cast`` (quoted numbers pass)."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True), corrupt=True)
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
     valid, _ = D.split_valid(D.decode_readings(env))
     return valid.select("partition", "offset", "temperature",
                         F.col("raw").contains('"temperature":"').alias("was_text"))
@@ -301,7 +301,7 @@ SELECT CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset",
 FROM r""")
 def q_encode_json(spark, sf_dir):
     """Readings -> JSON messages with SQL-form millisecond times."""
-    r = X.cadence_readings(X.events(spark, sf_dir, spread_rows=True), with_event_id=True)
+    r = X.cadence_readings(X.events(spark, sf_dir), with_event_id=True)
     r = r.withColumn("timestamp", F.col("ts"))
     return r.select((F.col("event_id") % 3).cast("int").alias("partition"),
                     F.floor(F.col("event_id") / 3).cast("long").alias("offset"),
@@ -316,7 +316,7 @@ FROM events WHERE event_id % 97 <> 0 AND event_id % 101 <> 0"""
 
 def _ts_texts(spark, sf_dir) -> DataFrame:
     """Time strings as they arrive on the bus (SQL form, some ISO form)."""
-    ev = X.events(spark, sf_dir, spread_rows=True)
+    ev = X.events(spark, sf_dir)
     env = ev.select("event_id", X.message_text(True).alias("value"))
     d = D.decode_json(env, keep=("event_id",))
     return d.filter(F.col("timestamp").isNotNull()).select("event_id", "timestamp")
@@ -366,7 +366,7 @@ FROM events WHERE event_id % 97 = 0 OR event_id % 101 = 0 OR event_id % 103 = 0"
 def q_null_time_quarantine(spark, sf_dir):
     """With time not required, rows whose event time is NULL (absent or
     unparseable) are quarantined instead of failing the job."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True), corrupt=True)
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
     d = D.decode_json(env)
     d = D.flag_malformed(d)
     d = D.with_event_time(d, "timestamp", "ts", "sql", flag=False)
@@ -429,7 +429,7 @@ _LABELS = ["namespace", "pod", "container"]
 
 
 def _metric(spark, sf_dir, name: str) -> DataFrame:
-    m = X.metrics(X.events(spark, sf_dir, spread_rows=True)).filter(F.col("metric") == name)
+    m = X.metrics(X.events(spark, sf_dir)).filter(F.col("metric") == name)
     return FL.with_labels(m, _LABELS)
 
 
@@ -625,7 +625,7 @@ SELECT 'iot_sensor_data' AS topic, CAST(event_id % 3 AS INTEGER) AS partition, e
 FROM events WHERE ({_REASON_SQL}) IS NOT NULL""")
 def q_quarantine_rows(spark, sf_dir):
     """K6: rejected messages with position, reason and the raw text."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True), corrupt=True)
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
     _, rej = D.split_valid(D.decode_readings(env))
     return rej.select("topic", "partition", "offset", D.REASON, "raw")
 
@@ -641,7 +641,7 @@ def q_sql_tumbling_avg(spark, sf_dir):
     """Q1: the tumbling average as SQL text over a declared source."""
     r = X.cadence_readings(X.events(spark, sf_dir))
     declare_stream(spark, "iot_sensor_data_q1", r, "ts", watermark="5 seconds")
-    out = run_sql(spark, tumbling_avg_sql("iot_sensor_data_q1", "ts", "1 minute"))
+    out = run_sql(spark, tumbling_avg_sql("iot_sensor_data_q1", "ts", "1 minute", exact_scale=2))
     return _ntz(out, "window_start", "window_end")
 
 
@@ -649,10 +649,10 @@ def q_sql_tumbling_avg(spark, sf_dir):
 WITH r AS ({CADENCE_SQL}),
 w AS (SELECT device_id, {_bucket('ts', MIN_US)} AS window_start, {_bucket('ts', MIN_US, True)} AS window_end,
              {_exact_mean_sql('temperature')} AS avg_temp FROM r GROUP BY 1, 2, 3),
-a AS (SELECT *, COUNT(avg_temp) OVER x AS prev_n, ROUND(AVG(avg_temp) OVER x, 6) AS prev_mean,
-             ROUND(STDDEV_SAMP(avg_temp) OVER x, 6) AS prev_std
+a AS (SELECT *, COUNT(avg_temp) OVER x AS prev_n, AVG(avg_temp) OVER x AS prev_mean,
+             STDDEV_SAMP(avg_temp) OVER x AS prev_std
       FROM w WINDOW x AS (PARTITION BY device_id ORDER BY window_start ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))
-SELECT device_id, window_start, window_end, avg_temp, prev_n, prev_mean, prev_std,
+SELECT device_id, window_start, window_end, avg_temp, prev_n, ROUND(prev_mean, 6) AS prev_mean, ROUND(prev_std, 6) AS prev_std,
        COALESCE(CASE WHEN prev_n < 3 THEN FALSE WHEN prev_std = 0 THEN avg_temp <> prev_mean
                      ELSE ABS(avg_temp - prev_mean) > 3.0 * prev_std END, FALSE) AS is_anomaly
 FROM a""")
@@ -699,7 +699,7 @@ def _replay_run(spark, env: DataFrame, name: str, build, slices: int = 3,
 def q_stream_tumbling_avg_1m(spark, sf_dir):
     """Bus -> decode -> watermark 5 s -> 1-minute average -> keyed
     table (update mode), run incrementally; the table equals the batch result."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True))
+    env = X.messages(X.events(spark, sf_dir))
     base = _replay_run(spark, env, "avg1m",
                        lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "1 minute", "5 seconds",
                                                             state_partitions=cluster_cores(spark),
@@ -711,7 +711,7 @@ def q_stream_tumbling_avg_1m(spark, sf_dir):
 @register("stream_mean_5m", ORACLE["tumbling_mean_5m"])
 def q_stream_mean_5m(spark, sf_dir):
     """In-order variant (watermark 0 s), 5-minute (max ts, sum, count)."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True))
+    env = X.messages(X.events(spark, sf_dir))
     base = _replay_run(spark, env, "mean5m",
                        lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "5 minutes", "0 seconds",
                                                             parts=True, state_partitions=cluster_cores(spark),
@@ -727,7 +727,7 @@ SELECT device_id, ts, temperature, humidity, status, event_id // 3 AS bus_offset
 FROM r WHERE ({_REASON_SQL}) IS NULL""")
 def q_stream_raw_table(spark, sf_dir):
     """Decoded readings stored in a keyed raw table by a stream."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True), corrupt=True)
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
     base = _replay_run(spark, env, "raw",
                        lambda s, b, ck: J.readings_to_tables(s, f"{b}/raw", f"{b}/rejects", ck))
     return _ntz(TB.read_table(spark, f"{base}/raw"), "ts")
@@ -736,7 +736,7 @@ def q_stream_raw_table(spark, sf_dir):
 @register("stream_quarantine", ORACLE["quarantine_rows"])
 def q_stream_quarantine(spark, sf_dir):
     """K6: the same stream's rejects, written per micro-batch."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True), corrupt=True)
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
     base = _replay_run(spark, env, "rejects",
                        lambda s, b, ck: J.readings_to_tables(s, f"{b}/raw", f"{b}/rejects", ck))
     rej = spark.read.parquet(f"{base}/rejects")
@@ -754,7 +754,7 @@ SELECT device_id, window_start, window_end, avg_temperature, bus_offset FROM k W
 def q_stream_route(spark, sf_dir):
     """One stream over two topics, routed per micro-batch; this is
     the averages table it keeps (last write wins per device and window)."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True), two_topics=True)
+    env = X.messages(X.events(spark, sf_dir), two_topics=True)
     base = _replay_run(spark, env, "route",
                        lambda s, b, ck: J.route_topics_to_tables(s, f"{b}/raw", f"{b}/avg", f"{b}/rejects", ck))
     return _ntz(TB.read_table(spark, f"{base}/avg"), "window_start", "window_end")
@@ -767,7 +767,7 @@ FROM events GROUP BY 1""")
 def q_stream_route_counts(spark, sf_dir):
     """Rows stored per route by the routed stream (raw readings, all
     average messages incl. superseded versions, rejected unknown topics)."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True), two_topics=True)
+    env = X.messages(X.events(spark, sf_dir), two_topics=True)
     base = _replay_run(spark, env, "route_counts",
                        lambda s, b, ck: J.route_topics_to_tables(s, f"{b}/raw", f"{b}/avg", f"{b}/rejects", ck))
     raw = TB.read_table(spark, f"{base}/raw").agg(F.count(F.lit(1)).alias("n")).withColumn("target", F.lit("raw"))
@@ -788,7 +788,7 @@ def q_stream_averages_bus(spark, sf_dir):
     """Windows appended once, when final, as JSON messages to a topic;
     read back from the topic and decoded.  Windows not yet closed by the
     watermark (end > max event time - 5 s) are still in state, by design."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True))
+    env = X.messages(X.events(spark, sf_dir))
     base = _replay_run(spark, env, "bus",
                        lambda s, b, ck: J.averages_to_bus(s, f"{b}/topic", ck,
                                                           state_partitions=cluster_cores(spark),
@@ -811,11 +811,11 @@ def q_stream_sql_tumbling_avg(spark, sf_dir):
     def build(stream, b, ck):
         valid, _ = D.split_valid(J.decoded(stream))
         declare_stream(spark, "iot_sensor_data_stream", valid, "ts", watermark="5 seconds")
-        agg = run_sql(spark, tumbling_avg_sql("iot_sensor_data_stream", "ts", "1 minute"))
+        agg = run_sql(spark, tumbling_avg_sql("iot_sensor_data_stream", "ts", "1 minute", exact_scale=2))
         return start_query(agg, S.upsert_sink(f"{b}/avg", J.AVG_KEYS), "sql_avg", ck, "update",
                            no_data_batches=False, state_partitions=cluster_cores(spark))
 
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True))
+    env = X.messages(X.events(spark, sf_dir))
     base = _replay_run(spark, env, "sqlavg", build)
     return _ntz(TB.read_table(spark, f"{base}/avg"), "window_start", "window_end")
 
@@ -846,7 +846,7 @@ def q_stream_decode_metrics(spark, sf_dir):
     """K8: per-batch success/error counts observed inside the decode stream,
     turned into METRIC rows from the query progress and summed per metric."""
     progress: list = []
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True), corrupt=True)
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
     _replay_run(spark, env, "metrics",
                 lambda s, b, ck: J.readings_to_tables(s, f"{b}/raw", f"{b}/rejects", ck), progress=progress)
     m = progress_metrics(spark, "readings_to_tables", progress)
@@ -873,7 +873,7 @@ def q_stream_route_rejects(spark, sf_dir):
     """The routed consumer over two topics with broken readings: unknown
     topics and bad readings land in one quarantine (ISO times are accepted by
     this consumer's SQL-then-ISO time parse)."""
-    env = X.messages(X.events(spark, sf_dir, spread_rows=True), corrupt=True, two_topics=True)
+    env = X.messages(X.events(spark, sf_dir), corrupt=True, two_topics=True)
     base = _replay_run(spark, env, "route_rejects",
                        lambda s, b, ck: J.route_topics_to_tables(s, f"{b}/raw", f"{b}/avg", f"{b}/rejects", ck))
     return spark.read.parquet(f"{base}/rejects").select("topic", "partition", "offset", D.REASON)

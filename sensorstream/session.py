@@ -83,6 +83,8 @@ def ensure_storage_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     if _FALLBACK_ROOT is None:
+        if spark.conf.get("spark.master", "").split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         _FALLBACK_ROOT = tempfile.mkdtemp(prefix="sensorstream-ckpt-")
     try:
         spark.conf.set("spark.checkpoint.dir", _FALLBACK_ROOT)

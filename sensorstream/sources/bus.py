@@ -29,12 +29,17 @@ def kafka_options(topics, bootstrap: str, start="earliest", group_id: str | None
     """Options of Spark's Kafka source for S1-S4.
 
     ``start`` is ``"earliest"``, ``"latest"`` or a timestamp (datetime or epoch
-    ms) mapped to ``startingTimestamp``.  Consumer-group progress (S4) is the
+    ms) mapped to ``startingTimestamp``.  Offsets that aged out of a topic fail
+    the read unless the caller sets ``failOnDataLoss`` otherwise in ``extra``.  Consumer-group progress (S4) is the
     query's checkpoint, so ``group_id`` is only a label.
     """
     o = {"kafka.bootstrap.servers": bootstrap, "subscribe": ",".join(_topics(topics)),
-         "failOnDataLoss": "false", "includeHeaders": "false"}
-    if isinstance(start, str) and start in ("earliest", "latest"):
+         "failOnDataLoss": "true", "includeHeaders": "false"}
+    if start == "latest" and not streaming:
+        # A batch read can't start at "latest": it starts at the present time.
+        o["startingTimestamp"] = str(int(_dt.datetime.now(_dt.timezone.utc).timestamp() * 1000))
+        o["startingOffsetsByTimestampStrategy"] = "latest"
+    elif isinstance(start, str) and start in ("earliest", "latest"):
         o["startingOffsets"] = start
     else:
         o["startingTimestamp"] = str(int(_to_dt(start).timestamp() * 1000))

@@ -34,39 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_SCAN_PARTITIONS: dict[str, int] = {}
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Give a scan at least as many partitions as the cluster has cores.
-
-    Parquet splits by row group; a small table written as one row group
-    arrives as one partition and would run every per-row stage (JSON build
-    and parse, window assignment) in a single task.  Only then is it spread
-    round-robin.  A large multi-file input already has far more partitions than
-    cores and passes through unchanged: no shuffle is added at scale.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        if key is not None and key in _SCAN_PARTITIONS:
-            have = _SCAN_PARTITIONS[key]
-        else:
-            have = df.rdd.getNumPartitions()   # plans the scan only; reads no data
-            if key is not None:
-                _SCAN_PARTITIONS[key] = have
-    except Exception:  # noqa: BLE001  (no RDD API, e.g. a Spark Connect session)
-        return df
-    if have < want:
-        return df.repartition(want)
-    return df
-
-
-def events(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
-    """The driver's ``events`` table.  ``spread_rows`` for inputs whose per-row
-    work dominates (JSON build/parse, per-series windows): a single-partition
-    scan is then spread over the cores; light aggregations skip that shuffle."""
-    ev = table(spark, sf_dir, "events")
-    return spread(ev, key=f"{sf_dir.rstrip('/')}/events.parquet") if spread_rows else ev
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's ``events`` table, split as its files and
+    ``spark.sql.files.maxPartitionBytes`` say."""
+    return table(spark, sf_dir, "events")
 
 
 def _status() -> Column:

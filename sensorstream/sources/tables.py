@@ -5,14 +5,16 @@ Layout under ``path`` (any Hadoop filesystem; all I/O goes through Spark):
 
   _manifest/v=<k>/      JSON, one row: schema, keys, order columns and the
                         current snapshot (generation, highest batch folded in)
-  log/batch_id=<n>/     Parquet, one folder per written batch (append-only)
-  snapshot/gen=<g>/     Parquet, compacted latest view of batches <= upto
-
-Writing batch ``n`` overwrites exactly ``log/batch_id=n`` (dynamic partition
-overwrite), so writing the same batch twice -- a stream restarted from its
-checkpoint replays the last batch -- leaves the table unchanged (K4).
-Reading = snapshot + log batches above ``upto``, then ``latest_wins`` on the
-keys.  Compaction writes a new generation, then a new manifest version; the
+  log/writer=<w>/batch_id=<n>/   Parquet, one folder per writer and batch
+  snapshot/gen=<g>/     Parquet, compacted latest view of batches <= upto[w]
+
+Batch numbers belong to their writer (a stream's query id, which lives in its
+checkpoint), so two streams, or one started anew on another checkpoint, never
+write the same folder.  Writing a batch replaces its whole folder, so writing
+it twice -- a stream restarted from its checkpoint replays the last batch --
+leaves the table unchanged (K4).  Reading = snapshot + log batches above their
+writer's ``upto``, then ``latest_wins`` on the keys: the higher batch, then the
+order columns, then the writer's name decide.  Compaction writes a new generation, then a new manifest version; the
 writer never waits for it and readers switch atomically on the manifest.
 
 Isolation: plain Parquet has no atomic multi-file commit, so a read that
@@ -26,6 +28,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +36,9 @@ from pyspark.sql import types as T
 from ..operators.latest import latest_wins
 
 BATCH = "batch_id"
+WRITER = "writer"
+#: Writer of batches that no stream wrote.
+DIRECT = "direct"
 
 
 @dataclass
@@ -41,35 +47,40 @@ class Manifest:
     keys: list[str]
     order: list[str] = field(default_factory=list)
     generation: int = 0
-    upto: int = -1
+    upto: dict[str, int] = field(default_factory=dict)   # highest batch folded in, by writer
     version: int = 0
     partition_by: list[str] = field(default_factory=list)
 
     def row(self) -> dict:
         return {"schema_json": self.schema.json(), "keys": json.dumps(self.keys),
                 "order_cols": json.dumps(self.order), "generation": self.generation,
-                "upto": self.upto, "partition_by": json.dumps(self.partition_by)}
+                "upto": json.dumps(self.upto), "partition_by": json.dumps(self.partition_by)}
 
 
 _MANIFEST_SCHEMA = T.StructType([
     T.StructField("schema_json", T.StringType()), T.StructField("keys", T.StringType()),
     T.StructField("order_cols", T.StringType()), T.StructField("generation", T.LongType()),
-    T.StructField("upto", T.LongType()), T.StructField("partition_by", T.StringType()),
+    T.StructField("upto", T.StringType()), T.StructField("partition_by", T.StringType()),
 ])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """Does ``path`` exist on the table's filesystem (any Hadoop FS)?"""
+    """Does ``path`` exist on the table's filesystem (any Hadoop FS)?
+
+    Only "not found" means no; an unreadable filesystem raises.
+    """
     try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+        context = spark.sparkContext
     except Exception:  # noqa: BLE001  (no JVM gateway, e.g. Spark Connect): probe by listing
         try:
             spark.read.format("binaryFile").load(path).select("path").limit(1).collect()  # no file content
             return True
-        except Exception:  # noqa: BLE001
-            return False
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+    p = context._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(context._jsc.hadoopConfiguration()).exists(p))
 
 
 def read_manifest(spark: SparkSession, path: str) -> Manifest | None:
@@ -84,7 +95,7 @@ def read_manifest(spark: SparkSession, path: str) -> Manifest | None:
     r = row[0]
     return Manifest(schema=T.StructType.fromJson(json.loads(r["schema_json"])),
                     keys=json.loads(r["keys"]), order=json.loads(r["order_cols"]),
-                    generation=int(r["generation"]), upto=int(r["upto"]), version=int(r["v"]),
+                    generation=int(r["generation"]), upto=json.loads(r["upto"] or "{}"), version=int(r["v"]),
                     partition_by=json.loads(r["partition_by"] or "[]"))
 
 
@@ -107,10 +118,11 @@ def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def upsert_table(df: DataFrame, path: str, batch_id: int, keys=None, order=None,
-                 target_rows_per_file: int = 1_000_000, manifest: Manifest | None = None) -> Manifest:
-    """K2 write side: append batch ``batch_id`` to the table's log.
+                 target_rows_per_file: int = 1_000_000, manifest: Manifest | None = None,
+                 writer: str = DIRECT) -> Manifest:
+    """K2 write side: append batch ``batch_id`` of ``writer`` to the table's log.
 
-    Safe to repeat for the same ``batch_id`` (the folder is replaced).  The
+    Safe to repeat for the same batch and writer (the folder is replaced).  The
     table is created from ``df``'s schema on first use.  Extra columns
     ``partition_by`` from the manifest (e.g. a day) let readers prune.  A
     caller writing many batches passes the returned manifest back in.
@@ -124,30 +136,39 @@ def upsert_table(df: DataFrame, path: str, batch_id: int, keys=None, order=None,
     cols = [f.name for f in m.schema.fields]
     # Rows clustered by key inside each file: Parquet row-group min/max then
     # let a pushed key filter (``device_id = ...``) skip most of a file.
-    out = (df.select(*cols).withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
-             .sortWithinPartitions(*m.partition_by, *m.keys))
+    out = df.select(*cols).sortWithinPartitions(*m.partition_by, *m.keys)
     (out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", target_rows_per_file)
-        .partitionBy(BATCH, *m.partition_by)
-        .parquet(f"{path}/log"))
+        .partitionBy(*m.partition_by)
+        .parquet(batch_folder(f"{path}/log", writer, batch_id)))
     return m
 
 
+def batch_folder(path: str, writer: str, batch_id: int) -> str:
+    """The folder that one batch of one writer has to itself."""
+    return f"{path}/{WRITER}={writer}/{BATCH}={int(batch_id)}"
+
+
+def _stored(m: Manifest) -> T.StructType:
+    return T.StructType([*m.schema.fields, T.StructField(WRITER, T.StringType()), T.StructField(BATCH, T.LongType())])
+
+
 def _log(spark: SparkSession, path: str, m: Manifest) -> DataFrame:
-    schema = T.StructType(list(m.schema.fields) + [T.StructField(BATCH, T.LongType())])
+    schema = _stored(m)
     lp = f"{path}/log"
     if not _exists(spark, lp):
         return spark.createDataFrame([], schema)
     log = spark.read.schema(schema).option("basePath", lp).parquet(lp)
-    return log.filter(F.col(BATCH) > F.lit(m.upto)) if m.upto >= 0 else log
+    for writer, upto in m.upto.items():
+        log = log.filter((F.col(WRITER) != writer) | (F.col(BATCH) > upto))
+    return log
 
 
 def _snapshot(spark: SparkSession, path: str, m: Manifest) -> DataFrame | None:
     if m.generation <= 0:
         return None
-    schema = T.StructType(list(m.schema.fields) + [T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(schema).parquet(f"{path}/snapshot/gen={m.generation}")
+    return spark.read.schema(_stored(m)).parquet(f"{path}/snapshot/gen={m.generation}")
 
 
 def _group_keys(m: Manifest) -> list[str]:
@@ -159,7 +180,7 @@ def _group_keys(m: Manifest) -> list[str]:
 
 
 def table_versions(spark: SparkSession, path: str) -> DataFrame:
-    """Every stored version of every key (snapshot + live log), with batch_id."""
+    """Every stored version of every key (snapshot + live log), with writer and batch_id."""
     m = read_manifest(spark, path)
     if m is None:
         raise FileNotFoundError(f"no table at {path}")
@@ -183,8 +204,8 @@ def read_table(spark: SparkSession, path: str, strategy: str = "window",
     if m is None:
         raise FileNotFoundError(f"no table at {path}")
     versions = table_versions(spark, path)
-    view = latest_wins(versions, _group_keys(m), [BATCH] + m.order, strategy)
-    return view if with_batch else view.drop(BATCH)
+    view = latest_wins(versions, _group_keys(m), [BATCH, *m.order, WRITER], strategy)
+    return view.drop(WRITER) if with_batch else view.drop(BATCH, WRITER)
 
 
 def describe_table(spark: SparkSession, path: str) -> DataFrame:
@@ -202,8 +223,8 @@ def describe_table(spark: SparkSession, path: str) -> DataFrame:
 def compact(spark: SparkSession, path: str, strategy: str = "window") -> Manifest:
     """K7: fold the log into a new snapshot generation and switch the manifest.
 
-    Folds every batch *below* the newest one visible when compaction starts.
-    The newest batch stays in the log: a writer may still be committing its
+    Folds, for each writer, every batch *below* its newest one visible when
+    compaction starts.  The newest batch stays in the log: a writer may still be committing its
     files (they appear one by one), and it is the only batch a restarted
     stream may rewrite.  Batches written meanwhile also stay in the log and are
     still read.  Old generations and folded log folders can be removed
@@ -213,13 +234,19 @@ def compact(spark: SparkSession, path: str, strategy: str = "window") -> Manifes
     if m is None:
         raise FileNotFoundError(f"no table at {path}")
     versions = table_versions(spark, path)
-    hi = versions.agg(F.max(BATCH)).first()[0]  # one scalar
-    if hi is None or int(hi) - 1 <= m.upto:
+    log = _log(spark, path, m)
+    newest = {r[WRITER]: r["hi"] for r in log.groupBy(WRITER).agg(F.max(BATCH).alias("hi")).collect()}  # one row a writer
+    upto = m.upto | {w: int(hi) - 1 for w, hi in newest.items() if int(hi) - 1 > m.upto.get(w, -1)}
+    if upto == m.upto or not any(log.filter((F.col(WRITER) == w) & (F.col(BATCH) <= upto.get(w, -1))).limit(1).count() for w in newest):
         return m                                 # nothing settled to fold yet
-    upto = int(hi) - 1
-    folded = latest_wins(versions.filter(F.col(BATCH) <= upto), _group_keys(m), [BATCH] + m.order, strategy)
+    live = F.lit(False)
+    for w in newest:
+        live = live | ((F.col(WRITER) == w) & (F.col(BATCH) > upto.get(w, -1)))
+    folded = latest_wins(versions.filter(~live), _group_keys(m), [BATCH, *m.order, WRITER], strategy)
     gen = m.generation + 1
-    folded.write.mode("overwrite").parquet(f"{path}/snapshot/gen={gen}")
+    # As the log: partition columns and key order, so filters prune here too.
+    (folded.sortWithinPartitions(*m.partition_by, *m.keys).write.mode("overwrite").partitionBy(*m.partition_by)
+     .parquet(f"{path}/snapshot/gen={gen}"))
     nm = Manifest(schema=m.schema, keys=m.keys, order=m.order, generation=gen, upto=upto,
                   version=m.version + 1, partition_by=m.partition_by)
     _write_manifest(spark, path, nm)

@@ -1,7 +1,7 @@
 """Stream sinks (K1, K2, K4-K6, R1) as ``foreachBatch`` functions.
 
-Each micro-batch is written with plain batch writers keyed by the batch id,
-so a batch replayed after a failure overwrites its own output instead of
+Each micro-batch is written with plain batch writers into a folder of its
+query id and batch id (two queries on one path never meet), so a batch replayed after a failure overwrites its own output instead of
 duplicating it.  A batch that feeds several outputs is persisted once and
 released after the last write.
 """
@@ -14,37 +14,39 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import upsert_table
+from ..sources.tables import DIRECT, batch_folder, upsert_table
 
 BatchFn = Callable[[DataFrame, int], None]
 
 
+def writer_of(batch: DataFrame) -> str:
+    """Id of the streaming query that a micro-batch comes from."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or DIRECT
+
+
 def upsert_sink(path: str, keys=None, order=None) -> BatchFn:
-    """K2/K4: each micro-batch becomes ``log/batch_id=<id>`` of a keyed table."""
+    """K2/K4: each micro-batch becomes a folder of a keyed table's log."""
     state = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # The schema and keys do not change while a query runs: read the
         # manifest once per sink, not once per micro-batch.
-        state["m"] = upsert_table(batch, path, batch_id, keys, order, manifest=state.get("m"))
+        state["m"] = upsert_table(batch, path, batch_id, keys, order, manifest=state.get("m"),
+                                  writer=writer_of(batch))
     return write
 
 
 def quarantine_sink(path: str) -> BatchFn:
     """K6: rejected messages, one folder per batch (replay-safe)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").parquet(path))
+        batch.write.mode("overwrite").parquet(batch_folder(path, writer_of(batch), batch_id))
     return write
 
 
 def envelope_sink(path: str, format: str = "parquet") -> BatchFn:
     """K1 for file replays: envelope rows of a topic, one folder per batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").format(format).save(path))
+        batch.write.mode("overwrite").format(format).save(batch_folder(path, writer_of(batch), batch_id))
     return write
 
 

@@ -15,8 +15,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
 from sensorstream.plans import checks as C  # noqa: E402
+from sensorstream import queries as Q  # noqa: E402
 from sensorstream.session import build_session  # noqa: E402
 
 
@@ -24,11 +24,10 @@ def summarize(df) -> dict:
     df.write.format("noop").mode("overwrite").save()      # final adaptive plan
     plan = C.plan_text(df)
     exchanges = re.findall(r"Exchange (\w+)", plan)
-    shuffles = [e for e in exchanges if e != "RoundRobinPartitioning"]
+    shuffles = list(exchanges)
     cols = sorted({c for s in C.read_schemas(df) for c in re.findall(r"(\w+):", s)})
     return {
         "shuffles": len(shuffles),
-        "spread": "RoundRobinPartitioning" in exchanges,
         "partial_agg": "partial_" in plan,
         "group_limit": plan.count("WindowGroupLimit"),
         "windows": len(re.findall(r"\bWindow \[", plan)),
@@ -45,11 +44,11 @@ def main(argv):
     spark = build_session()
     print("# Physical plans of the registered batch queries\n")
     print(f"Generated by `python tools/plan_summary.py {sf}` (final adaptive plans, local[8]). "
-          "`spread` = the round-robin repartition applied only to a single-partition scan (never at scale); "
+          "Every exchange counts; "
           "`group_limit` counts `WindowGroupLimit` nodes (2 = before and after the shuffle).\n")
     print("| query | shuffles | partial agg | group_limit | windows | broadcast | python UDF | pushed filters | columns read |")
     print("|---|---|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in Q.QUERIES.items():
         if name.startswith("stream_"):
             continue
         s = summarize(fn(spark, sf))
