@@ -88,14 +88,13 @@ def count_by(df: DataFrame, keys, out: str = "record_count") -> DataFrame:
 def status_distribution(df: DataFrame, keys=None, status: str = "status") -> DataFrame:
     """A5: rows per status (per key, when given) and each status' share.
 
-    The share's denominator is a window over the *aggregated* rows (one per key
-    and status), never over raw readings.
+    With keys the share's denominator is a window over the *aggregated* rows
+    (one per key and status), never over raw readings.  Without keys it is one
+    number, the total of the aggregated rows, so no task holds all of them.
     """
     k = _cols(keys)
     counts = df.groupBy(*k, status).agg(F.count(F.lit(1)).alias("n"))
-    # Without keys the window holds one row per status value: a handful of
-    # rows after the aggregate, so the single partition is cheap.
-    total = F.sum("n").over(Window.partitionBy(*k))
+    total = F.sum("n").over(Window.partitionBy(*k)) if k else counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share", F.col("n") / total)
 
 

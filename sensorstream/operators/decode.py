@@ -165,23 +165,43 @@ READING_FIELDS = ["device_id", "ts", "temperature", "humidity", "status"]
 
 def decode_readings(envelope: DataFrame, required=("device_id", "timestamp", "temperature"),
                     time_mode: str = "sql", on_null_time: str = "quarantine",
-                    value_col: str = "value", max_skew: str | None = None) -> DataFrame:
+                    value_col: str = "value", max_skew: str | None = None,
+                    time_source: str = "payload", keep_record: bool = False) -> DataFrame:
     """The whole reading decode as one flagged frame: JSON -> required fields ->
     numbers -> event time.  ``split_valid`` separates the result.
 
     ``max_skew`` (e.g. ``"1 hour"``) rejects readings stamped further than that
     after their bus record time (``future_time``): one device with a wrong
     clock would otherwise move the global watermark and close every device's
-    windows early."""
-    keep = ENVELOPE_META + (("timestamp",) if max_skew else ())
-    d = decode_json(envelope, READING_WIRE, value_col=value_col, keep=keep)
-    d = flag_malformed(d)
-    d = require_fields(d, list(required))
+    windows early.
+
+    ``on_null_time``: ``quarantine`` names an absent or unreadable time as a
+    reject reason; ``drop`` and ``fail`` act on every row that has no event
+    time and passed all other checks.  ``time_source="record"`` takes the bus
+    record time as event time (W6); the payload's time is then not needed.
+    ``keep_record`` leaves the record time in the result as ``record_ts``.
+    """
+    if time_source not in ("payload", "record"):
+        raise ValueError(f"unknown time source: {time_source}")
+    d = decode_json(envelope, READING_WIRE, value_col=value_col, keep=ENVELOPE_META + ("timestamp",))
+    d = check_readings(flag_malformed(d), required, time_mode, on_null_time, max_skew, time_source)
+    return d if keep_record else d.drop("record_ts")
+
+
+def check_readings(d: DataFrame, required=("device_id", "timestamp", "temperature"), time_mode: str = "sql",
+                   on_null_time: str = "quarantine", max_skew: str | None = None,
+                   time_source: str = "payload") -> DataFrame:
+    """The checks of ``decode_readings`` on fields that are already decoded."""
+    named = on_null_time == "quarantine" and time_source == "payload"
+    d = require_fields(d, [f for f in required if named or f != "timestamp"])
     d = coerce(d, {"temperature": "double", "humidity": "double"})
-    d = with_event_time(d, "timestamp", "ts", time_mode)
-    if on_null_time != "quarantine" or "timestamp" not in required:
+    if time_source == "record":
+        d = d.withColumn("ts", F.col("record_ts").cast("timestamp"))
+    else:
+        d = with_event_time(d, "timestamp", "ts", time_mode, flag=named)
+    if not named or "timestamp" not in required:
         d = require_event_time(d, "ts", on_null_time)
     if max_skew:
         late = F.col("ts") > F.col("record_ts") + F.expr(f"INTERVAL {max_skew}")
-        d = _flag(d, late, "future_time").drop("record_ts")
+        d = _flag(d, late, "future_time")
     return d

@@ -8,7 +8,9 @@ Semantics (ours; the reference only names these dashboard queries):
   consecutive samples inside that frame, an increment being ``v - prev`` or,
   after a reset (``v < prev``), ``v`` itself -- divided by the range in
   seconds.  The first sample of a frame is its baseline; no extrapolation to
-  the frame edges.  Counter values are non-negative.
+  the frame edges.  A NULL or NaN sample is no reading of the counter: it is
+  neither baseline nor end of an increment, and its own row still gets the rate
+  of its frame (NULL if the frame holds no reading).
 * ``at_steps``: the instant value of a series at step time t is its newest
   sample in ``(t - step, t]`` (look-back = step).
 * ``sum_by``: sum of the instant values of all series sharing a label value,
@@ -55,12 +57,11 @@ def counter_rate(df: DataFrame, series, ts: str = "ts", value: str = "value",
 
     One shuffle on ``(series, bucket)``; the bucket also receives, as a halo,
     the previous bucket's samples of the last ``range``.  Inside a partition,
-    in sample order: the reset-aware increment of each sample (``lag``) and
-    its running sum ``C``.  Over the frame ``(t - range, t]`` the increase is
-    ``max(C) - min(C)`` = the sum of the increments between consecutive
-    samples inside the frame (increments are >= 0 for a counter), so the
-    first sample of a frame -- and with it the halo's first sample, whose
-    predecessor is not in the partition -- is only the baseline.
+    in sample order: the reset-aware increment of each sample.  The increase
+    is the sum, in sample order, of the increments of the frame ``(t - range,
+    t]`` but its first, whose sample is only the baseline -- so the halo's first
+    sample, whose predecessor is not in the partition, adds nothing, and the
+    result has the same bits for any bucket size.
     """
     s = _cols(series)
     r_ms = interval_ms(range_)
@@ -71,15 +72,16 @@ def counter_rate(df: DataFrame, series, ts: str = "ts", value: str = "value",
     targets = F.when(in_halo, F.array(F.col("_b"), F.col("_b") + 1)).otherwise(F.array(F.col("_b")))
     h = e.withColumn("_tb", F.explode(targets))
     seq = Window.partitionBy(*s, "_tb").orderBy("_ms", value)
-    p = F.lag(value).over(seq)
-    v = F.col(value)
-    inc = F.when(p.isNull(), F.lit(0.0)).when(v >= p, v - p).otherwise(v).cast("double")
+    v = F.when(~F.isnan(value), F.col(value).cast("double"))
+    p = F.last(v, ignorenulls=True).over(seq.rowsBetween(Window.unboundedPreceding, -1))
+    inc = F.when(v.isNotNull() & p.isNull(), F.lit(0.0)).when(v >= p, v - p).otherwise(v)
     frame = Window.partitionBy(*s, "_tb").orderBy("_ms").rangeBetween(-(r_ms - 1), 0)
     res = (h.withColumn("_inc", inc)
-            .withColumn("_c", F.sum("_inc").over(seq.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn(out, (F.max("_c").over(frame) - F.min("_c").over(frame)) / F.lit(r_ms / 1000.0))
+            .withColumn("_incs", F.collect_list("_inc").over(frame))
             .filter(F.col("_tb") == F.col("_b")))
-    return res.drop("_ms", "_b", "_tb", "_inc", "_c")
+    gain = F.aggregate(F.slice("_incs", F.lit(2), F.size("_incs")), F.lit(0.0), lambda a, x: a + x)
+    res = res.withColumn(out, F.when(F.size("_incs") > 0, gain / F.lit(r_ms / 1000.0)))
+    return res.drop("_ms", "_b", "_tb", "_inc", "_incs")
 
 
 def gauge_at(df: DataFrame, series, at, ts: str = "ts", value: str = "value",

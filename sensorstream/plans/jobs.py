@@ -18,121 +18,164 @@ runs or a processing-time trigger for a continuous job.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.time import parse_any_ts
 from ..operators import decode as D
-from ..schemas import DEFAULT_TOPIC_AVERAGES, DEFAULT_TOPIC_READINGS, WINDOW_AVG_WIRE
+from ..schemas import DEFAULT_TOPIC_AVERAGES, DEFAULT_TOPIC_READINGS, ROUTED_WIRE, WINDOW_AVG_WIRE
 from ..streaming import sinks as S
 from ..streaming.runner import observe_counts, start_query
 from ..streaming.windows import windowed_average, windowed_mean_parts
 
 RAW_KEYS = ["device_id", "ts"]
 AVG_KEYS = ["device_id", "window_start"]
+#: Newest version of a key: by record time; offsets of two partitions do not compare.
+BUS_ORDER = ["record_ts", "bus_partition", "bus_offset"]
+READING_COLS = ["device_id", "ts", "temperature", "humidity", "status", *BUS_ORDER]
+AVG_COLS = ["device_id", "window_start", "window_end", "avg_temperature", *BUS_ORDER]
+
+
+def _positioned(df: DataFrame) -> DataFrame:
+    return df.withColumnsRenamed({"offset": "bus_offset", "partition": "bus_partition"})
 
 
 def decoded(envelope: DataFrame, time_mode: str = "sql", required=("device_id", "timestamp", "temperature"),
-            max_skew: str | None = None) -> DataFrame:
-    """Envelope -> flagged readings with bus position (``bus_offset``)."""
-    d = D.decode_readings(envelope, required=required, time_mode=time_mode, max_skew=max_skew)
-    return d.withColumnRenamed("offset", "bus_offset")
+            max_skew: str | None = None, on_null_time: str = "quarantine",
+            time_source: str = "payload") -> DataFrame:
+    """Envelope -> flagged readings with their place on the bus
+    (``record_ts``, ``bus_partition``, ``bus_offset``)."""
+    return _positioned(D.decode_readings(envelope, required=required, time_mode=time_mode, max_skew=max_skew,
+                                         on_null_time=on_null_time, time_source=time_source, keep_record=True))
+
+
+def _rejects(df: DataFrame) -> DataFrame:
+    return df.select("topic", F.col("bus_partition").alias("partition"), F.col("bus_offset").alias("offset"),
+                     D.REASON, "raw")
 
 
 def _split_valid(df: DataFrame) -> dict[str, DataFrame]:
     valid, rejected = D.split_valid(df)
-    return {"valid": valid.select("device_id", "ts", "temperature", "humidity", "status", "bus_offset"),
-            "rejected": rejected.select("topic", "partition", F.col("bus_offset").alias("offset"),
-                                        D.REASON, "raw")}
+    return {"valid": valid.select(*READING_COLS), "rejected": _rejects(rejected), "metrics": df}
 
 
 def readings_to_tables(envelope: DataFrame, raw_path: str, rejects_path: str, checkpoint: str,
-                       trigger="availableNow", time_mode: str = "sql", observe: bool = True) -> StreamingQuery:
-    """Raw readings table (key device_id, ts; newest bus offset wins) + rejects.
+                       trigger="availableNow", time_mode: str = "sql", observe: bool = True,
+                       on_null_time: str = "quarantine", metrics_path: str | None = None) -> StreamingQuery:
+    """Raw readings table (key device_id, ts; newest bus record wins) + rejects.
     With ``observe`` each micro-batch reports its row and reject counts in the
-    query progress (``observedMetrics.decode_counts``)."""
-    sink = S.split_sink(_split_valid, {
-        "valid": S.upsert_sink(raw_path, RAW_KEYS, ["bus_offset"]),
-        "rejected": S.quarantine_sink(rejects_path),
-    })
-    d = decoded(envelope, time_mode)
+    query progress (``observedMetrics.decode_counts``); with ``metrics_path``
+    it also stores them as METRIC rows, which outlive the query."""
+    targets = {"valid": S.upsert_sink(raw_path, RAW_KEYS, BUS_ORDER), "rejected": S.quarantine_sink(rejects_path)}
+    if metrics_path:
+        targets["metrics"] = S.metrics_sink(metrics_path, "readings_to_tables")
+    d = decoded(envelope, time_mode, on_null_time=on_null_time)
     if observe:
         d = observe_counts(d)
-    return start_query(d, sink, "readings_to_tables", checkpoint, "append", trigger)
+    return start_query(d, S.split_sink(_split_valid, targets), "readings_to_tables", checkpoint, "append", trigger)
+
+
+def rejects_to_table(envelope: DataFrame, rejects_path: str, checkpoint: str, trigger="availableNow",
+                     metrics_path: str | None = None, name: str = "rejects_to_table",
+                     **decode_options) -> StreamingQuery:
+    """The rejects of a windowed job, as a stateless query of its own: an
+    aggregating query has one output."""
+    targets = {"rejected": S.quarantine_sink(rejects_path)}
+    if metrics_path:
+        targets["metrics"] = S.metrics_sink(metrics_path, name)
+    return start_query(decoded(envelope, **decode_options), S.split_sink(_split_valid, targets), name, checkpoint,
+                       "append", trigger)
+
+
+def _valid_for_windows(envelope: DataFrame, name: str, checkpoint: str, trigger, rejects_path: str | None,
+                       metrics_path: str | None, **decode_options) -> DataFrame:
+    """Valid readings for a windowed job; starts the query that keeps its
+    rejects (and, for an incremental run, waits for it)."""
+    if rejects_path:
+        q = rejects_to_table(envelope, rejects_path, f"{checkpoint}-rejects", trigger, metrics_path,
+                             f"{name}_rejects", **decode_options)
+        if trigger == "availableNow":
+            q.awaitTermination()
+    return D.split_valid(observe_counts(decoded(envelope, **decode_options)))[0]
 
 
 def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width: str = "1 minute",
                       delay: str = "5 seconds", mode: str = "update", trigger="availableNow",
                       time_mode: str = "sql", parts: bool = False,
                       max_skew: str | None = None, state_partitions: int | None = None,
-                      exact_scale: int | None = None) -> StreamingQuery:
+                      exact_scale: int | None = None, rejects_path: str | None = None,
+                      metrics_path: str | None = None, on_null_time: str = "quarantine",
+                      time_source: str = "payload") -> StreamingQuery:
     """Valid readings -> per-device tumbling average -> keyed averages table.
 
     ``mode="update"`` rewrites a window whenever it changes (the table is
     always current); ``mode="append"`` writes each window once, when the
     watermark passes its end.  ``parts=True`` is the (max ts, sum, count)
-    variant with its zero-guarded mean.
+    variant with its zero-guarded mean.  Rejects are counted in the query
+    progress and, with ``rejects_path``, stored by a second query.
+    ``time_source="record"`` windows on the bus record time.
     """
-    valid, _ = D.split_valid(decoded(envelope, time_mode, max_skew=max_skew))
+    valid = _valid_for_windows(envelope, "windowed_averages", checkpoint, trigger, rejects_path, metrics_path,
+                               time_mode=time_mode, max_skew=max_skew, on_null_time=on_null_time,
+                               time_source=time_source)
     agg = (windowed_mean_parts(valid, "device_id", "ts", width, delay, exact_scale=exact_scale) if parts
            else windowed_average(valid, "device_id", "ts", width, delay, exact_scale=exact_scale))
     return start_query(agg, S.upsert_sink(out_path, AVG_KEYS), "windowed_averages", checkpoint,
                        mode, trigger, no_data_batches=(mode != "update"), state_partitions=state_partitions)
 
 
-def decode_averages(df: DataFrame) -> DataFrame:
-    """Window-average messages (the averages topic) -> typed rows with the
-    same ``reject_reason`` flags as readings (split with ``split_valid``)."""
-    d = D.decode_json(df, WINDOW_AVG_WIRE)
-    d = D.flag_malformed(d)
-    d = D.require_fields(d, ["device_id", "window_start", "avg_temperature"])
+def check_averages(d: DataFrame) -> DataFrame:
+    """Flag and type the decoded fields of window-average messages."""
+    d = D.require_fields(d, ["device_id", "window_start", "window_end", "avg_temperature"])
     d = D.coerce(d, {"avg_temperature": "double"})
     d = d.withColumn("window_start", parse_any_ts("window_start")) \
          .withColumn("window_end", parse_any_ts("window_end"))
-    d = D._flag(d, F.col("window_start").isNull(), "bad_time")
-    return d.withColumnRenamed("offset", "bus_offset")
+    return D._flag(d, F.col("window_start").isNull() | F.col("window_end").isNull(), "bad_time")
 
 
-REJECT_COLS = ["topic", "partition", "offset", D.REASON, "raw"]
+def decode_averages(df: DataFrame) -> DataFrame:
+    """Window-average messages (the averages topic) -> typed rows with the
+    same ``reject_reason`` flags as readings (split with ``split_valid``)."""
+    d = D.decode_json(df, WINDOW_AVG_WIRE, keep=D.ENVELOPE_META + ("timestamp",))
+    return _positioned(check_averages(D.flag_malformed(d)))
 
 
-def _rejects(df: DataFrame) -> DataFrame:
-    return df.select("topic", "partition", F.col("bus_offset").alias("offset"), D.REASON, "raw")
+#: What the routed consumer asks of a reading.
+ROUTED_READING = ("device_id", "timestamp", "temperature", "humidity", "status")
 
 
 def route_topics_to_tables(envelope: DataFrame, raw_path: str, avg_path: str, rejects_path: str,
                            checkpoint: str, trigger="availableNow",
                            readings_topic: str = DEFAULT_TOPIC_READINGS,
-                           averages_topic: str = DEFAULT_TOPIC_AVERAGES) -> StreamingQuery:
-    """The consumer: one query over both topics.  Each micro-batch is computed
-    once (persisted), routed by topic, decoded per route; valid rows go to
+                           averages_topic: str = DEFAULT_TOPIC_AVERAGES,
+                           on_null_time: str = "quarantine") -> StreamingQuery:
+    """The consumer: one query over both topics.  Each message is parsed once;
+    the parsed micro-batch is persisted and routed by topic.  Valid rows go to
     their keyed tables, and every reject -- unknown topic, bad reading, bad
-    average -- goes to the quarantine in one write per batch."""
-    from pyspark import StorageLevel
-
+    average -- goes to the quarantine in one write per batch.  A reading needs
+    all its fields, an average both its window bounds."""
     from ..operators.filters import route, split_routes
 
-    raw_sink = S.upsert_sink(raw_path, RAW_KEYS, ["bus_offset"])
-    avg_sink = S.upsert_sink(avg_path, AVG_KEYS, ["bus_offset"])
+    raw_sink = S.upsert_sink(raw_path, RAW_KEYS, BUS_ORDER)
+    avg_sink = S.upsert_sink(avg_path, AVG_KEYS, BUS_ORDER)
     bad_sink = S.quarantine_sink(rejects_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        d = _positioned(D.flag_malformed(D.decode_json(batch, ROUTED_WIRE, keep=D.ENVELOPE_META + ("timestamp",))))
+        d.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            tagged = route(batch, {readings_topic: "readings", averages_topic: "averages"})
+            tagged = route(d, {readings_topic: "readings", averages_topic: "averages"})
             parts = split_routes(tagged, ["readings", "averages", "rejected"])
-            r_ok, r_bad = D.split_valid(decoded(parts["readings"], "any"))
-            a_ok, a_bad = D.split_valid(decode_averages(parts["averages"]))
-            raw_sink(r_ok.select("device_id", "ts", "temperature", "humidity", "status", "bus_offset"), batch_id)
-            avg_sink(a_ok.select("device_id", "window_start", "window_end", "avg_temperature", "bus_offset"),
-                     batch_id)
-            unknown = parts["rejected"].select("topic", "partition", "offset",
-                                               F.lit("unknown_topic").alias(D.REASON),
-                                               F.col("value").cast("string").alias("raw"))
-            bad_sink(_rejects(r_bad).unionByName(_rejects(a_bad)).unionByName(unknown), batch_id)
+            r_ok, r_bad = D.split_valid(D.check_readings(parts["readings"], ROUTED_READING, "any", on_null_time))
+            a_ok, a_bad = D.split_valid(check_averages(parts["averages"]))
+            raw_sink(r_ok.select(*READING_COLS), batch_id)
+            avg_sink(a_ok.select(*AVG_COLS), batch_id)
+            unknown = parts["rejected"].withColumn(D.REASON, F.lit("unknown_topic"))
+            bad_sink(_rejects(r_bad).unionByName(_rejects(a_bad)).unionByName(_rejects(unknown)), batch_id)
         finally:
-            batch.unpersist()
+            d.unpersist()
 
     return start_query(envelope, write, "route_topics_to_tables", checkpoint, "append", trigger)
 
@@ -141,14 +184,17 @@ def averages_to_bus(envelope: DataFrame, out_path: str, checkpoint: str, topic:
                     width: str = "1 minute", delay: str = "5 seconds", trigger="availableNow",
                     time_mode: str = "sql", format: str = "parquet",
                     bootstrap: str | None = None, state_partitions: int | None = None,
-                    exact_scale: int | None = None) -> StreamingQuery:
+                    exact_scale: int | None = None, rejects_path: str | None = None,
+                    metrics_path: str | None = None, on_null_time: str = "quarantine",
+                    time_source: str = "payload") -> StreamingQuery:
     """V2: valid readings -> watermark -> tumbling average -> JSON messages on
     an append-only topic.  Each window is written once, when the watermark
     passes its end (windows still open at the end of a run stay in state)."""
     from ..sources.bus import encode_messages
     from ..streaming.sinks import bus_sink
 
-    valid, _ = D.split_valid(decoded(envelope, time_mode))
+    valid = _valid_for_windows(envelope, "averages_to_bus", checkpoint, trigger, rejects_path, metrics_path,
+                               time_mode=time_mode, on_null_time=on_null_time, time_source=time_source)
     agg = windowed_average(valid, "device_id", "ts", width, delay, exact_scale=exact_scale)
     msgs = encode_messages(agg, ["device_id", "window_start", "window_end", "avg_temp"], topic,
                            time_col="window_end")

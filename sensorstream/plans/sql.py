@@ -8,7 +8,16 @@ of other dialects is written as ``GROUP BY key, window(ts, width)``.
 
 from __future__ import annotations
 
+import re
+import time
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ..sources.catalog import Sink, declared_sink
+from ..sources.tables import upsert_table
+from ..streaming.runner import start_query
+from ..streaming.sinks import upsert_sink
 
 # SQL twin of operators.aggregates.tumbling_avg.
 TUMBLING_AVG_SQL = """
@@ -62,12 +71,32 @@ def split_statements(script: str) -> list[str]:
     return out
 
 
-def run_sql(spark: SparkSession, statements) -> DataFrame | None:
-    """Q1: run statements in order; return the last one's DataFrame (for a
-    streaming SELECT, start it with ``streaming.runner.start_query``)."""
+_INSERT = re.compile(r"\s*insert\s+into\s+(?:table\s+)?`?(\w+)`?\s+(?=select\b|with\b)", re.IGNORECASE)
+
+
+def _insert(df: DataFrame, name: str, sink: Sink) -> StreamingQuery | DataFrame:
+    """Start a stream into a declared sink, or write a batch as its next batch."""
+    if df.isStreaming:
+        return start_query(df, upsert_sink(sink.path, list(sink.keys)), f"insert_{name}", sink.checkpoint, sink.mode,
+                           no_data_batches=(sink.mode != "update"), state_partitions=sink.state_partitions)
+    upsert_table(df, sink.path, time.time_ns(), list(sink.keys))
+    return df
+
+
+def run_sql(spark: SparkSession, statements) -> DataFrame | StreamingQuery | None:
+    """Q1: run statements in order; return the last one's result.
+
+    ``INSERT INTO name SELECT ...`` into a sink of ``catalog.declare_sink``
+    starts a streaming query where the SELECT reads a stream (the query is the
+    result) and writes a batch of the keyed table otherwise.  Every other
+    statement, an INSERT into another table too, is Spark's own.  A streaming
+    SELECT is returned to be started with ``streaming.runner.start_query``.
+    """
     if isinstance(statements, str):
         statements = split_statements(statements)
     last = None
     for stmt in statements:
-        last = spark.sql(stmt)
+        found = _INSERT.match(stmt)
+        sink = declared_sink(found[1]) if found else None
+        last = _insert(spark.sql(stmt[found.end():]), found[1], sink) if sink else spark.sql(stmt)
     return last

@@ -32,7 +32,7 @@ from .session import ensure_utc, scratch_path
 from .sources import bus as B
 from .sources import fixtures as X
 from .sources import tables as TB
-from .sources.catalog import declare_stream
+from .sources.catalog import declare_sink, declare_stream
 from .sources.replay import replay_slices
 from .streaming import sinks as S
 from .streaming.runner import cluster_cores, progress_dicts, progress_metrics, start_query
@@ -309,33 +309,43 @@ def q_encode_json(spark, sf_dir):
                     .alias("message"))
 
 
+# Ten forms of a time text by event_id; what each parse makes of them.
 _TS_TEXT_SQL = f"""
-SELECT event_id, event_id % 103 = 0 AS iso_form, {_CAD_TS_SQL} AS t
-FROM events WHERE event_id % 97 <> 0 AND event_id % 101 <> 0"""
+SELECT event_id, event_id % 10 AS form, {_CAD_TS_SQL} AS t,
+       make_timestamp((1704067200000 + event_id * 200) // 1000 * 1000000) AS s
+FROM events"""
 
 
 def _ts_texts(spark, sf_dir) -> DataFrame:
-    """Time strings as they arrive on the bus (SQL form, some ISO form)."""
-    ev = X.events(spark, sf_dir)
-    env = ev.select("event_id", X.message_text(True).alias("value"))
-    d = D.decode_json(env, keep=("event_id",))
-    return d.filter(F.col("timestamp").isNotNull()).select("event_id", "timestamp")
+    """Time strings of every form a bus may carry, readable or not."""
+    t, whole = X.cadence_ts(), "yyyy-MM-dd HH:mm:ss"
+    forms = [format_ts(t, "sql_ms"), format_ts(t, "iso"), F.concat(format_ts(t, "iso"), F.lit("Z")),
+             F.concat(format_ts(t, "iso"), F.lit("+02:00")), F.concat(format_ts(t, "sql_ms"), F.lit("123")),
+             F.concat(format_ts(t, whole), F.lit(".5")), format_ts(t, "HH:mm:ss"), format_ts(t, "yyyy"),
+             F.lit("no time"), F.lit(None).cast("string")]
+    text = F.element_at(F.array(*forms), (F.col("event_id") % 10 + 1).cast("int"))
+    return X.events(spark, sf_dir).select("event_id", text.alias("timestamp"))
+
+
+_ISO_CASES = """CASE form WHEN 0 THEN t WHEN 1 THEN t WHEN 2 THEN t WHEN 3 THEN t - INTERVAL 2 HOUR
+     WHEN 4 THEN t + INTERVAL 123 MICROSECOND WHEN 5 THEN s + INTERVAL 500 MILLISECOND END"""
 
 
 @register("parse_sql_ts", f"""
-WITH s AS ({_TS_TEXT_SQL}) SELECT event_id, CASE WHEN iso_form THEN NULL ELSE t END AS ts FROM s""")
+WITH x AS ({_TS_TEXT_SQL})
+SELECT event_id, CASE form WHEN 0 THEN t WHEN 5 THEN s + INTERVAL 500 MILLISECOND END AS ts FROM x""")
 def q_parse_sql_ts(spark, sf_dir):
-    """Strict SQL-form parse; ISO ``T`` strings give NULL."""
+    """SQL form with at most three fraction digits; every other text is NULL."""
     return _ntz(_ts_texts(spark, sf_dir).select("event_id", parse_sql_ts("timestamp").alias("ts")), "ts")
 
 
-@register("parse_iso_ts", f"WITH s AS ({_TS_TEXT_SQL}) SELECT event_id, t AS ts FROM s")
+@register("parse_iso_ts", f"WITH x AS ({_TS_TEXT_SQL}) SELECT event_id, {_ISO_CASES} AS ts FROM x")
 def q_parse_iso_ts(spark, sf_dir):
-    """ISO-8601 parse (accepts both forms present on the bus)."""
+    """ISO-8601 parse (zones, ``T`` or blank); shorter texts are NULL."""
     return _ntz(_ts_texts(spark, sf_dir).select("event_id", parse_iso_ts("timestamp").alias("ts")), "ts")
 
 
-@register("parse_any_ts", f"WITH s AS ({_TS_TEXT_SQL}) SELECT event_id, t AS ts FROM s")
+@register("parse_any_ts", f"WITH x AS ({_TS_TEXT_SQL}) SELECT event_id, {_ISO_CASES} AS ts FROM x")
 def q_parse_any_ts(spark, sf_dir):
     """SQL form (1-6 fraction digits) first, then ISO."""
     return _ntz(_ts_texts(spark, sf_dir).select("event_id", parse_any_ts("timestamp").alias("ts")), "ts")
@@ -730,7 +740,8 @@ def q_stream_raw_table(spark, sf_dir):
     env = X.messages(X.events(spark, sf_dir), corrupt=True)
     base = _replay_run(spark, env, "raw",
                        lambda s, b, ck: J.readings_to_tables(s, f"{b}/raw", f"{b}/rejects", ck))
-    return _ntz(TB.read_table(spark, f"{base}/raw"), "ts")
+    raw = TB.read_table(spark, f"{base}/raw")
+    return _ntz(raw.select("device_id", "ts", "temperature", "humidity", "status", "bus_offset"), "ts")
 
 
 @register("stream_quarantine", ORACLE["quarantine_rows"])
@@ -757,7 +768,9 @@ def q_stream_route(spark, sf_dir):
     env = X.messages(X.events(spark, sf_dir), two_topics=True)
     base = _replay_run(spark, env, "route",
                        lambda s, b, ck: J.route_topics_to_tables(s, f"{b}/raw", f"{b}/avg", f"{b}/rejects", ck))
-    return _ntz(TB.read_table(spark, f"{base}/avg"), "window_start", "window_end")
+    avg = TB.read_table(spark, f"{base}/avg")
+    return _ntz(avg.select("device_id", "window_start", "window_end", "avg_temperature", "bus_offset"),
+                "window_start", "window_end")
 
 
 @register("stream_route_counts", f"""
@@ -877,3 +890,83 @@ def q_stream_route_rejects(spark, sf_dir):
     base = _replay_run(spark, env, "route_rejects",
                        lambda s, b, ck: J.route_topics_to_tables(s, f"{b}/raw", f"{b}/avg", f"{b}/rejects", ck))
     return spark.read.parquet(f"{base}/rejects").select("topic", "partition", "offset", D.REASON)
+
+
+@register("stream_windowed_rejects", ORACLE["quarantine_rows"])
+def q_stream_windowed_rejects(spark, sf_dir):
+    """K6: what a windowed job rejects is stored, not dropped."""
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    base = _replay_run(spark, env, "window_rejects",
+                       lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, rejects_path=f"{b}/rejects",
+                                                            state_partitions=cluster_cores(spark)))
+    return spark.read.parquet(f"{base}/rejects").select("topic", "partition", "offset", D.REASON, "raw")
+
+
+@register("stream_pipeline_metrics", f"""
+SELECT 'decoded_rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM events
+UNION ALL
+SELECT 'decoded_rejected' AS metric,
+       CAST(SUM(CASE WHEN ({_REASON_SQL}) IS NOT NULL THEN 1 ELSE 0 END) AS DOUBLE) AS value FROM events""")
+def q_stream_pipeline_metrics(spark, sf_dir):
+    """K8: row and reject counts that every micro-batch stored, summed from the table."""
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    base = _replay_run(spark, env, "metric_table",
+                       lambda s, b, ck: J.readings_to_tables(s, f"{b}/raw", f"{b}/rejects", ck,
+                                                             metrics_path=f"{b}/metrics"))
+    return spark.read.parquet(f"{base}/metrics").groupBy("metric").agg(F.sum("value").alias("value"))
+
+
+@register("stream_sql_insert", ORACLE["tumbling_avg_1m"])
+def q_stream_sql_insert(spark, sf_dir):
+    """A whole script on a stream: declared source and sink, INSERT."""
+
+    def build(stream, b, ck):
+        valid, _ = D.split_valid(J.decoded(stream))
+        declare_stream(spark, "insert_source", valid, "ts", watermark="5 seconds")
+        declare_sink("insert_target", f"{b}/avg", J.AVG_KEYS, ck, state_partitions=cluster_cores(spark))
+        return run_sql(spark, "INSERT INTO insert_target " + tumbling_avg_sql("insert_source", exact_scale=SCALE))
+
+    base = _replay_run(spark, X.messages(X.events(spark, sf_dir)), "sqlinsert", build)
+    return _ntz(TB.read_table(spark, f"{base}/avg"), "window_start", "window_end")
+
+
+@register("stream_record_time_5m", f"""
+WITH c AS ({CADENCE_SQL}), r AS (SELECT * REPLACE (ts + INTERVAL 7 MINUTE AS ts) FROM c)
+SELECT device_id, {_bucket('ts', FIVE_MIN_US)} AS window_start, {_bucket('ts', FIVE_MIN_US, True)} AS window_end,
+       max(ts) AS last_event_ts, {_exact_mean_sql('temperature')} AS avg_temp, COUNT(temperature) AS n
+FROM r GROUP BY 1, 2, 3""")
+def q_stream_record_time_5m(spark, sf_dir):
+    """Windows on the bus record time, here seven minutes after the reading."""
+    env = X.messages(X.events(spark, sf_dir))
+    env = env.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 7 MINUTES"))
+    base = _replay_run(spark, env, "recordtime",
+                       lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "5 minutes", "0 seconds", parts=True,
+                                                            state_partitions=cluster_cores(spark),
+                                                            exact_scale=SCALE, time_source="record"))
+    out = TB.read_table(spark, f"{base}/avg")
+    return _ntz(out.select("device_id", "window_start", "window_end", "last_event_ts", "avg_temp", "n"),
+                "window_start", "window_end", "last_event_ts")
+
+
+def _stored_windows(spark, sf_dir, name: str) -> DataFrame:
+    """One-minute averages of the readings as a stored keyed table."""
+    path = scratch_path(spark, "table", name)
+    r = X.cadence_readings(X.events(spark, sf_dir))
+    TB.upsert_table(A.tumbling_avg(r, "device_id", "ts", "1 minute", exact_scale=SCALE), path, 0, J.AVG_KEYS)
+    return TB.read_table(spark, path)
+
+
+@register("serve_latest_windows", f"""
+WITH w AS ({ORACLE["tumbling_avg_1m"]})
+SELECT * FROM w WHERE device_id = 'device-3' ORDER BY window_start DESC LIMIT 50""")
+def q_serve_latest_windows(spark, sf_dir):
+    """Serving: the newest 50 windows of one device, from the stored table."""
+    w = FL.key_equals(_stored_windows(spark, sf_dir, "serve_latest"), "device_id", "device-3")
+    return _ntz(TN.latest_n(w, "device_id", "window_start", 50), "window_start", "window_end")
+
+
+@register("serve_count_by_device", f"""
+WITH w AS ({ORACLE["tumbling_avg_1m"]}) SELECT device_id, COUNT(*) AS record_count FROM w GROUP BY device_id""")
+def q_serve_count_by_device(spark, sf_dir):
+    """Serving: stored windows per device."""
+    return A.count_by(_stored_windows(spark, sf_dir, "serve_count"), "device_id")

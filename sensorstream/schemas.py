@@ -67,6 +67,10 @@ WINDOW_AVG_WIRE = T.StructType([
     T.StructField("avg_temperature", T.StringType(), True),
 ])
 
+# Both kinds of message as one, so that a consumer of both topics parses once.
+ROUTED_WIRE = T.StructType([*READING_WIRE.fields,
+                            *(f for f in WINDOW_AVG_WIRE.fields if f.name != "device_id")])
+
 # Window-average message written by the windowed job (avg_temp, P7 encoding).
 WINDOW_AVG_MESSAGE = T.StructType([
     T.StructField("device_id", T.StringType(), True),

@@ -3,6 +3,8 @@ watermark, usable by name from SQL text (see ``plans.sql``)."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,3 +23,29 @@ def declare_stream(spark: SparkSession, name: str, df: DataFrame, time_col: str
         out = out.withWatermark(time_col, watermark)
     out.createOrReplaceTempView(name)
     return out
+
+
+@dataclass(frozen=True)
+class Sink:
+    """Where ``INSERT INTO <name>`` goes: a keyed table and a checkpoint."""
+    path: str
+    keys: tuple[str, ...]
+    checkpoint: str
+    mode: str = "update"
+    state_partitions: int | None = None
+
+
+_SINKS: dict[str, Sink] = {}
+
+
+def declare_sink(name: str, path: str, keys, checkpoint: str, mode: str = "update",
+                 state_partitions: int | None = None) -> Sink:
+    """``CREATE TABLE name (..., PRIMARY KEY (keys)) WITH (path)``: a keyed
+    table that a script can insert into (see ``plans.sql.run_sql``)."""
+    keys = (keys,) if isinstance(keys, str) else tuple(keys)
+    _SINKS[name.lower()] = Sink(path, keys, checkpoint, mode, state_partitions)
+    return _SINKS[name.lower()]
+
+
+def declared_sink(name: str) -> Sink | None:
+    return _SINKS.get(name.lower())

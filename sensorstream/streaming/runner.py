@@ -7,7 +7,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..schemas import METRIC
 from ..session import scratch_path
@@ -113,6 +113,49 @@ def dropped_late_rows(progress: list[dict]) -> int:
                for p in progress for op in p.get("stateOperators", []))
 
 
+class ProgressTotals(StreamingQueryListener):
+    """Running totals over *every* progress report of a session's
+    queries (``recentProgress`` keeps only the newest 100), by query name.
+
+    Use ``with ProgressTotals(spark) as totals``; memory does not grow with the
+    number of reports."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._sums: dict[str, dict[str, float]] = {}
+
+    def __enter__(self):
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_):
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = json.loads(event.progress.json)
+        mine = self._sums.setdefault(p.get("name") or p["id"], {"reports": 0, "numInputRows": 0,
+                                                                "numRowsDroppedByWatermark": 0})
+        mine["reports"] += 1
+        mine["numInputRows"] += p.get("numInputRows", 0)
+        mine["numRowsDroppedByWatermark"] += dropped_late_rows([p])
+        for name, values in (p.get("observedMetrics") or {}).items():
+            for k, v in values.items():
+                if isinstance(v, (int, float)):
+                    mine[f"{name}_{k}"] = mine.get(f"{name}_{k}", 0) + v
+
+    def of(self, name: str) -> dict[str, float]:
+        return dict(self._sums.get(name, {}))
+
+
 _RATE_FIELDS = ("numInputRows", "inputRowsPerSecond", "processedRowsPerSecond")
 
 

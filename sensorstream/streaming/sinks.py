@@ -14,6 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.decode import REASON
 from ..sources.tables import DIRECT, batch_folder, upsert_table
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -43,6 +44,20 @@ def quarantine_sink(path: str) -> BatchFn:
     return write
 
 
+def metrics_sink(path: str, name: str) -> BatchFn:
+    """K8: row and reject counts of each micro-batch as METRIC rows, one folder
+    per batch: nothing is lost when a query ends or reports too much to keep."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        bad = F.count(REASON) if REASON in batch.columns else F.lit(0).cast("long")
+        labels = F.create_map(F.lit("query"), F.lit(name), F.lit("batch"), F.lit(str(batch_id)))
+        rows = batch.agg(F.count(F.lit(1)).alias("rows"), bad.alias("rejected")).select(F.inline(F.array(
+            *(F.struct(F.lit(f"decoded_{n}").alias("metric"), labels.alias("labels"),
+                       F.current_timestamp().alias("ts"), F.col(n).cast("double").alias("value"))
+              for n in ("rows", "rejected")))))
+        rows.write.mode("overwrite").parquet(batch_folder(path, writer_of(batch), batch_id))
+    return write
+
+
 def envelope_sink(path: str, format: str = "parquet") -> BatchFn:
     """K1 for file replays: envelope rows of a topic, one folder per batch."""
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -41,7 +41,7 @@ def test_partial_aggregation_before_shuffle(spark):
 
 
 def test_windows_are_partitioned(spark):
-    for name in ("latest_n", "counter_rate_5m", "anomalies", "status_distribution_by_device"):
+    for name in ("latest_n", "counter_rate_5m", "anomalies", "status_distribution", "status_distribution_by_device"):
         assert not C.has_unpartitioned_window(E.queries()[name](spark, SF_SMALL)), name
 
 
