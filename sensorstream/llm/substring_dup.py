@@ -16,8 +16,12 @@ text is sharded by content:
    matching statistic reaches ``SIZE`` in a state of two places or more, the
    window is repeated.
 4. A shard of more than ``SHARD_PIECES`` pieces (one very common passage with
-   many surroundings) would make one large automaton; its windows are dealt
-   out by their own hash and counted instead.
+   many surroundings) would make one large automaton, so it is parted by more
+   content.  A window has up to ``SIZE - GRAM`` words before its anchor.  Those
+   with few and those with many each share a longer run around the anchor, the
+   name of a finer shard; steps 2 and 3 are done there, and a shard still too
+   large is parted again.  A shard of one place of the anchor is named by the
+   whole window, so counts alone settle it.
 """
 
 from __future__ import annotations
@@ -87,7 +91,7 @@ def _anchors(size: int):
 def _open_words(size: int):
     """The word hashes of a document's open pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text_crc", "anchor", "first", "hot", "words"]
+        names = ["doc_id", "text_crc", "anchor", "first", "times", "hot", "words"]
         for batch in batches:
             row = 0
             wanted = batch.column(3).to_pylist()
@@ -97,14 +101,14 @@ def _open_words(size: int):
                     h, base = words.hash, words.first[i]
                     for p in wanted[row + i]:
                         a = base + p["first"]
-                        out.append((row + i, p["anchor"], p["first"], p["hot"], h[a:a + p["windows"] - 1 + size].tobytes()))
+                        out.append((row + i, p["anchor"], p["first"], p["n"], p["hot"], h[a:a + p["windows"] - 1 + size].tobytes()))
                 for k in range(0, len(out), 4096):
                     some = out[k:k + 4096]
                     who = pa.array([x[0] for x in some])
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(who), batch.column(1).take(who), pa.array([x[1] for x in some], pa.int64()),
-                         pa.array([x[2] for x in some], pa.int32()), pa.array([x[3] for x in some], pa.bool_()),
-                         pa.array([x[4] for x in some], pa.binary())], names=names)
+                         pa.array([x[2] for x in some], pa.int32()), pa.array([x[3] for x in some], pa.int64()),
+                         pa.array([x[4] for x in some], pa.bool_()), pa.array([x[5] for x in some], pa.binary())], names=names)
                 row += words.texts
     return run
 
@@ -177,7 +181,11 @@ class SuffixAutomaton:
 
 
 def _shards(size: int):
-    """Repeated windows of each anchor's pieces; rows come sorted by anchor."""
+    """Repeated windows of each anchor's pieces; rows come sorted by anchor.
+
+    A row that stands for ``times`` places counts for them but has no spans to
+    tell: the whole piece is known to be repeated.
+    """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
@@ -185,22 +193,22 @@ def _shards(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for _, group in groupby(rows(batches), key=lambda r: r[2]):
-            same: dict[bytes, list[tuple]] = {}
-            for doc, crc, _, first, words in group:
-                same.setdefault(words, []).append((doc, crc, first))
+            pieces = [(doc, crc, first, times, np.frombuffer(words, dtype=np.uint64).tolist())
+                      for doc, crc, _, first, times, words in group]
             automaton = SuffixAutomaton()
-            texts = {w: np.frombuffer(w, dtype=np.uint64).tolist() for w in same}
-            for w, places in same.items():
-                automaton.add(texts[w], len(places))
+            for *_, times, words in pieces:
+                automaton.add(words, times)
             automaton.count()
-            for w, places in same.items():
+            for doc, crc, first, times, words in pieces:
+                if times > 1:
+                    continue
                 spans: list[list[int]] = []
-                for s in automaton.repeated(texts[w], size):
+                for s in automaton.repeated(words, size):
                     if spans and s <= spans[-1][1]:
                         spans[-1][1] = s + size
                     else:
                         spans.append([s, s + size])
-                held += [(d, c, f + a, f + b) for d, c, f in places for a, b in spans]
+                held += [(doc, crc, first + a, first + b) for a, b in spans]
             if len(held) >= 4096:
                 yield _spans_batch(held)
                 held = []
@@ -215,22 +223,82 @@ def _spans_batch(held: list[tuple]) -> pa.RecordBatch:
                                       names=["doc_id", "text_crc", "first", "last"])
 
 
-def _windows(size: int):
-    """One row for each window of the pieces of very common anchors."""
+def _finer(size: int):
+    """Each piece in two: its windows with few words before the anchor, and
+    those with many.  ``least`` and ``most`` bound that number of words."""
+    gram = min(GRAM, size)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, crc, anchor, first, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h = np.frombuffer(words, dtype=np.uint64)
-                piece = Words(0, h, h, h, np.array([0, len(h)]), h)
-                keys = signed(piece.runs(size))
-                n = len(keys)
+            if not batch.num_rows:
+                continue
+            raw = batch.column(3).to_pylist()
+            h = np.frombuffer(b"".join(raw), dtype=np.uint64)
+            base = np.cumsum([0, *(len(w) // 8 for w in raw)])
+            least, most = (batch.column(k).to_numpy().astype(np.int64) for k in (4, 5))
+            power, inverse = _power_tables(_RUN, len(h) + 1)
+            total = np.zeros(len(h) + 1, dtype=np.uint64)
+            np.cumsum(h * power[:len(h)], out=total[1:])
+            run_hash = lambda a, b, salt: signed(mix((total[b] - total[a]) * inverse[a] + mix(salt.astype(np.uint64))))  # noqa: B023, E731
+            grams = Words(0, h, h, h, np.array([0, len(h)]), h).runs(gram)
+            last, base = np.diff(base) - size, base[:-1]
+            anchor = grams[base[:, None] + np.arange(size - gram + 1)].argmin(axis=1)
+            middle = (least + most + 1) // 2
+            for lo, hi in ((least, middle - 1), (middle, most)):
+                a, b = np.maximum(anchor - hi, 0), np.minimum(anchor - lo, last)
+                own = np.flatnonzero((lo <= hi) & (a <= b))
+                if not len(own):
+                    continue
+                at, a, b, lo, hi = base[own], a[own], b[own], lo[own], hi[own]
+                common = at + anchor[own]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc] * n, pa.int64()), pa.array([crc] * n, pa.int64()), pa.array([anchor] * n, pa.int64()),
-                     pa.array(keys), pa.array(np.arange(first, first + n, dtype=np.int32))],
-                    names=["doc_id", "text_crc", "anchor", "window", "first"])
+                    [batch.column(0).take(pa.array(own)), batch.column(1).take(pa.array(own)),
+                     pa.array(run_hash(common - lo, common - hi + size, lo * size + hi)), pa.array(run_hash(at + a, at + b + size, b - a + 1)),
+                     pa.array((batch.column(2).to_numpy()[own] + a).astype(np.int32)), pa.array((b - a + 1).astype(np.int32)),
+                     pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), batch.column(6).take(pa.array(own)),
+                     pa.array([raw[i][8 * x:8 * (y + size)] for i, x, y in zip(own.tolist(), a.tolist(), b.tolist(), strict=True)], pa.binary())],
+                    names=["doc_id", "text_crc", "anchor", "piece", "first", "windows", "least", "most", "times", "words"])
     return run
 
 
+def _marks(per: DataFrame) -> DataFrame:
+    """Pieces (in ``n`` places) of anchors in several places.  ``open``: a
+    piece of the anchor has one place only.  ``hot``: its shard is too large."""
+    anchors = (per.groupBy("anchor").agg(F.sum("n").alias("total"), F.sum((F.col("n") == 1).cast("long")).alias("single"),
+                                         F.count("*").alias("kinds")).where("total > 1"))
+    return per.join(anchors, "anchor").select(*per.columns, (F.col("single") > 0).alias("open"),
+                                              (F.col("kinds") > SHARD_PIECES).alias("hot"))
+
+
+def _whole(pieces: DataFrame, size: int) -> DataFrame:
+    """The spans of whole pieces."""
+    return pieces.select("doc_id", "text_crc", "first", (F.col("first") + F.col("windows") - 1 + size).alias("last"))
+
+
+def _in_shards(words: DataFrame, size: int) -> DataFrame:
+    return (words.select("doc_id", "text_crc", "anchor", "first", "times", "words").repartition("anchor")
+            .sortWithinPartitions("anchor").mapInArrow(_shards(size), f"{_ROW}, first int, last int"))
+
+
+def _in_finer_shards(words: DataFrame, size: int) -> Iterator[DataFrame]:
+    """Spans of each level of finer shards; every level halves the places."""
+    widest = size - min(GRAM, size)
+    carried = ["doc_id", "text_crc", "first", "words", "least", "most", "times"]
+    rows = words.withColumn("least", F.lit(0)).withColumn("most", F.lit(widest)).select(carried)
+    for level in range(widest.bit_length()):
+        if rows.isEmpty():
+            return
+        parted = settle(rows.mapInArrow(_finer(size), f"{_ANCHORS}, least int, most int, times long, words binary"), f"finer-{level}")
+        per = parted.groupBy("anchor", "piece").agg(
+            F.sum("times").alias("n"), F.min(F.struct("doc_id", "text_crc", "first", "least", "most", "words")).alias("one"))
+        marked = settle(_marks(per), "finer-pieces")
+        again = marked.where("n > 1").select("anchor", "piece")
+        yield _whole(parted.where("times = 1").join(again, ["anchor", "piece"]), size)
+        left = marked.where("open").select("anchor", "one.*", F.col("n").alias("times"), "hot")
+        yield _in_shards(left.where("NOT hot"), size)
+        rows = left.where("hot").select(carried)
+
+
 def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """``doc_id, text_crc, first, last``: word ranges of repeated windows."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.crc32(F.col("text").cast("string").cast("binary")).alias("text_crc"),
@@ -238,24 +306,21 @@ def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
     pieces = rows.mapInArrow(_anchors(size), _ANCHORS)
     per = pieces.groupBy("anchor", "piece").agg(F.count("*").alias("n"))
     per = settle(per, "piece-counts")
-    anchors = (per.groupBy("anchor").agg(F.sum("n").alias("total"), F.sum((F.col("n") == 1).cast("long")).alias("single"))
-               .where("total > 1"))
-    marks = per.join(anchors, "anchor").select("anchor", "piece", "n", (F.col("single") > 0).alias("open"),
-                                               (F.col("total") > SHARD_PIECES).alias("hot"))
-    seen = settle(pieces.join(marks, ["anchor", "piece"]).select("doc_id", "text_crc", "anchor", "first", "windows", "n", "open", "hot"),
+    marks = _marks(per)
+    seen = settle(pieces.join(marks, ["anchor", "piece"]).select("doc_id", "text_crc", "anchor", "piece", "first", "windows", "n", "open", "hot"),
                   "pieces")
-    whole = seen.where("n > 1").select("doc_id", "text_crc", "first", (F.col("first") + F.col("windows") - 1 + size).alias("last"))
-    wanted = (seen.where("open").groupBy("doc_id", "text_crc")
-              .agg(F.collect_set(F.struct("anchor", "first", "windows", "hot")).alias("wanted")))
+    # Of a piece in several places one goes on for all of them.
+    place = F.struct("doc_id", "text_crc", "first", "windows", "hot", "n")
+    one = (seen.where("open AND n > 1").groupBy("anchor", "piece").agg(F.min(place).alias("one")).select("one.*", "anchor"))
+    wanted = (seen.where("open AND n = 1").select("doc_id", "text_crc", "first", "windows", "hot", "n", "anchor").unionByName(one)
+              .groupBy("doc_id", "text_crc").agg(F.collect_list(F.struct("anchor", "first", "windows", "hot", "n")).alias("wanted")))
     same = F.expr("a.doc_id <=> b.doc_id AND a.text_crc <=> b.text_crc")
     words = settle(rows.alias("a").join(wanted.alias("b"), same).select("a.doc_id", "a.text_crc", "a.text", "b.wanted")
-                   .mapInArrow(_open_words(size), f"{_ROW}, anchor long, first int, hot boolean, words binary"), "open-words")
-    shards = (words.where("NOT hot").drop("hot").repartition("anchor").sortWithinPartitions("anchor")
-              .mapInArrow(_shards(size), f"{_ROW}, first int, last int"))
-    common = words.where("hot").drop("hot").mapInArrow(_windows(size), f"{_ROW}, anchor long, window long, first int")
-    often = common.groupBy("anchor", "window").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "window")
-    counted = common.join(often, ["anchor", "window"]).select("doc_id", "text_crc", "first", (F.col("first") + size).alias("last"))
-    return whole.unionByName(shards).unionByName(counted)
+                   .mapInArrow(_open_words(size), f"{_ROW}, anchor long, first int, times long, hot boolean, words binary"), "open-words")
+    found = _whole(seen.where("n > 1"), size).unionByName(_in_shards(words.where("NOT hot"), size))
+    for spans in _in_finer_shards(words.where("hot"), size):
+        found = found.unionByName(spans)
+    return found
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
