@@ -55,7 +55,26 @@ def test_shared_passages(spark, monkeypatch, limit):
     assert result(substring_dup.remove_repeats(df)) == sorted(brute.substrings(rows))
 
 
-def test_odd_rows(spark, odd_docs, odder_docs, no_docs):
+def test_finer_shards_of_a_common_passage(spark, monkeypatch):
+    """Copies, near copies and repeated rows around one passage; words repeat."""
+    monkeypatch.setattr(substring_dup, "SHARD_PIECES", 2)
+    r, passage = random.Random(9), prose(5, 45).split() + ["again"] * 50 + prose(6, 20).split()
+    rows = []
+    for i in range(30):
+        words = [r.choice("xyz") for _ in range(r.randrange(4))] + passage + [r.choice("xyz") for _ in range(r.randrange(4))]
+        if i % 3 == 0:
+            words[r.randrange(len(words))] = f"odd{i}"
+        rows.append((i, " ".join(words)))
+    rows += rows[:2] + [(None, rows[0][1]), (40, rows[3][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1:])
+    got = [tuple(r) for r in substring_dup.remove_repeats(df).withColumn("kept", F.sha2(F.col("kept").cast("binary"), 256)).collect()]
+    assert sorted(got, key=key) == sorted(brute.substrings(rows), key=key)
+
+
+@pytest.mark.parametrize("limit", [5000, 1])
+def test_odd_rows(spark, odd_docs, odder_docs, no_docs, monkeypatch, limit):
+    monkeypatch.setattr(substring_dup, "SHARD_PIECES", limit)
     assert result(substring_dup.remove_repeats(odd_docs)) == sorted(brute.substrings([(r[0], r[1]) for r in awkward()]))
     rows = [(r[0], r[1]) for r in awkward(unique=False)]
     key = lambda r: (r[0] is None, r[0] or 0, r[1:])
