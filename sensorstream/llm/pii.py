@@ -86,7 +86,9 @@ def mod97(account: Column) -> Column:
 def _valid(kind: str, match: Column) -> Column:
     digits = F.regexp_replace(match, _DIGITS, "")
     if kind == "ip":
-        part = lambda x: F.when(F.length(F.ltrim(F.lit("0"), x)) > 3, False).otherwise(x.cast("int") <= 255)
+        def part(x: Column) -> Column:
+            # Leading zeros don't count; a part of zeros alone is 0.
+            return let(F.ltrim(x, F.lit("0")), lambda n: (F.length(n) <= 3) & F.coalesce(n.try_cast("int") <= 255, n == ""))
         return F.forall(F.split(match, r"\."), part)
     if kind == "card":
         return let(digits, lambda d: F.length(d).between(13, 19) & F.when(F.length(d).between(13, 19), luhn(d)).otherwise(False))

@@ -54,6 +54,13 @@ def test_pii_query_and_redaction(spark, texts):
     assert got == {1: "x [email] y \U0001F600 [ip]", 2: None}
 
 
+def test_pii_long_parts_of_addresses(spark):
+    texts = ["build 20240131123045.1.2.3 ok", "oid 1.2.99999999999.4", "ip 00000000010.000.0000.255 ok", "ip 0256.1.1.1", "1.2.3.4"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.pii if s.kind == "ip"] for r in pii.find_pii(docs).collect()}
+    assert got == {0: [], 1: [], 2: ["00000000010.000.0000.255"], 3: [], 4: ["1.2.3.4"]}
+
+
 def test_pii_odd_tables(odder_docs, no_docs):
     assert pii.find_pii(odder_docs).count() == odder_docs.count()
     assert pii.find_pii(no_docs).count() == 0
