@@ -6,15 +6,19 @@ Layout under ``path`` (any Hadoop filesystem; all I/O goes through Spark):
   _manifest/v=<k>/      JSON, one row: schema, keys, order columns and the
                         current snapshot (generation, highest batch folded in)
   log/writer=<w>/batch_id=<n>/   Parquet, one folder per writer and batch
-  snapshot/gen=<g>/     Parquet, compacted latest view of batches <= upto[w]
+  snapshot/gen=<g>/     Parquet, compacted latest versions, by writer, of batches <= upto[w]
+  _writes/<seq>,<w>,<n> empty, one for each write: the table-wide sequence
 
 Batch numbers belong to their writer (a stream's query id, which lives in its
 checkpoint), so two streams, or one started anew on another checkpoint, never
 write the same folder.  Writing a batch replaces its whole folder, so writing
 it twice -- a stream restarted from its checkpoint replays the last batch --
 leaves the table unchanged (K4).  Reading = snapshot + log batches above their
-writer's ``upto``, then ``latest_wins`` on the keys: the higher batch, then the
-order columns, then the writer's name decide.  Compaction writes a new generation, then a new manifest version; the
+writer's ``upto``, then ``latest_wins`` on the keys.  Of one writer's versions
+the higher batch wins, then the order columns; between writers the order columns
+decide, then the table-wide sequence of the write.  A write's
+sequence is one above all before it; a replay keeps the first write's.  Writes
+begun at the same moment may share a number.  Compaction writes a new generation, then a new manifest version; the
 writer never waits for it and readers switch atomically on the manifest.
 
 Isolation: plain Parquet has no atomic multi-file commit, so a read that
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +42,7 @@ from ..operators.latest import latest_wins
 
 BATCH = "batch_id"
 WRITER = "writer"
+SEQUENCE = "write_seq"
 #: Writer of batches that no stream wrote.
 DIRECT = "direct"
 
@@ -117,6 +123,33 @@ def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType,
     return m
 
 
+def _write_sequence(spark: SparkSession, path: str, writer: str, batch_id: int) -> int:
+    """The table-wide number of a write, noted in ``_writes``; a replay's is the first one's."""
+    folder, name = f"{path}/_writes", f"{quote(writer, safe='')},{int(batch_id)}"
+    try:
+        context = spark.sparkContext
+    except Exception:  # noqa: BLE001  (no JVM gateway): list and write by Spark
+        context, found = None, []
+        if _exists(spark, folder):
+            # Spark writes folders: the note is the file's parent.
+            found = [unquote(r.path).split("/")[-2] for r in
+                     spark.read.format("binaryFile").load(f"{folder}/*").select("path").collect()]
+    else:
+        p = context._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = p.getFileSystem(context._jsc.hadoopConfiguration())
+        found = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+    known = [f.split(",", 1) for f in found if "," in f]
+    own = [int(seq) for seq, rest in known if rest == name]
+    if own:
+        return min(own)
+    seq = 1 + max((int(seq) for seq, _ in known), default=0)
+    if context is None:
+        spark.range(1).selectExpr("''").write.mode("overwrite").text(f"{folder}/{seq},{name}")
+    else:
+        fs.create(context._jvm.org.apache.hadoop.fs.Path(p, f"{seq},{name}"), True).close()
+    return seq
+
+
 def upsert_table(df: DataFrame, path: str, batch_id: int, keys=None, order=None,
                  target_rows_per_file: int = 1_000_000, manifest: Manifest | None = None,
                  writer: str = DIRECT) -> Manifest:
@@ -136,7 +169,8 @@ def upsert_table(df: DataFrame, path: str, batch_id: int, keys=None, order=None,
     cols = [f.name for f in m.schema.fields]
     # Rows clustered by key inside each file: Parquet row-group min/max then
     # let a pushed key filter (``device_id = ...``) skip most of a file.
-    out = df.select(*cols).sortWithinPartitions(*m.partition_by, *m.keys)
+    seq = _write_sequence(spark, path, writer, batch_id)
+    out = df.select(*cols).withColumn(SEQUENCE, F.lit(seq).cast("long")).sortWithinPartitions(*m.partition_by, *m.keys)
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", target_rows_per_file)
@@ -151,7 +185,8 @@ def batch_folder(path: str, writer: str, batch_id: int) -> str:
 
 
 def _stored(m: Manifest) -> T.StructType:
-    return T.StructType([*m.schema.fields, T.StructField(WRITER, T.StringType()), T.StructField(BATCH, T.LongType())])
+    return T.StructType([*m.schema.fields, T.StructField(SEQUENCE, T.LongType()),
+                         T.StructField(WRITER, T.StringType()), T.StructField(BATCH, T.LongType())])
 
 
 def _log(spark: SparkSession, path: str, m: Manifest) -> DataFrame:
@@ -179,8 +214,13 @@ def _group_keys(m: Manifest) -> list[str]:
     return list(m.keys) + [p for p in m.partition_by if p not in m.keys]
 
 
+def _latest_of_writers(versions: DataFrame, m: Manifest, strategy: str) -> DataFrame:
+    """Each writer's latest version of every key: its higher batch wins."""
+    return latest_wins(versions, [*_group_keys(m), WRITER], [BATCH, *m.order], strategy)
+
+
 def table_versions(spark: SparkSession, path: str) -> DataFrame:
-    """Every stored version of every key (snapshot + live log), with writer and batch_id."""
+    """Every stored version of every key (snapshot + live log), with write_seq, writer and batch_id."""
     m = read_manifest(spark, path)
     if m is None:
         raise FileNotFoundError(f"no table at {path}")
@@ -204,8 +244,10 @@ def read_table(spark: SparkSession, path: str, strategy: str = "window",
     if m is None:
         raise FileNotFoundError(f"no table at {path}")
     versions = table_versions(spark, path)
-    view = latest_wins(versions, _group_keys(m), [BATCH, *m.order, WRITER], strategy)
-    return view.drop(WRITER) if with_batch else view.drop(BATCH, WRITER)
+    # Batch numbers don't compare across writers; they decide there only for
+    # writes stored without a sequence.
+    view = latest_wins(_latest_of_writers(versions, m, strategy), _group_keys(m), [*m.order, SEQUENCE, BATCH, WRITER], strategy)
+    return view.drop(SEQUENCE, WRITER) if with_batch else view.drop(SEQUENCE, BATCH, WRITER)
 
 
 def describe_table(spark: SparkSession, path: str) -> DataFrame:
@@ -242,7 +284,8 @@ def compact(spark: SparkSession, path: str, strategy: str = "window") -> Manifes
     live = F.lit(False)
     for w in newest:
         live = live | ((F.col(WRITER) == w) & (F.col(BATCH) > upto.get(w, -1)))
-    folded = latest_wins(versions.filter(~live), _group_keys(m), [BATCH, *m.order, WRITER], strategy)
+    # A row for each writer of a key: a writer's later batch takes back only its own.
+    folded = _latest_of_writers(versions.filter(~live), m, strategy)
     gen = m.generation + 1
     # As the log: partition columns and key order, so filters prune here too.
     (folded.sortWithinPartitions(*m.partition_by, *m.keys).write.mode("overwrite").partitionBy(*m.partition_by)

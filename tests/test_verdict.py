@@ -35,6 +35,24 @@ def test_two_writers_and_a_new_one_after_compaction(spark, tmp_path):
     assert read() == want | {"c": 4}
 
 
+def test_new_writer_updates_a_key(spark, tmp_path):
+    row = lambda v, at: spark.createDataFrame([("a", v, at)], "k string, v int, at long")
+    for order in (["at"], []):
+        path = str(tmp_path / f"t{len(order)}")
+        read = lambda: [r.v for r in TB.read_table(spark, path).collect()]  # noqa: E731, B023
+        TB.upsert_table(row(1, 100), path, 57, keys="k", order=order, writer="old")
+        TB.upsert_table(row(2, 200), path, 0, writer="new")       # a later record, a lower batch
+        assert read() == [2]
+        TB.upsert_table(row(1, 100), path, 57, writer="old")      # a replay stays where it was
+        assert read() == [2]
+        for w, n in (("old", 58), ("new", 1)):                    # so that compaction folds both
+            TB.upsert_table(row(0, 0).where("false"), path, n, writer=w)
+        TB.compact(spark, path)
+        assert read() == [2]
+        TB.upsert_table(row(3, 150), path, 0, writer="third")     # an earlier record, the last write
+        assert read() == ([2] if order else [3])
+
+
 def test_replay_replaces_whole_batch_and_snapshot_prunes(spark, tmp_path):
     path = str(tmp_path / "t")
     df = lambda *r: spark.createDataFrame(list(r), "k string, dt string, v int")
