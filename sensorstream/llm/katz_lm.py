@@ -1,22 +1,31 @@
-"""Language-model scores: a Katz backoff bigram model with Good-Turing counts.
+"""Language-model scores: a Katz backoff model with Good-Turing counts.
 
-    P(w | v) = d(c) * c(v w) / c(v)     if c(v w) > ``LEAST`` - 1
-             = alpha(v) * P(w)          else
-    P(w)     = d(c) * c(w) / N, all unseen words together what is left
+    P(w | u v) = d(c) * c(u v w) / c(u v)   if c(u v w) > 0
+               = alpha(u v) * P(w | v)      else
+    P(w | v)   = d(c) * c(v w) / c(v)       if c(v w) > 0
+               = alpha(v) * P(w)            else
+    P(w)       = d(c) * c(w) / N, all unseen words together what is left
+
+and so on for higher orders; near a text's beginning histories are as long as
+there are words, the beginning included.
 
 ``d`` are Good-Turing discounts for counts up to ``GT_MOST`` (with a fixed
 discount where the counts of counts don't allow one), and ``alpha(v)`` is the
 mass that the stored followers of ``v`` leave over that of the words they
-leave out, so every history's probabilities add up to one.  A pair seen once
-is not stored: it counts for the discounts and leaves its mass to backoff.
-
-Texts cross the cluster once.  Map tasks sort their token pairs by history and
-pack them, with the documents they stand in, into compressed blocks, one for
-each bucket of histories; very frequent histories are dealt out by the pair.
-The first pass over the buckets counts and stores pairs, which meet the word
-table and are stored partitioned by bucket; the second pass scores the same
-buckets (their shuffle files are used again) with their partition of the table.
-A word is scored where it is a history, so its own probability is at hand there.
+leave out, so every history's probabilities add up to one.  A history of two
+and more words is known by the hash of its words, and a "pair" below is a
+history of any length and the word after it.
+
+Texts cross the cluster once.  Map tasks sort their pairs of each level (the
+order of the model they belong to) by history and pack them, with the documents
+they stand in, into compressed blocks, one for each bucket of histories; very
+frequent histories are dealt out by the pair.  The first pass over the buckets
+counts and stores pairs, which meet the probabilities one level below and are
+stored partitioned by bucket; the second pass scores the same buckets (their
+shuffle files are used again) with their partition of the table.  A word is
+scored where it is a history, so its own probability is at hand there; each
+level adds the logarithms of its alphas, and for its stored pairs what they
+have over backing off.
 
 Words are known by 48 bits of their hash.
 """
@@ -34,7 +43,7 @@ import pyarrow.dataset
 import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -43,32 +52,35 @@ from ._text import scan
 
 GT_MOST = 5
 #: Least count of a pair that is stored.
-LEAST = 2
+LEAST = 1
+#: Order of the query's model: a word and the two before it.
+ORDER = 3
 #: Tokens that a map task sorts and packs at a time.
 PACK_TOKENS = 1_500_000
 _BITS = np.uint64((1 << 48) - 1)
+_HISTORY_BITS = np.uint64((1 << 63) - 1)
 #: The end of a text, a token, and its beginning, only a history.
 END, BEGIN = 0x1E7D00000001, 0x1E7D00000002
 
 
 # -- blocks ------------------------------------------------------------------
 
-def _six(x: np.ndarray) -> bytes:
-    """48-bit values as planes of bytes, which compress when sorted."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes()
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit values as planes of bytes, which compress when sorted."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _from_six(raw: memoryview, n: int) -> np.ndarray:
-    out = np.zeros((n, 8), dtype=np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(6, n).T
-    return out.reshape(-1).view("<u8")
+def _from_planes(raw: memoryview, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).reshape(-1).view("<u8")
 
 
-def pack(history: np.ndarray, word: np.ndarray, doc: np.ndarray, docs: np.ndarray, number: int = 0) -> bytes:
+def pack(history: np.ndarray, word: np.ndarray, doc: np.ndarray, docs: np.ndarray, number: int = 0,
+         lower: np.ndarray | None = None) -> bytes:
     """A block of pairs sorted by history, word, document.
 
     ``doc`` are rows of ``docs`` (id, null mark, row in the pack, train mark);
-    ``number`` is the pack's, the texts that a map task sorted together.
+    ``number`` is the pack's, the texts that a map task sorted together;
+    ``lower`` is each history without its oldest word.
     """
     new = np.ones(len(doc), dtype=bool)
     pair = np.ones(len(doc), dtype=bool)
@@ -80,14 +92,15 @@ def pack(history: np.ndarray, word: np.ndarray, doc: np.ndarray, docs: np.ndarra
     used, local = np.unique(doc[new], return_inverse=True)
     places = np.diff(np.append(np.flatnonzero(pair[new]), int(new.sum())))
     follow = np.diff(np.append(np.flatnonzero(head[pair]), int(pair.sum())))
-    arrays = [_six(history[head]), follow.astype("<u4").tobytes(), _six(word[pair]), places.astype("<u4").tobytes(),
+    lower = np.zeros_like(history) if lower is None else lower
+    arrays = [_planes(history[head]), _planes(lower[head]), follow.astype("<u4").tobytes(), _planes(word[pair]), places.astype("<u4").tobytes(),
               local.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), times.astype("<u4").tobytes(), docs[used].astype("<i8").T.tobytes()]
     sizes = struct.pack("<4q", int(head.sum()), int(pair.sum()), int(new.sum()), len(used))
     return zstandard.compress(sizes + b"".join(arrays) + struct.pack("<q", number), 3)
 
 
 def unpack(block: bytes) -> dict[str, np.ndarray]:
-    """Entries ``history, word, doc, times`` and the block's ``docs``."""
+    """Entries ``history, lower, word, doc, times`` and the block's ``docs``."""
     raw = memoryview(zstandard.decompress(block))
     pack_id, = struct.unpack("<q", raw[-8:])
     h, p, e, d = struct.unpack("<4q", raw[:32])
@@ -98,14 +111,15 @@ def unpack(block: bytes) -> dict[str, np.ndarray]:
         at += n
         return raw[at - n:at]
 
-    history = _from_six(take(6 * h), h)
+    history, lower = _from_planes(take(8 * h), h), _from_planes(take(8 * h), h)
     follow = np.frombuffer(take(4 * h), "<u4")
-    word = _from_six(take(6 * p), p)
+    word = _from_planes(take(8 * p), p)
     places = np.frombuffer(take(4 * p), "<u4")
     doc = np.ascontiguousarray(np.frombuffer(take(4 * e), np.uint8).reshape(4, e).T).reshape(-1).view("<u4")
     times = np.frombuffer(take(4 * e), "<u4")
     docs = np.frombuffer(take(32 * d), "<i8").reshape(4, d)
     return {"history": np.repeat(np.repeat(history, follow), places), "word": np.repeat(word, places),
+            "lower": np.repeat(np.repeat(lower, follow), places),
             "doc": doc.astype(np.int64), "times": times.astype(np.int64), "docs": docs,
             "pack": pack_id}
 
@@ -126,6 +140,46 @@ def _tokens(words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return history, word, text
 
 
+def _longer(history: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The history that a pair is for the next word."""
+    return _mixed(history, word) & _HISTORY_BITS
+
+
+def _levels(history: np.ndarray, word: np.ndarray, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Level, places, histories and lower histories of the pairs of each level."""
+    at = np.arange(len(word))
+    inside = at - np.maximum.accumulate(np.where(history == BEGIN, at, 0))     # place in its text
+    lower = np.zeros_like(history)
+    for level in range(2, order + 1):
+        if level > 2:
+            lower, history = history, np.append(np.zeros(1, np.uint64), _longer(history[:-1], word[:-1]))
+        here = np.flatnonzero(inside >= level - 2)
+        yield level, here, history[here], lower[here]
+
+
+def _count_histories(hot: np.ndarray, order: int):
+    """Counts of the longer histories all of whose words are frequent."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, train = 0, np.array(batch.column(2).to_pylist(), dtype=bool)
+            for words in scan(batch.column(3), lower=True):
+                history, word, text = _tokens(words)
+                learned = train[row + text]
+                frequent = np.isin(history, hot)
+                run_length = frequent
+                for level, here, long, _ in _levels(history, word, order):
+                    if level > 2:
+                        run_length = frequent & np.append(False, run_length[:-1])
+                        keep = run_length[here]
+                        kinds, back = np.unique(long[keep], return_inverse=True)
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(np.full(len(kinds), level)), pa.array(kinds.astype(np.int64)),
+                            pa.array(np.bincount(back, weights=learned[here][keep], minlength=len(kinds)).astype(np.int64)),
+                            pa.array(np.bincount(back, minlength=len(kinds)))], names=["level", "history", "c", "every"])
+                row += words.texts
+    return run
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         row, train = 0, np.array(batch.column(2).to_pylist(), dtype=bool)
@@ -144,7 +198,10 @@ def _bucket(history: np.ndarray, word: np.ndarray, hot: np.ndarray, buckets: int
     return ((history * np.uint64(0xD6E8FEB86659FD93) + salt) >> np.uint64(20)) % np.uint64(buckets)
 
 
-def _blocks(hot: np.ndarray, buckets: int):
+def _blocks(hot: dict[int, np.ndarray], buckets: int):
+    """Blocks of all levels; those of level ``n`` are in the ``n - 2``nd range of buckets."""
+    order = max(hot)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         packs = itertools.count(TaskContext.get().partitionId() << 32)
@@ -158,13 +215,16 @@ def _blocks(hot: np.ndarray, buckets: int):
             history, word, doc = (np.concatenate([p[k] for p in parts]) for k in range(3))
             table, number = np.concatenate(docs), next(packs)
             table[:, 2] = np.arange(len(table))
-            bucket = _bucket(history, word, hot, buckets)
-            order = np.lexsort((doc, word, history, bucket))
-            history, word, doc, bucket = history[order], word[order], doc[order], bucket[order]
-            for part in np.split(np.arange(len(order)), np.flatnonzero(np.diff(bucket)) + 1):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(bucket[part[0]])], pa.int32()), pa.array([pack(history[part], word[part], doc[part], table, number)], pa.binary())],
-                    names=["bucket", "block"])
+            for level, here, long, lower in _levels(history, word, order):
+                w, d = word[here], doc[here]
+                bucket = _bucket(long, w, hot[level], buckets) + np.uint64((level - 2) * buckets)
+                by = np.lexsort((d, w, long, bucket))
+                long, lower, w, d, bucket = long[by], lower[by], w[by], d[by], bucket[by]
+                for part in np.split(np.arange(len(by)), np.flatnonzero(np.diff(bucket)) + 1) if len(by) else ():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([int(bucket[part[0]])], pa.int32()),
+                         pa.array([pack(long[part], w[part], d[part], table, number, lower[part])], pa.binary())],
+                        names=["bucket", "block"])
             held.clear()
 
         for batch in batches:
@@ -220,10 +280,11 @@ class Unigrams:
 
 
 def follower_values(history: np.ndarray, c: np.ndarray, total: np.ndarray, p: np.ndarray, discount: np.ndarray,
-                    left: dict[int, tuple[float, float, int]]) -> tuple[np.ndarray, dict[int, float]]:
-    """log10 P(w | v) of stored pairs, and log10 alpha of their histories.
+                    left: dict[int, tuple[float, float, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """log10 P(w | v) of stored pairs; their histories in order, and log10 alpha of each.
 
-    ``left`` holds the sums of P and of the words' own probabilities, and the
+    ``p`` are the words' probabilities one level below.
+    ``left`` holds the sums of P and of those probabilities, and the
     counts, of histories whose pairs lie in several buckets; those have their
     alpha in every bucket.
     """
@@ -242,7 +303,7 @@ def follower_values(history: np.ndarray, c: np.ndarray, total: np.ndarray, p: np
     none = 1 - mass < 1e-9
     shrink = np.where(none, count / (count + 1) / np.maximum(mass, 1e-300), 1.0)
     alpha = np.where(none, 1 / (count + 1), 1 - mass) / np.maximum(1 - words, 1e-12)
-    return np.log10(own * shrink[back]), dict(zip(names.tolist(), np.log10(alpha).tolist(), strict=True))
+    return np.log10(own * shrink[back]), names, np.log10(alpha)
 
 
 def _history_counts(block: dict, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -267,33 +328,36 @@ def _sums(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray,
 _PAIR = np.dtype([("history", "<u8"), ("word", "<u8")])
 
 
-def _count_pairs(hot: dict[int, int]):
+def _count_pairs(hots: dict[int, dict[int, int]], buckets: int):
     """Stored pairs with their history's count; and how many pairs have each
-    small count (rows whose bucket is -1)."""
+    small count (rows whose bucket is their level below 0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["bucket", "history", "word", "c", "total"]
+        names = ["bucket", "history", "lower", "word", "c", "total"]
         for bucket, blocks in _by_bucket(batches):
-            keys, values = [], []
+            keys, lowers, values = [], [], []
+            level = bucket // buckets + 2
             for block in map(unpack, blocks):
                 n = np.where(block["docs"][3][block["doc"]] == 1, block["times"], 0)
                 pair = np.empty(len(n), dtype=_PAIR)
                 pair["history"], pair["word"] = block["history"], block["word"]
                 starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(n) else np.zeros(0, np.int64)
                 keys.append(pair[starts])
+                lowers.append(block["lower"][starts])
                 values.append(np.add.reduceat(n, starts) if len(n) else n)
-            pairs, counts = np.concatenate(keys), np.concatenate(values)
+            pairs, lower, counts = np.concatenate(keys), np.concatenate(lowers), np.concatenate(values)
             order = np.lexsort((pairs["word"], pairs["history"]))
-            pairs, counts = pairs[order], counts[order]
+            pairs, lower, counts = pairs[order], lower[order], counts[order]
             starts = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
-            pairs, counts = pairs[starts], np.add.reduceat(counts, starts)
+            pairs, lower, counts = pairs[starts], lower[starts], np.add.reduceat(counts, starts)
             heads = np.flatnonzero(np.append(True, pairs["history"][1:] != pairs["history"][:-1]))
             total = np.repeat(np.add.reduceat(counts, heads), np.diff(np.append(heads, len(pairs))))
-            for name, n in hot.items():
+            for name, n in hots[level].items():
                 total[pairs["history"] == name] = n
             few = np.bincount(counts[counts <= GT_MOST + 1], minlength=GT_MOST + 2)[1:]
             keep = counts >= LEAST
-            rows = [(np.full(len(few), -1), np.zeros(len(few)), np.zeros(len(few)), np.arange(1, GT_MOST + 2), few),
-                    (np.full(int(keep.sum()), bucket), pairs["history"][keep], pairs["word"][keep], counts[keep], total[keep])]
+            none = np.zeros(len(few))
+            rows = [(np.full(len(few), -level), none, none, none, np.arange(1, GT_MOST + 2), few),
+                    (np.full(int(keep.sum()), bucket), pairs["history"][keep], lower[keep], pairs["word"][keep], counts[keep], total[keep])]
             for row in rows:
                 yield pa.RecordBatch.from_arrays([pa.array(np.asarray(x).astype(np.int64)) for x in row], names=names)
     return run
@@ -303,48 +367,55 @@ def _read_bucket(path: str, bucket: int) -> dict[str, np.ndarray]:
     local = urlparse(path).scheme in ("", "file")
     fs, root = (pyarrow.fs.LocalFileSystem(), urlparse(path).path) if local else pyarrow.fs.FileSystem.from_uri(path)
     folder = f"{root}/bucket={bucket}"
-    names = ["history", "word", "c", "total", "own"]
+    names = ["history", "word", "c", "total", "p"]
     if fs.get_file_info(folder).type == pyarrow.fs.FileType.NotFound:
         return {n: np.zeros(0, np.int64) for n in names}
     table = pyarrow.dataset.dataset(folder, filesystem=fs, format="parquet").to_table(columns=names)
     return {n: table.column(n).to_numpy() for n in names}
 
 
+def _stored_values(part: dict, bucket: int) -> tuple[np.ndarray, ...]:
+    """A bucket's stored pairs with log10 of P and of P one level below; its
+    histories in order and log10 alpha of each."""
+    stored = _read_bucket(part["path"], bucket)
+    history, p = stored["history"].astype(np.uint64), stored["p"].astype(np.float64)
+    value, names, slopes = follower_values(history, stored["c"], stored["total"], p, part["discount"], part["left"])
+    return history, stored["word"].astype(np.uint64), value, np.log10(p), names, slopes
+
+
+def _values(shared):
+    """Stored pairs of one level with their probabilities."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = shared()
+        for batch in batches:
+            for bucket in batch.column(0).to_pylist():
+                history, word, value, _, _, _ = _stored_values(part, bucket)
+                yield pa.RecordBatch.from_arrays([pa.array(history.astype(np.int64)), pa.array(word.astype(np.int64)), pa.array(10.0 ** value)],
+                                                 names=["lower", "word", "p"])
+    return run
+
+
 def _score(shared):
     """Each document's share of its sums from the histories of a bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared()
-        words, hot = model["words"], model["hot"]
+        words, buckets = model["words"], model["buckets"]
         for bucket, blocks in _by_bucket(batches):
-            stored = _read_bucket(model["path"], bucket)
-            p = 10.0 ** words.log10(stored["own"])
-            value, alpha = follower_values(stored["history"].astype(np.uint64), stored["c"], stored["total"], p,
-                                           model["discount"], model["left"])
-            pairs = np.empty(len(p), dtype=_PAIR)
-            pairs["history"], pairs["word"] = stored["history"], stored["word"]
-            order = np.lexsort((pairs["word"], pairs["history"]))
-            pairs = pairs[order]
-            back = np.array([alpha[h] for h in pairs["history"].tolist()])
-            gain = value[order] - np.log10(p[order]) - back
-            flat = _mixed(pairs["history"], pairs["word"])
+            level = bucket // buckets + 2
+            history, word, value, low, names, slopes = _stored_values(model["levels"][level], bucket)
+            flat, gain = _mixed(history, word), value - low - slopes[np.searchsorted(names, history)]
             by = np.argsort(flat)
             flat, gain = flat[by], gain[by]
-            names = np.array(sorted(alpha), dtype=np.uint64)
-            slopes = np.array([alpha[int(n)] for n in names])
-            opened = [unpack(b) for b in blocks]
-            heads, counts = _sums([b["history"] for b in opened], [
-                np.where(b["docs"][3][b["doc"]] == 1, b["times"], 0) for b in opened])
-            for name, n in hot.items():
-                counts[heads == np.uint64(name)] = n
-            own, base = words.log10(counts), words.base(counts)
-            known = (counts > 0).astype(np.float64)
-            begin = heads == np.uint64(BEGIN)
-            own[begin] = words.log10(np.array([model["ends"]]))[0]     # each text's end
-            base[begin] = words.base(np.array([model["ends"]]))[0]
-            known[begin] = model["ends"] > 0
+            opened = map(unpack, blocks)
+            if level == 2:
+                opened = list(opened)
+                heads, own, base, known = _own(opened, model)
             for block in opened:
-                at = np.searchsorted(heads, block["history"])
-                log = own[at].copy()
+                log, ones, bases = np.zeros(len(block["history"])), np.zeros(len(block["history"])), 0.0
+                n = block["times"]
+                if level == 2:
+                    at = np.searchsorted(heads, block["history"])
+                    log, ones, bases = own[at].copy(), known[at], base[at]
                 if len(names):
                     k = np.minimum(np.searchsorted(names, block["history"]), len(names) - 1)
                     log += np.where(names[k] == block["history"], slopes[k], 0.0)
@@ -352,10 +423,10 @@ def _score(shared):
                     key = _mixed(block["history"], block["word"])
                     k = np.minimum(np.searchsorted(flat, key), len(flat) - 1)
                     log += np.where(flat[k] == key, gain[k], 0.0)
-                n, docs = block["times"], block["docs"]
+                docs = block["docs"]
                 total = lambda x: np.bincount(block["doc"], weights=x, minlength=docs.shape[1])  # noqa: B023, E731
-                sums = np.stack([total(n * log), total(n * base[at])]).astype("<f8").tobytes()
-                counts_ = np.stack([docs[0], docs[1], docs[2], total(n * known[at]), total(n)]).astype("<i8").tobytes()
+                sums = np.stack([total(n * log), total(n * bases)]).astype("<f8").tobytes()
+                counts_ = np.stack([docs[0], docs[1], docs[2], total(n * ones), total(n * (level == 2))]).astype("<i8").tobytes()
                 yield pa.RecordBatch.from_arrays([
                     pa.array([block["pack"]], pa.int64()),
                     pa.array([zstandard.compress(sums, 1)], pa.binary()), pa.array([zstandard.compress(counts_, 1)], pa.binary()),
@@ -363,6 +434,22 @@ def _score(shared):
     return run
 
 
+def _own(opened: list[dict], model: dict) -> tuple[np.ndarray, ...]:
+    """Words of a bucket in order: log10 of their own probability, the base score and whether they are known."""
+    words, ends = model["words"], np.array([model["ends"]])
+    heads, counts = _sums([b["history"] for b in opened], [
+        np.where(b["docs"][3][b["doc"]] == 1, b["times"], 0) for b in opened])
+    for name, n in model["hot"].items():
+        counts[heads == np.uint64(name)] = n
+    own, base = words.log10(counts), words.base(counts)
+    known = (counts > 0).astype(np.float64)
+    begin = heads == np.uint64(BEGIN)
+    own[begin] = words.log10(ends)[0]     # each text's end
+    base[begin] = words.base(ends)[0]
+    known[begin] = model["ends"] > 0
+    return heads, own, base, known
+
+
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each document of the packs of a partition."""
     packs: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -386,7 +473,7 @@ def _mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(mix(history.astype(np.uint64)) + word.astype(np.uint64))
 
 
-def score(docs: DataFrame, train: str = "true") -> DataFrame:
+def score(docs: DataFrame, train: str = "true", order: int = 2) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` per row.
 
     The model is learned from the rows for which the SQL condition ``train``
@@ -394,8 +481,11 @@ def score(docs: DataFrame, train: str = "true") -> DataFrame:
     A-Z lowered and one end; a null or empty text is its end alone.
     ``base_score`` is the add-one unigram score, ``score`` the model's, both
     sums of log10.  Repeated rows are learned and scored each; other columns
-    are not read.  Without training rows all tokens are unseen.
+    are not read.  Without training rows all tokens are unseen.  ``order`` is
+    2 for a model of word pairs, 3 for triples, and so on.
     """
+    if order < 2:
+        raise ValueError(f"order {order} is under 2")
     spark = docs.sparkSession
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.crc32(text.cast("binary")), F.lit(-1)).alias("text_crc"),
@@ -411,33 +501,52 @@ def score(docs: DataFrame, train: str = "true") -> DataFrame:
     ends = hot.get(END, 0) or sum(r.c for r in words.where(F.col("word") == END).collect())
     hot.pop(END, None)
     hot[BEGIN] = ends
-    names = np.array(sorted(hot), dtype=np.uint64)
-    blocks = rows.mapInArrow(_blocks(names, buckets), "bucket int, block binary")
-    dealt = blocks.rdd.map(lambda r: (r[0], bytes(r[1]))).partitionBy(buckets, lambda b: b)
+    hots = {level: {} for level in range(2, order + 1)} | {2: hot}
+    arrays = lambda: {level: np.array(sorted(h), dtype=np.uint64) for level, h in hots.items()}
+    if order > 2:
+        longer = rows.mapInArrow(_count_histories(arrays()[2], order), "level long, history long, c long, every long")
+        for r in (longer.groupBy("level", "history").agg(F.sum("c").alias("c"), F.sum("every").alias("every"))
+                  .where(F.col("every") * 4 * buckets > every).collect()):
+            hots[r.level][r.history] = r.c
+    blocks = rows.mapInArrow(_blocks(arrays(), buckets), "bucket int, block binary")
+    dealt = blocks.rdd.map(lambda r: (r[0], bytes(r[1]))).partitionBy(buckets * (order - 1), lambda b: b)
     blocks = spark.createDataFrame(dealt, "bucket int, block binary")
-    counted = settle(blocks.mapInArrow(_count_pairs(hot), "bucket long, history long, word long, c long, total long"), "pairs")
-    pair_few = {r.c: int(r.n) for r in counted.where("bucket < 0").groupBy("c").agg(F.sum("total").alias("n")).collect()}
-    path = scratch_path(spark, "llm", "pair-table")
-    own = words.select("word", F.col("c").alias("own"))
-    (counted.where("bucket >= 0").join(own, "word").repartition("bucket")
-     .write.partitionBy("bucket").parquet(path))
-    unigrams, discount = Unigrams(total, kinds, few), discounts(pair_few, LEAST)
-    left = _left(spark, path, hot, unigrams, discount) if total else {}
-    model = share(spark, {"words": unigrams, "hot": hot, "path": path, "discount": discount, "left": left, "ends": ends})
+    counted = settle(blocks.mapInArrow(_count_pairs(hots, buckets), "bucket long, history long, lower long, word long, c long, total long"), "pairs")
+    pair_few = {}
+    for r in counted.where("bucket < 0").groupBy("bucket", "c").agg(F.sum("total").alias("n")).collect():
+        pair_few.setdefault(-r.bucket, {})[r.c] = int(r.n)
+    unigrams, levels = Unigrams(total, kinds, few), {}
+    # What is known one level below: first the words, which have no history.
+    lower, on = words.where("c > 0").select("word", _unigram(unigrams).alias("p")), ["word"]
+    for level in range(2, order + 1):
+        path, first = scratch_path(spark, "llm", f"pair-table-{level}"), (level - 2) * buckets
+        (counted.where((F.col("bucket") >= first) & (F.col("bucket") < first + buckets)).join(lower, on)
+         .select("bucket", "history", "word", "c", "total", "p").repartition("bucket").write.partitionBy("bucket").parquet(path))
+        discount = discounts(pair_few.get(level, {}), LEAST)
+        levels[level] = {"path": path, "discount": discount, "left": _left(spark, path, hots[level], discount) if total else {}}
+        if level < order:
+            ids = spark.range(first, first + buckets, 1, buckets)
+            lower, on = ids.mapInArrow(_values(share(spark, levels[level])), "lower long, word long, p double"), ["lower", "word"]
+    model = share(spark, {"words": unigrams, "hot": hot, "levels": levels, "buckets": buckets, "ends": ends})
     # A pack's documents meet again: few rows, each with the sums of many.
     parts = blocks.mapInArrow(_score(model), "pack long, sums binary, counts binary").repartition("pack")
     scored = parts.mapInArrow(_gather, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def _left(spark, path: str, hot: dict[int, int], words: Unigrams, discount: np.ndarray
-          ) -> dict[int, tuple[float, float, int]]:
+def _unigram(words: Unigrams) -> Column:
+    """A word's own probability, from its count ``c``."""
+    small = F.element_at(F.array(*(F.lit(float(x)) for x in words.discount)), (F.least("c", F.lit(GT_MOST)) + 1).cast("int"))
+    return F.when(F.col("c") > GT_MOST, 1.0).otherwise(small) * F.col("c") * words.scale
+
+
+def _left(spark, path: str, hot: dict[int, int], discount: np.ndarray) -> dict[int, tuple[float, float, int]]:
     """Sums over the stored followers of each hot history."""
-    pairs = spark.read.schema("history long, word long, c long, total long, own long, bucket int").parquet(path)
+    if not hot:
+        return {}
+    pairs = spark.read.schema("history long, word long, c long, total long, p double, bucket int").parquet(path)
     small = F.element_at(F.array(*(F.lit(float(x)) for x in discount)), (F.least("c", F.lit(GT_MOST)) + 1).cast("int"))
     mass = F.when(F.col("c") > GT_MOST, 1.0).otherwise(small) * F.col("c") / F.col("total")
-    single = F.element_at(F.array(*(F.lit(float(x)) for x in words.discount)), (F.least("own", F.lit(GT_MOST)) + 1).cast("int"))
-    p = F.when(F.col("own") > GT_MOST, 1.0).otherwise(single) * F.col("own") * words.scale
     found = (pairs.where(F.col("history").isin(list(hot))).groupBy("history")
-             .agg(F.sum(mass).alias("mass"), F.sum(p).alias("p")).collect())
+             .agg(F.sum(mass).alias("mass"), F.sum("p").alias("p")).collect())
     return {r.history: (r.mass, r.p, hot[r.history]) for r in found}

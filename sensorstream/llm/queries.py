@@ -72,7 +72,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = katz_lm.score(_table(spark, sf_dir, "documents"), "crc32(cast(cast(doc_id as string) as binary)) % 7 <> 2")
+    scored = katz_lm.score(_table(spark, sf_dir, "documents"), "crc32(cast(cast(doc_id as string) as binary)) % 7 <> 2", katz_lm.ORDER)
     return scored.select("doc_id", (crc32_of("doc_id") % 7 == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score")
 
