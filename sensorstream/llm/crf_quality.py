@@ -21,13 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ._scratch import share
 from ._text import slices, string_buffers
 
-#: Most labelled documents and bytes of their text that a model is fitted on.
-TRAIN_DOCS, TRAIN_BYTES = 4000, 24_000_000
+#: Most labelled documents that a model is fitted on, and characters of each.
+TRAIN_DOCS, TRAIN_CHARS = 4000, 65_536
 THRESHOLD = 0.7
 _STEPS, _RATE, _DECAY = 250, 0.08, 1e-3
 
@@ -261,17 +260,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_docs:
 
     The sample is the documents with the smallest hash of their id; null texts
     count as empty, null labels and ids are left out, and a document labelled
-    twice counts once with its larger label.  Texts stop counting once
-    ``TRAIN_BYTES`` are together, whole documents at a time.
+    twice counts once with its larger label.  Of a text longer than
+    ``TRAIN_CHARS`` its beginning is fitted; at most ``most_docs`` rows are.
     """
     marked = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
               .agg(F.max(F.col(label).cast("int")).alias("label")))
     picked = marked.join(docs.select("doc_id").distinct(), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs)
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    bound = F.sum(F.octet_length(F.coalesce("text", F.lit("")))).over(
-        Window.partitionBy(F.lit(0)).orderBy(F.xxhash64("doc_id"), "doc_id", "text"))
-    rows = (texts.join(F.broadcast(picked), "doc_id").withColumn("upto", bound)
-            .where(F.col("upto") <= TRAIN_BYTES).select("text", "label").collect())
+    texts = docs.select("doc_id", F.substring(F.col("text").cast("string"), 1, TRAIN_CHARS).alias("text"))
+    rows = (texts.join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+            .limit(most_docs).select("text", "label").collect())
     return fit([r.text for r in rows], [r.label for r in rows])
 
 
