@@ -31,7 +31,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._scratch import settle
@@ -41,7 +41,7 @@ SIZE = 35
 GRAM = 12
 SHARD_PIECES = 5000
 
-_ROW = "doc_id long, text_crc long"
+_ROW = "doc_id long, text_key long"
 _ANCHORS = f"{_ROW}, anchor long, piece long, first int, windows int"
 
 
@@ -83,7 +83,7 @@ def _anchors(size: int):
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(who), batch.column(1).take(who), pa.array(signed(anchor)), pa.array(signed(key)),
                          pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32))],
-                        names=["doc_id", "text_crc", "anchor", "piece", "first", "windows"])
+                        names=["doc_id", "text_key", "anchor", "piece", "first", "windows"])
                 row += words.texts
     return run
 
@@ -91,7 +91,7 @@ def _anchors(size: int):
 def _open_words(size: int):
     """The word hashes of a document's open pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text_crc", "anchor", "first", "times", "hot", "words"]
+        names = ["doc_id", "text_key", "anchor", "first", "times", "hot", "words"]
         for batch in batches:
             row = 0
             wanted = batch.column(3).to_pylist()
@@ -220,7 +220,7 @@ def _shards(size: int):
 def _spans_batch(held: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
     return pa.RecordBatch.from_arrays([pa.array([h[k] for h in held], t) for k, t in enumerate(kinds)],
-                                      names=["doc_id", "text_crc", "first", "last"])
+                                      names=["doc_id", "text_key", "first", "last"])
 
 
 def _finer(size: int):
@@ -257,7 +257,7 @@ def _finer(size: int):
                      pa.array((batch.column(2).to_numpy()[own] + a).astype(np.int32)), pa.array((b - a + 1).astype(np.int32)),
                      pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), batch.column(6).take(pa.array(own)),
                      pa.array([raw[i][8 * x:8 * (y + size)] for i, x, y in zip(own.tolist(), a.tolist(), b.tolist(), strict=True)], pa.binary())],
-                    names=["doc_id", "text_crc", "anchor", "piece", "first", "windows", "least", "most", "times", "words"])
+                    names=["doc_id", "text_key", "anchor", "piece", "first", "windows", "least", "most", "times", "words"])
     return run
 
 
@@ -272,25 +272,25 @@ def _marks(per: DataFrame) -> DataFrame:
 
 def _whole(pieces: DataFrame, size: int) -> DataFrame:
     """The spans of whole pieces."""
-    return pieces.select("doc_id", "text_crc", "first", (F.col("first") + F.col("windows") - 1 + size).alias("last"))
+    return pieces.select("doc_id", "text_key", "first", (F.col("first") + F.col("windows") - 1 + size).alias("last"))
 
 
 def _in_shards(words: DataFrame, size: int) -> DataFrame:
-    return (words.select("doc_id", "text_crc", "anchor", "first", "times", "words").repartition("anchor")
+    return (words.select("doc_id", "text_key", "anchor", "first", "times", "words").repartition("anchor")
             .sortWithinPartitions("anchor").mapInArrow(_shards(size), f"{_ROW}, first int, last int"))
 
 
 def _in_finer_shards(words: DataFrame, size: int) -> Iterator[DataFrame]:
     """Spans of each level of finer shards; every level halves the places."""
     widest = size - min(GRAM, size)
-    carried = ["doc_id", "text_crc", "first", "words", "least", "most", "times"]
+    carried = ["doc_id", "text_key", "first", "words", "least", "most", "times"]
     rows = words.withColumn("least", F.lit(0)).withColumn("most", F.lit(widest)).select(carried)
     for level in range(widest.bit_length()):
         if rows.isEmpty():
             return
         parted = settle(rows.mapInArrow(_finer(size), f"{_ANCHORS}, least int, most int, times long, words binary"), f"finer-{level}")
         per = parted.groupBy("anchor", "piece").agg(
-            F.sum("times").alias("n"), F.min(F.struct("doc_id", "text_crc", "first", "least", "most", "words")).alias("one"))
+            F.sum("times").alias("n"), F.min(F.struct("doc_id", "text_key", "first", "least", "most", "words")).alias("one"))
         marked = settle(_marks(per), "finer-pieces")
         again = marked.where("n > 1").select("anchor", "piece")
         yield _whole(parted.where("times = 1").join(again, ["anchor", "piece"]), size)
@@ -299,23 +299,29 @@ def _in_finer_shards(words: DataFrame, size: int) -> Iterator[DataFrame]:
         rows = left.where("hot").select(carried)
 
 
+def _text_key() -> Column:
+    """What tells texts of one id apart: 64 bits of text and length."""
+    text = F.col("text").cast("string")
+    return F.xxhash64(text, F.octet_length(text))
+
+
 def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """``doc_id, text_crc, first, last``: word ranges of repeated windows."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.crc32(F.col("text").cast("string").cast("binary")).alias("text_crc"),
+    """``doc_id, text_key, first, last``: word ranges of repeated windows."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key().alias("text_key"),
                        F.col("text").cast("string").alias("text"))
     pieces = rows.mapInArrow(_anchors(size), _ANCHORS)
     per = pieces.groupBy("anchor", "piece").agg(F.count("*").alias("n"))
     per = settle(per, "piece-counts")
     marks = _marks(per)
-    seen = settle(pieces.join(marks, ["anchor", "piece"]).select("doc_id", "text_crc", "anchor", "piece", "first", "windows", "n", "open", "hot"),
+    seen = settle(pieces.join(marks, ["anchor", "piece"]).select("doc_id", "text_key", "anchor", "piece", "first", "windows", "n", "open", "hot"),
                   "pieces")
     # Of a piece in several places one goes on for all of them.
-    place = F.struct("doc_id", "text_crc", "first", "windows", "hot", "n")
+    place = F.struct("doc_id", "text_key", "first", "windows", "hot", "n")
     one = (seen.where("open AND n > 1").groupBy("anchor", "piece").agg(F.min(place).alias("one")).select("one.*", "anchor"))
-    wanted = (seen.where("open AND n = 1").select("doc_id", "text_crc", "first", "windows", "hot", "n", "anchor").unionByName(one)
-              .groupBy("doc_id", "text_crc").agg(F.collect_list(F.struct("anchor", "first", "windows", "hot", "n")).alias("wanted")))
-    same = F.expr("a.doc_id <=> b.doc_id AND a.text_crc <=> b.text_crc")
-    words = settle(rows.alias("a").join(wanted.alias("b"), same).select("a.doc_id", "a.text_crc", "a.text", "b.wanted")
+    wanted = (seen.where("open AND n = 1").select("doc_id", "text_key", "first", "windows", "hot", "n", "anchor").unionByName(one)
+              .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("anchor", "first", "windows", "hot", "n")).alias("wanted")))
+    same = F.expr("a.doc_id <=> b.doc_id AND a.text_key <=> b.text_key")
+    words = settle(rows.alias("a").join(wanted.alias("b"), same).select("a.doc_id", "a.text_key", "a.text", "b.wanted")
                    .mapInArrow(_open_words(size), f"{_ROW}, anchor long, first int, times long, hot boolean, words binary"), "open-words")
     found = _whole(seen.where("n > 1"), size).unionByName(_in_shards(words.where("NOT hot"), size))
     for spans in _in_finer_shards(words.where("hot"), size):
@@ -356,9 +362,9 @@ def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     their text.  Other columns are not read.
     """
     spans = settle(repeated_spans(docs, size), "spans")
-    own = (spans.groupBy("doc_id", "text_crc").agg(F.collect_set(F.struct("first", "last")).alias("spans")))
+    own = (spans.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("first", "last")).alias("spans")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
-        "text_crc", F.crc32(F.col("text").cast("binary")))
-    same = F.expr("a.doc_id <=> b.doc_id AND a.text_crc <=> b.text_crc")
+        "text_key", _text_key())
+    same = F.expr("a.doc_id <=> b.doc_id AND a.text_key <=> b.text_key")
     return (rows.alias("a").join(own.alias("b"), same, "left").select("a.doc_id", "a.text", "b.spans")
             .mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept string"))
