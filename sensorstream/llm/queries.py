@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (crf_quality, decontaminate, katz_lm, mixing, near_dup, pii, quality_rules,
-               ring_shards, substring_dup, token_files)
+from . import (crf_quality, decontaminate, exact_dedup, fill_in_middle, katz_lm, merkle, mixing, near_dup, oracle, pii,
+               quality_rules, ring_shards, substring_dup, token_files)
 from ._columns import crc32_of
 from ._scratch import settle
 
@@ -83,6 +83,27 @@ def op10_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard")))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    changed = [F.col("n_chars") + 1 if f == "n_chars" else F.col(f) for f in merkle.FIELDS]
+    tampered = F.when((crc32_of("doc_id") % 7 == 0) & F.col("n_chars").isNotNull(), merkle.leaf(*changed))
+    rows = merkle.manifest(docs, extra={"tampered": tampered})
+    rows = rows.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"), carry=False)
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
+    return (fill_in_middle.restore(made.select("*", digest("output")))
+            .select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", digest("restored")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_crf_quality": op1_crf_quality,
     "op2_pii": op2_pii,
@@ -94,7 +115,14 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_katz_lm": op9_katz_lm,
     "op10_ring_shards": op10_ring_shards,
+    "op11_merkle": op11_merkle,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 #: DuckDB statements of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_merkle": oracle.OP11_MERKLE,
+    "op12_exact_dedup": oracle.OP12_EXACT_DEDUP,
+    "op13_fill_in_middle": oracle.OP13_FILL_IN_MIDDLE,
+}
