@@ -8,7 +8,7 @@ Semantics (ours; the reference only names these dashboard queries):
   consecutive samples inside that frame, an increment being ``v - prev`` or,
   after a reset (``v < prev``), ``v`` itself -- divided by the range in
   seconds.  The first sample of a frame is its baseline; no extrapolation to
-  the frame edges.  A NULL or NaN sample is no reading of the counter: it is
+  the frame edges.  A NULL, NaN or infinite sample is no reading of the counter: it is
   neither baseline nor end of an increment, and its own row still gets the rate
   of its frame (NULL if the frame holds no reading).
 * ``at_steps``: the instant value of a series at step time t is its newest
@@ -21,7 +21,8 @@ series in one task; a series holding a third of all samples would then be a
 third of the job in one task.  ``counter_rate`` instead partitions by
 ``(series, time bucket)`` and gives each bucket a halo copy of the previous
 bucket's last ``range`` of samples: one shuffle, parallelism series x buckets,
-``range / bucket`` of the input duplicated.
+``range / bucket`` of the input duplicated.  No window slides: the frames are
+running ones, so dense samples (many in a range) cost no more than sparse ones.
 """
 
 from __future__ import annotations
@@ -47,6 +48,10 @@ def interval_ms(text: str) -> int:
     return int(float(n) * _UNIT_MS[u])
 
 
+#: Decimal places of the sums over counter resets.
+RESET_SCALE = 9
+
+
 def _cols(c) -> list[str]:
     return [c] if isinstance(c, str) else list(c)
 
@@ -56,32 +61,55 @@ def counter_rate(df: DataFrame, series, ts: str = "ts", value: str = "value",
     """``rate(counter[range])`` evaluated at every sample (see module doc).
 
     One shuffle on ``(series, bucket)``; the bucket also receives, as a halo,
-    the previous bucket's samples of the last ``range``.  Inside a partition,
-    in sample order: the reset-aware increment of each sample.  The increase
-    is the sum, in sample order, of the increments of the frame ``(t - range,
-    t]`` but its first, whose sample is only the baseline -- so the halo's first
-    sample, whose predecessor is not in the partition, adds nothing, and the
-    result has the same bits for any bucket size.
+    the previous bucket's samples of the last ``range``.  Two sorted passes of a
+    partition, each with running windows only, so the time does not grow with
+    the number of samples in a frame:
+
+    * upwards, each sample gets the newest reading so far and the sum of the
+      readings that were lost to resets so far;
+    * downwards, a question stands at each sample's frame start, and its answer
+      is the reading met last before it: the frame's first, its baseline.
+
+    The increments between two readings add up to their difference plus what
+    resets took in between.  That is a difference of two running sums; they are
+    decimals with ``RESET_SCALE`` places, exact whatever they began with, so the
+    result has the same bits for any bucket size.  (A sum over 1e29 raises.)
     """
     s = _cols(series)
     r_ms = interval_ms(range_)
     b_ms = max(interval_ms(bucket), r_ms)
-    e = (df.withColumn("_ms", F.unix_millis(F.col(ts)))
+    payload = F.struct(*(F.col(f"`{c}`") for c in df.columns if c not in s)).alias("_row")
+    ms = F.unix_millis(F.col(ts))
+    number = F.col(value).cast("double")
+    v = F.when(~F.isnan(number) & (F.abs(number) != F.lit(float("inf"))), number)
+    e = (df.select(*s, ms.alias("_ms"), F.col(value).alias("_as"), v.alias("_v"), payload)
            .withColumn("_b", F.floor(F.col("_ms") / F.lit(b_ms))))
     in_halo = F.col("_ms") > (F.col("_b") + 1) * F.lit(b_ms) - F.lit(r_ms)
     targets = F.when(in_halo, F.array(F.col("_b"), F.col("_b") + 1)).otherwise(F.array(F.col("_b")))
     h = e.withColumn("_tb", F.explode(targets))
-    seq = Window.partitionBy(*s, "_tb").orderBy("_ms", value)
-    v = F.when(~F.isnan(value), F.col(value).cast("double"))
-    p = F.last(v, ignorenulls=True).over(seq.rowsBetween(Window.unboundedPreceding, -1))
-    inc = F.when(v.isNotNull() & p.isNull(), F.lit(0.0)).when(v >= p, v - p).otherwise(v)
-    frame = Window.partitionBy(*s, "_tb").orderBy("_ms").rangeBetween(-(r_ms - 1), 0)
-    res = (h.withColumn("_inc", inc)
-            .withColumn("_incs", F.collect_list("_inc").over(frame))
-            .filter(F.col("_tb") == F.col("_b")))
-    gain = F.aggregate(F.slice("_incs", F.lit(2), F.size("_incs")), F.lit(0.0), lambda a, x: a + x)
-    res = res.withColumn(out, F.when(F.size("_incs") > 0, gain / F.lit(r_ms / 1000.0)))
-    return res.drop("_ms", "_b", "_tb", "_inc", "_incs")
+    part = Window.partitionBy(*s, "_tb")
+    up = part.orderBy("_ms", "_as")
+    before = F.last("_v", ignorenulls=True).over(up.rowsBetween(Window.unboundedPreceding, -1))
+    lost = F.coalesce(F.sum(F.when(F.col("_v") < F.col("_p"), F.col("_p").cast(f"decimal(38,{RESET_SCALE})")))
+                      .over(up.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0).cast(f"decimal(38,{RESET_SCALE})"))
+    h = h.withColumn("_p", before).withColumn("_lost", lost)
+    reading = F.when(F.col("_v").isNotNull(), F.struct(F.col("_ms").alias("ms"), F.col("_v").alias("v"), F.col("_lost").alias("lost")))
+    # Samples of the same moment share a frame, so its newest reading is theirs.
+    h = h.withColumn("_reading", reading).withColumn(
+        "_new", F.last("_reading", ignorenulls=True).over(part.orderBy("_ms").rangeBetween(Window.unboundedPreceding, 0)))
+    # Each sample is met as a reading; one of this bucket also asks at its frame's start.
+    met = F.struct(F.col("_ms").alias("at"), F.lit(True).alias("met"), F.col("_reading").alias("met_reading"),
+                   F.lit(None).cast(h.schema["_reading"].dataType).alias("new"), F.lit(None).cast(h.schema["_row"].dataType).alias("row"))
+    asks = F.struct((F.col("_ms") - r_ms).alias("at"), F.lit(False).alias("met"), F.lit(None).cast(h.schema["_reading"].dataType).alias("met_reading"),
+                    F.col("_new").alias("new"), F.col("_row").alias("row"))
+    both = h.select(*s, "_tb", F.inline(F.when(F.col("_tb") == F.col("_b"), F.array(met, asks)).otherwise(F.array(met))))
+    down = part.orderBy(F.desc("at"), "met", F.desc("met_reading.v"))
+    first = F.last("met_reading", ignorenulls=True).over(down.rowsBetween(Window.unboundedPreceding, 0))
+    res = both.withColumn("_first", first).filter(~F.col("met"))
+    taken = (F.col("new.lost") - F.col("_first.lost")).cast("double")
+    gain = F.when(taken == 0, F.col("new.v") - F.col("_first.v")).otherwise(taken - F.col("_first.v") + F.col("new.v"))
+    rate = F.when(F.col("new.ms") > F.col("at"), gain / F.lit(r_ms / 1000.0))
+    return res.select(*(F.col(c) if c in s else F.col(f"row.`{c}`").alias(c) for c in df.columns), rate.alias(out))
 
 
 def gauge_at(df: DataFrame, series, at, ts: str = "ts", value: str = "value",

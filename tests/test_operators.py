@@ -1,6 +1,10 @@
 """Unit tests of single operators on small hand-made frames."""
 
 import datetime as dt
+import math
+import random
+from collections import Counter
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -93,6 +97,30 @@ def test_counter_rate_bucket_size_does_not_change_result(spark):
         assert other == base, b
 
 
+def test_counter_rate_of_dense_fractions_with_resets(spark):
+    """Dense samples of odd fractions, many resets, repeated moments, no readings: exact sums, any bucket."""
+    rng = random.Random(5)
+    odd = [float("nan"), float("inf"), None]
+    rows = [("s" if i % 3 else "t", dt.datetime(2024, 1, 1) + dt.timedelta(milliseconds=20 * (i - i % 2)),
+             odd[i % 3] if i % 50 == 7 else round(rng.random() * 10 ** (i % 4), 3)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "sid string, ts timestamp, value double")
+    got = {}
+    for bucket in ("2 seconds", "5 seconds", "1 hour"):
+        out = TS.counter_rate(df, "sid", range_="2 seconds", bucket=bucket)
+        assert out.columns == ["sid", "ts", "value", "rate"]
+        got[bucket] = Counter((r.sid, r.ts, repr(r.value), repr(r.rate)) for r in out.collect())
+    assert got["2 seconds"] == got["5 seconds"] == got["1 hour"]
+    want = Counter()
+    for sid in "st":
+        known = sorted((t, v) for s, t, v in rows if s == sid and v is not None and math.isfinite(v))
+        for s, t, v in rows:
+            if s == sid:
+                frame = [Fraction(repr(x)) for at, x in known if t - dt.timedelta(seconds=2) < at <= t]
+                gain = sum((b - a if b >= a else b for a, b in zip(frame, frame[1:])), Fraction(0))
+                want[sid, t, repr(v), round(float(gain / 2), 6) if frame else None] += 1
+    assert Counter({(s, t, v, None if r == "None" else round(float(r), 6)): n for (s, t, v, r), n in got["1 hour"].items()}) == want
+
+
 def test_gauge_at_and_sum_by(spark):
     df = spark.createDataFrame([("a", "p", _t(0, 10), 1.0), ("a", "p", _t(0, 50), 2.0), ("b", "p", _t(0, 30), 4.0),
                                 ("b", "p", _t(1, 30), 8.0)], "sid string, pod string, ts timestamp, value double")

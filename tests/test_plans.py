@@ -64,3 +64,10 @@ def test_counter_rate_shuffles_once(spark):
 def test_global_top_n_limits_before_the_shuffle(spark):
     plan = C.plan_text(E.queries()["latest_n_device"](spark, SF_SMALL))
     assert plan.count("WindowGroupLimit") == 2 and "TakeOrderedAndProject" in plan
+
+
+def test_counter_rate_has_running_frames_only(spark):
+    """A sliding frame would be summed anew for every sample."""
+    plan = E.queries()["counter_rate_5m"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "specifiedwindowframe" in plan
+    assert all("unboundedpreceding" in frame.split(")")[0] for frame in plan.split("specifiedwindowframe(")[1:])
