@@ -118,7 +118,7 @@ def _tiers(nodes: DataFrame, group: str) -> list[DataFrame]:
                                  F.struct(F.col("_block").alias("_below")).alias("item"))
 
 
-def _nodes_of(tree: Column, path: Column, left: Column, k: int = DIGITS - 1) -> Column:
+def _nodes_of(tree: Column, path: Column, left: Column, k: int) -> Column:
     """``item, path`` of every node in a block; ``path`` goes on from its root."""
     def place(kid: Column, i: Column) -> Column:
         steps = F.array(*(F.struct(
@@ -145,7 +145,7 @@ def _down(tier: DataFrame, group: str, tops: DataFrame) -> DataFrame:
                         "path", "top")
     met = blocks.unionByName(paths).groupBy(group, "_block").agg(
         F.max("_left").alias("_left"), *(F.first(c, ignorenulls=True).alias(c) for c in ("tree", "path", "top")))
-    nodes = F.explode(_nodes_of(F.col("tree"), F.col("path"), F.col("_left")))
+    nodes = F.explode(_nodes_of(F.col("tree"), F.col("path"), F.col("_left"), DIGITS - 1))
     return met.select(group, nodes.alias("_node"), "top").select(group, "_node.item.*", "_node.path", "top")
 
 

@@ -7,7 +7,6 @@ Layout under ``path`` (any Hadoop filesystem; all I/O goes through Spark):
                         current snapshot (generation, highest batch folded in)
   log/writer=<w>/batch_id=<n>/   Parquet, one folder per writer and batch
   snapshot/gen=<g>/     Parquet, compacted latest versions, by writer, of batches <= upto[w]
-  _writes/<seq>,<w>,<n> empty, one for each write: the table-wide sequence
 
 Batch numbers belong to their writer (a stream's query id, which lives in its
 checkpoint), so two streams, or one started anew on another checkpoint, never
@@ -16,9 +15,11 @@ it twice -- a stream restarted from its checkpoint replays the last batch --
 leaves the table unchanged (K4).  Reading = snapshot + log batches above their
 writer's ``upto``, then ``latest_wins`` on the keys.  Of one writer's versions
 the higher batch wins, then the order columns; between writers the order columns
-decide, then the table-wide sequence of the write.  A write's
-sequence is one above all before it; a replay keeps the first write's.  Writes
-begun at the same moment may share a number.  Compaction writes a new generation, then a new manifest version; the
+decide, then the time of the write, in microseconds, which its rows carry
+(``write_seq``); a replay keeps the first write's, which it finds in the folder
+it is about to replace.  So no list of writes is kept, and a write costs the same
+however many there were; writers on machines whose clocks differ are ordered by
+those clocks.  Compaction writes a new generation, then a new manifest version; the
 writer never waits for it and readers switch atomically on the manifest.
 
 Isolation: plain Parquet has no atomic multi-file commit, so a read that
@@ -30,8 +31,8 @@ and snapshots are immutable.
 from __future__ import annotations
 
 import json
+import time
 from dataclasses import dataclass, field
-from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -123,31 +124,14 @@ def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType,
     return m
 
 
-def _write_sequence(spark: SparkSession, path: str, writer: str, batch_id: int) -> int:
-    """The table-wide number of a write, noted in ``_writes``; a replay's is the first one's."""
-    folder, name = f"{path}/_writes", f"{quote(writer, safe='')},{int(batch_id)}"
-    try:
-        context = spark.sparkContext
-    except Exception:  # noqa: BLE001  (no JVM gateway): list and write by Spark
-        context, found = None, []
-        if _exists(spark, folder):
-            # Spark writes folders: the note is the file's parent.
-            found = [unquote(r.path).split("/")[-2] for r in
-                     spark.read.format("binaryFile").load(f"{folder}/*").select("path").collect()]
-    else:
-        p = context._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = p.getFileSystem(context._jsc.hadoopConfiguration())
-        found = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
-    known = [f.split(",", 1) for f in found if "," in f]
-    own = [int(seq) for seq, rest in known if rest == name]
-    if own:
-        return min(own)
-    seq = 1 + max((int(seq) for seq, _ in known), default=0)
-    if context is None:
-        spark.range(1).selectExpr("''").write.mode("overwrite").text(f"{folder}/{seq},{name}")
-    else:
-        fs.create(context._jvm.org.apache.hadoop.fs.Path(p, f"{seq},{name}"), True).close()
-    return seq
+def _write_sequence(spark: SparkSession, folder: str) -> int:
+    """The number of the write into a batch's folder: the time, or that of the write it replays."""
+    if _exists(spark, folder):
+        schema = T.StructType([T.StructField(SEQUENCE, T.LongType())])
+        first = spark.read.schema(schema).parquet(folder).limit(1).collect()
+        if first and first[0][0] is not None:
+            return first[0][0]
+    return time.time_ns() // 1000
 
 
 def upsert_table(df: DataFrame, path: str, batch_id: int, keys=None, order=None,
@@ -169,13 +153,14 @@ def upsert_table(df: DataFrame, path: str, batch_id: int, keys=None, order=None,
     cols = [f.name for f in m.schema.fields]
     # Rows clustered by key inside each file: Parquet row-group min/max then
     # let a pushed key filter (``device_id = ...``) skip most of a file.
-    seq = _write_sequence(spark, path, writer, batch_id)
+    folder = batch_folder(f"{path}/log", writer, batch_id)
+    seq = _write_sequence(spark, folder)
     out = df.select(*cols).withColumn(SEQUENCE, F.lit(seq).cast("long")).sortWithinPartitions(*m.partition_by, *m.keys)
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", target_rows_per_file)
         .partitionBy(*m.partition_by)
-        .parquet(batch_folder(f"{path}/log", writer, batch_id)))
+        .parquet(folder))
     return m
 
 
@@ -237,13 +222,14 @@ def read_table(spark: SparkSession, path: str, strategy: str = "window",
     aggregate into the Parquet scan by Catalyst (filters on other columns are
     not, which is what latest-wins requires).  A stored table holds few
     versions per key (replays, window updates), where the top-1 window is the
-    faster strategy (measured at sf0.1: 0.80 s vs 1.36 s with unique keys);
-    both ship at most one row per key and input partition through the shuffle.
+    faster strategy (measured at sf0.1: 0.80 s vs 1.36 s with unique keys).
+    One shuffle, by the keys, serves the choice within each writer and the one
+    between writers.
     """
     m = read_manifest(spark, path)
     if m is None:
         raise FileNotFoundError(f"no table at {path}")
-    versions = table_versions(spark, path)
+    versions = table_versions(spark, path).repartition(*_group_keys(m))
     # Batch numbers don't compare across writers; they decide there only for
     # writes stored without a sequence.
     view = latest_wins(_latest_of_writers(versions, m, strategy), _group_keys(m), [*m.order, SEQUENCE, BATCH, WRITER], strategy)

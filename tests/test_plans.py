@@ -71,3 +71,11 @@ def test_counter_rate_has_running_frames_only(spark):
     plan = E.queries()["counter_rate_5m"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "specifiedwindowframe" in plan
     assert all("unboundedpreceding" in frame.split(")")[0] for frame in plan.split("specifiedwindowframe(")[1:])
+
+
+@pytest.mark.parametrize("name", ["read_latest_table", "device_filter", "compacted_table", "serve_latest_windows", "serve_count_by_device"])
+def test_table_reads_shuffle_once(spark, name):
+    """The keys' shuffle serves both choices; what is served from the table may shuffle its own (reduced) rows."""
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1, plan
+    assert plan.count("Exchange ") == 1 + name.startswith("serve"), plan
