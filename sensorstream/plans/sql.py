@@ -14,10 +14,11 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.catalog import Sink, declared_sink
+from ..sources.bus import encode_messages, write_bus
+from ..sources.catalog import Sink, TopicSink, declared_sink, fit
 from ..sources.tables import upsert_table
 from ..streaming.runner import start_query
-from ..streaming.sinks import upsert_sink
+from ..streaming.sinks import bus_sink, upsert_sink
 
 # SQL twin of operators.aggregates.tumbling_avg.
 TUMBLING_AVG_SQL = """
@@ -71,11 +72,15 @@ def split_statements(script: str) -> list[str]:
     return out
 
 
-_INSERT = re.compile(r"\s*insert\s+into\s+(?:table\s+)?`?(\w+)`?\s+(?=select\b|with\b)", re.IGNORECASE)
+_INSERT = re.compile(r"\s*insert\s+into\s+(?:table\s+)?`?(\w+)`?\s*(?:\(([\w\s,`]+)\)\s*)?(?=\(?\s*(?:select|with)\b)",
+                     re.IGNORECASE)
 
 
-def _insert(df: DataFrame, name: str, sink: Sink) -> StreamingQuery | DataFrame:
-    """Start a stream into a declared sink, or write a batch as its next batch."""
+def _insert(df: DataFrame, name: str, sink: Sink | TopicSink, columns: list[str] | None) -> StreamingQuery | DataFrame:
+    """Start a stream into a declared sink, or write a batch into it."""
+    if isinstance(sink, TopicSink):
+        return _insert_into_topic(fit(df, sink.schema, name, columns), name, sink)
+    df = df.toDF(*columns) if columns else df
     if df.isStreaming:
         return start_query(df, upsert_sink(sink.path, list(sink.keys)), f"insert_{name}", sink.checkpoint, sink.mode,
                            no_data_batches=(sink.mode != "update"), state_partitions=sink.state_partitions)
@@ -83,13 +88,26 @@ def _insert(df: DataFrame, name: str, sink: Sink) -> StreamingQuery | DataFrame:
     return df
 
 
+def _insert_into_topic(rows: DataFrame, name: str, sink: TopicSink) -> StreamingQuery | DataFrame:
+    """Rows as JSON messages.  A stream appends: a window's row is written once,
+    when the watermark passes its end, so an aggregate needs a watermark."""
+    messages = encode_messages(rows, sink.schema.names, sink.topic, sink.ts_format, sink.key_col, sink.time_col)
+    if rows.isStreaming:
+        writer = bus_sink(messages, sink.path, sink.topic, sink.format, sink.bootstrap)
+        return start_query(messages, None, f"insert_{name}", sink.checkpoint, "append", writer=writer,
+                           state_partitions=sink.state_partitions)
+    write_bus(messages, sink.topic, sink.format, sink.path, sink.bootstrap)
+    return rows
+
+
 def run_sql(spark: SparkSession, statements) -> DataFrame | StreamingQuery | None:
     """Q1: run statements in order; return the last one's result.
 
-    ``INSERT INTO name SELECT ...`` into a sink of ``catalog.declare_sink``
-    starts a streaming query where the SELECT reads a stream (the query is the
-    result) and writes a batch of the keyed table otherwise.  Every other
-    statement, an INSERT into another table too, is Spark's own.  A streaming
+    ``INSERT INTO name [(columns)] SELECT ...`` into a sink of
+    ``catalog.declare_sink`` or a topic of ``catalog.declare_topic`` starts a
+    streaming query where the SELECT reads a stream (the query is the result)
+    and writes a batch otherwise.  A topic's columns are filled by position and
+    checked; its messages are JSON.  Every other statement, an INSERT into another table too, is Spark's own.  A streaming
     SELECT is returned to be started with ``streaming.runner.start_query``.
     """
     if isinstance(statements, str):
@@ -98,5 +116,6 @@ def run_sql(spark: SparkSession, statements) -> DataFrame | StreamingQuery | Non
     for stmt in statements:
         found = _INSERT.match(stmt)
         sink = declared_sink(found[1]) if found else None
-        last = _insert(spark.sql(stmt[found.end():]), found[1], sink) if sink else spark.sql(stmt)
+        columns = [c.strip(" `\n\t") for c in found[2].split(",")] if found and found[2] else None
+        last = _insert(spark.sql(stmt[found.end():]), found[1], sink, columns) if sink else spark.sql(stmt)
     return last

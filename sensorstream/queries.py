@@ -32,7 +32,7 @@ from .session import ensure_utc, scratch_path
 from .sources import bus as B
 from .sources import fixtures as X
 from .sources import tables as TB
-from .sources.catalog import declare_sink, declare_stream
+from .sources.catalog import declare_sink, declare_stream, declare_topic
 from .sources.replay import replay_slices
 from .streaming import sinks as S
 from .streaming.runner import cluster_cores, progress_dicts, progress_metrics, start_query
@@ -806,7 +806,11 @@ def q_stream_averages_bus(spark, sf_dir):
                        lambda s, b, ck: J.averages_to_bus(s, f"{b}/topic", ck,
                                                           state_partitions=cluster_cores(spark),
                                                           exact_scale=SCALE))
-    topic = B.read_bus(spark, "iot_windowed_data", "parquet", f"{base}/topic", streaming=False)
+    return _windows_on_bus(spark, f"{base}/topic")
+
+
+def _windows_on_bus(spark, path: str) -> DataFrame:
+    topic = B.read_bus(spark, "iot_windowed_data", "parquet", path, streaming=False)
     m = from_json_col(F.col("value").cast("string"), WINDOW_AVG_MESSAGE)
     out = topic.select("topic", m.alias("m")).select(
         "topic", "m.device_id", parse_sql_ts("m.window_start").alias("window_start"),
@@ -814,8 +818,6 @@ def q_stream_averages_bus(spark, sf_dir):
     return _ntz(out, "window_start", "window_end")
 
 
-
-
 @register("stream_sql_tumbling_avg", ORACLE["tumbling_avg_1m"])
 def q_stream_sql_tumbling_avg(spark, sf_dir):
     """S5/Q1 on a stream: the decoded bus declared as a view with event time
@@ -930,6 +932,29 @@ def q_stream_sql_insert(spark, sf_dir):
     return _ntz(TB.read_table(spark, f"{base}/avg"), "window_start", "window_end")
 
 
+@register("stream_sql_insert_bus", ORACLE["stream_averages_bus"])
+def q_stream_sql_insert_bus(spark, sf_dir):
+    """The script whose INSERT fills a topic: declared source with
+    event time and watermark, declared topic with its columns, one statement.
+    Columns go by position; each window is a JSON message, sent once when final."""
+
+    def build(stream, b, ck):
+        valid, _ = D.split_valid(J.decoded(stream))
+        declare_stream(spark, "iot_sensor_data", valid, "ts", watermark="5 seconds")
+        declare_topic("iot_windowed_data", "device_id STRING, window_start TIMESTAMP, window_end TIMESTAMP, avg_temp DOUBLE",
+                      ck, path=f"{b}/topic", time_col="window_end", state_partitions=cluster_cores(spark))
+        return run_sql(spark, f"""
+            -- averages of each device and minute
+            INSERT INTO iot_windowed_data
+            SELECT device_id, window.start, window.end,
+                   CAST(SUM(CAST(temperature AS DECIMAL(28,{SCALE}))) AS DOUBLE) / COUNT(temperature)
+            FROM iot_sensor_data
+            GROUP BY device_id, window(ts, '1 minute');""")
+
+    base = _replay_run(spark, X.messages(X.events(spark, sf_dir)), "sqlinsertbus", build)
+    return _windows_on_bus(spark, f"{base}/topic")
+
+
 @register("stream_record_time_5m", f"""
 WITH c AS ({CADENCE_SQL}), r AS (SELECT * REPLACE (ts + INTERVAL 7 MINUTE AS ts) FROM c)
 SELECT device_id, {_bucket('ts', FIVE_MIN_US)} AS window_start, {_bucket('ts', FIVE_MIN_US, True)} AS window_end,
