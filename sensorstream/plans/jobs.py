@@ -107,7 +107,7 @@ def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width
                       max_skew: str | None = None, state_partitions: int | None = None,
                       exact_scale: int | None = None, rejects_path: str | None = None,
                       metrics_path: str | None = None, on_null_time: str = "quarantine",
-                      time_source: str = "payload") -> StreamingQuery:
+                      time_source: str = "payload", progress_path: str | None = None) -> StreamingQuery:
     """Valid readings -> per-device tumbling average -> keyed averages table.
 
     ``mode="update"`` rewrites a window whenever it changes (the table is
@@ -115,7 +115,8 @@ def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width
     watermark passes its end.  ``parts=True`` is the (max ts, sum, count)
     variant with its zero-guarded mean.  Rejects are counted in the query
     progress and, with ``rejects_path``, stored by a second query.
-    ``time_source="record"`` windows on the bus record time.
+    ``time_source="record"`` windows on the bus record time.  ``progress_path``
+    stores input rows, rates and late rows of every micro-batch.
     """
     valid = _valid_for_windows(envelope, "windowed_averages", checkpoint, trigger, rejects_path, metrics_path,
                                time_mode=time_mode, max_skew=max_skew, on_null_time=on_null_time,
@@ -123,7 +124,8 @@ def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width
     agg = (windowed_mean_parts(valid, "device_id", "ts", width, delay, exact_scale=exact_scale) if parts
            else windowed_average(valid, "device_id", "ts", width, delay, exact_scale=exact_scale))
     return start_query(agg, S.upsert_sink(out_path, AVG_KEYS), "windowed_averages", checkpoint,
-                       mode, trigger, no_data_batches=(mode != "update"), state_partitions=state_partitions)
+                       mode, trigger, no_data_batches=(mode != "update"), state_partitions=state_partitions,
+                       progress_path=progress_path)
 
 
 def check_averages(d: DataFrame) -> DataFrame:

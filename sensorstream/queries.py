@@ -33,9 +33,10 @@ from .sources import bus as B
 from .sources import fixtures as X
 from .sources import tables as TB
 from .sources.catalog import declare_sink, declare_stream, declare_topic
-from .sources.replay import replay_slices
+from .sources.replay import replay_files, replay_slices
 from .streaming import sinks as S
-from .streaming.runner import cluster_cores, progress_dicts, progress_metrics, start_query
+from .streaming.runner import (cluster_cores, late_rows, progress_dicts, progress_metrics, start_query,
+                               store_progress, stored_metrics)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -904,6 +905,54 @@ def q_stream_windowed_rejects(spark, sf_dir):
     return spark.read.parquet(f"{base}/rejects").select("topic", "partition", "offset", D.REASON, "raw")
 
 
+#: Micro-batches of the late feed, and how long every 37th message is held up.
+LATE_SLICES, LATE_BY = 24, "15 MINUTES"
+_LATE_MS = 15 * 60_000
+
+_LATE_SQL = f"""
+WITH e AS (
+  SELECT {_CAD_DEV_SQL} AS device_id, epoch_ms({_CAD_TS_SQL}) AS ts,
+         epoch_ms({_CAD_TS_SQL}) + CASE WHEN event_id % 37 = 0 THEN {_LATE_MS} ELSE 0 END AS arrived
+  FROM events),
+b AS (SELECT min(arrived) AS lo, (max(arrived) - min(arrived)) // {LATE_SLICES} + 1 AS width FROM e),
+s AS (SELECT e.*, dense_rank() OVER (ORDER BY (arrived - lo) // width) AS batch FROM e, b),
+m AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch) AS seen FROM s GROUP BY batch),
+-- a batch is held against the watermark of the batch before it: what was seen up to two batches ago, less 5 s
+d AS (SELECT DISTINCT s.batch, device_id, s.ts // 60000 AS w, (s.ts // 60000 + 1) * 60000 <= m.seen - 5000 AS late
+      FROM s LEFT JOIN m ON m.batch = s.batch - 2)"""
+
+
+@register("stream_late_rows", f"""{_LATE_SQL}
+SELECT 'micro_batches' AS metric, CAST(max(batch) AS BIGINT) AS value FROM s
+UNION ALL SELECT 'input_rows', count(*) FROM s
+UNION ALL SELECT 'late_rows', count(*) FILTER (WHERE late) FROM d""")
+def q_stream_late_rows(spark, sf_dir):
+    """Late rows of a stream of 24 micro-batches, stopped half-way and
+    started again, from the metrics it stored.  Spark counts late rows after
+    partial aggregation: one for each device and window of a micro-batch."""
+    env = X.messages(X.events(spark, sf_dir))
+    late = (F.floor(F.unix_millis("timestamp") / 200) - F.lit(1704067200000 // 200)) % 37 == 0
+    env = env.withColumn("timestamp", F.when(late, F.col("timestamp") + F.expr(f"INTERVAL {LATE_BY}"))
+                         .otherwise(F.col("timestamp")))
+    ms = F.unix_millis("timestamp")
+    lo, hi = env.agg(F.min(ms), F.max(ms)).first()
+    env = env.withColumn("slice", F.floor((ms - F.lit(lo)) / F.lit((hi - lo) // LATE_SLICES + 1)).cast("int"))
+    base = scratch_path(spark, "stream", "late")
+    for first, last in ((0, LATE_SLICES // 2 - 1), (LATE_SLICES // 2, LATE_SLICES)):
+        replay_files(env, f"{base}/bus", f"{base}/staged", "slice", first, last)
+        stream = B.read_bus(spark, None, "parquet", f"{base}/bus", max_files_per_trigger=1)
+        q = J.windowed_averages(stream, f"{base}/avg", f"{base}/checkpoint", state_partitions=1,
+                                progress_path=f"{base}/progress")
+        _await(q)
+        store_progress(spark, f"{base}/progress", "windowed_averages").wait(q)
+    m = stored_metrics(spark, f"{base}/progress")
+    rows = m.filter("metric = 'stream_numInputRows' AND value > 0")
+    found = rows.agg(F.countDistinct(F.col("labels")["query_id"], F.col("labels")["batch"]).alias("micro_batches"),
+                     F.sum("value").cast("long").alias("input_rows")).crossJoin(late_rows(m).select("late_rows"))
+    return found.select(F.expr("stack(3, 'micro_batches', micro_batches, 'input_rows', input_rows, 'late_rows', late_rows) "
+                               "AS (metric, value)"))
+
+
 @register("stream_pipeline_metrics", f"""
 SELECT 'decoded_rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM events
 UNION ALL

@@ -33,3 +33,20 @@ def replay_slices(env: DataFrame, path: str, slices: int = 3, time_col: str = "t
         if after_each is not None:
             after_each(i)
     return slices
+
+
+def replay_files(env: DataFrame, path: str, staged: str, slice_col: str, first: int = 0, last: int | None = None) -> int:
+    """One file for each value of ``slice_col`` in ``first..last`` (those that
+    have rows), written one after another, so that a stream of one file a
+    micro-batch meets them in that order.  The rows are dealt to slices once,
+    under ``staged``; a second call goes on from there.  Returns the number of
+    files written."""
+    spark = env.sparkSession
+    if first == 0:
+        env.repartition(slice_col).write.partitionBy(slice_col).parquet(staged)
+    found = sorted(r[0] for r in spark.read.parquet(staged).select(slice_col).distinct().collect())  # one row a slice
+    mine = [k for k in found if k >= first and (last is None or k <= last)]
+    schema = env.drop(slice_col).schema
+    for k in mine:
+        spark.read.schema(schema).parquet(f"{staged}/{slice_col}={k}").coalesce(1).write.mode("append").parquet(path)
+    return len(mine)

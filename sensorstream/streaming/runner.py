@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..schemas import METRIC
 from ..session import scratch_path
+from ..sources.tables import batch_folder
 
 
 _NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
@@ -20,7 +22,7 @@ _SHUFFLE = "spark.sql.shuffle.partitions"
 def start_query(df: DataFrame, sink, name: str, checkpoint: str | None = None,
                 output_mode: str = "append", trigger: str | dict = "availableNow",
                 writer=None, no_data_batches: bool | None = None,
-                state_partitions: int | None = None) -> StreamingQuery:
+                state_partitions: int | None = None, progress_path: str | None = None) -> StreamingQuery:
     """Start a streaming query.  ``sink`` is a ``foreachBatch`` function, or
     None when ``writer`` (a prepared ``DataStreamWriter``) is given.  The
     checkpoint holds source offsets and window state: restarting with the same
@@ -36,8 +38,13 @@ def start_query(df: DataFrame, sink, name: str, checkpoint: str | None = None,
     ``state_partitions`` sizes the stateful operators (window state) at the
     query's first start; the number is then fixed in the checkpoint.  Size it
     to the cluster (about the number of cores), not to the batch default.
+
+    ``progress_path`` keeps every progress report as METRIC rows there (see
+    :class:`StoredProgress`).
     """
     spark = df.sparkSession
+    if progress_path:
+        store_progress(spark, progress_path, name)
     overrides = {}
     if no_data_batches is not None:
         overrides[_NO_DATA] = str(bool(no_data_batches)).lower()
@@ -159,6 +166,87 @@ class ProgressTotals(StreamingQueryListener):
 _RATE_FIELDS = ("numInputRows", "inputRowsPerSecond", "processedRowsPerSecond")
 
 
+class StoredProgress(StreamingQueryListener):
+    """Every progress report of the watched queries as METRIC rows in a
+    table: input rows, rates, rows dropped as late, observed counts.
+
+    A report's folder is named by the query's id (which lives in its checkpoint)
+    and the batch: a replayed batch replaces its own report, a restarted query
+    goes on after the last one, and nothing is kept in the driver.  Reports
+    arrive after their batch; ``wait`` returns when a stopped query's last one is
+    stored.  Get one from :func:`store_progress`.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._names: set[str] = set()
+        self._runs: set[str] = set()
+        self._ended: dict[str, threading.Event] = {}
+        self._errors: list[Exception] = []
+
+    def watch(self, name: str) -> None:
+        self._names.add(name)
+
+    def onQueryStarted(self, event):
+        if event.name in self._names:
+            self._runs.add(str(event.runId))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        report = json.loads(event.progress.json)
+        if report["runId"] not in self._runs:
+            return
+        try:
+            rows = progress_metrics(self.spark, report.get("name"), [report])
+            folder = batch_folder(self.path, f"{report['id']}-progress", report["batchId"])
+            rows.coalesce(1).write.mode("overwrite").parquet(folder)
+        except Exception as e:  # noqa: BLE001  (a listener's error would be swallowed: wait() raises it)
+            self._errors.append(e)
+
+    def onQueryTerminated(self, event):
+        self._runs.discard(str(event.runId))
+        self._end(str(event.runId)).set()
+
+    def _end(self, run: str) -> threading.Event:
+        return self._ended.setdefault(run, threading.Event())
+
+    def wait(self, query: StreamingQuery, timeout_s: float = 120) -> None:
+        """Until all reports of an ended query are stored; raises if one was not."""
+        run = str(query.runId)
+        if not self._end(run).wait(timeout_s):
+            raise TimeoutError(f"progress of {query.name} was not stored in {timeout_s}s")
+        self._ended.pop(run, None)
+        if self._errors:
+            raise self._errors.pop(0)
+
+
+_STORED: dict[tuple[int, str], StoredProgress] = {}
+
+
+def store_progress(spark: SparkSession, path: str, name: str) -> StoredProgress:
+    """The listener that stores the reports of queries called ``name`` under
+    ``path``; one a session and path.  ``start_query(progress_path=)`` asks for it."""
+    key = (id(spark), path)
+    if key not in _STORED:
+        _STORED[key] = StoredProgress(spark, path)
+        spark.streams.addListener(_STORED[key])
+    _STORED[key].watch(name)
+    return _STORED[key]
+
+
+def stored_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Stored METRIC rows; labels name query, run and batch."""
+    return spark.read.schema(METRIC).parquet(path)
+
+
+def late_rows(metrics: DataFrame) -> DataFrame:
+    """``query, late_rows`` of stored metrics."""
+    return (metrics.filter(F.col("metric") == "stream_numRowsDroppedByWatermark")
+            .groupBy(F.col("labels")["query"].alias("query")).agg(F.sum("value").cast("long").alias("late_rows")))
+
+
 def progress_metrics(spark: SparkSession, query_name: str, progress: list[dict]) -> DataFrame:
     """K8: progress reports -> METRIC rows (``metric, labels, ts, value``) that
     the series operators (counter rate, sums by label) query like any other.
@@ -166,7 +254,7 @@ def progress_metrics(spark: SparkSession, query_name: str, progress: list[dict])
     rows = []
     for p in progress:
         ts = _dt.datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")).replace(tzinfo=None)
-        labels = {"query": query_name, "batch": str(p.get("batchId"))}
+        labels = {"query": query_name, "query_id": str(p.get("id")), "run": str(p.get("runId")), "batch": str(p.get("batchId"))}
         for f in _RATE_FIELDS:
             v = p.get(f)
             if v is not None:

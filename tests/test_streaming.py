@@ -2,7 +2,9 @@
 replay safety of the keyed-table sink, and stream = batch."""
 
 import datetime as dt
+import json
 import os
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -248,3 +250,38 @@ def test_continuous_trigger_runs_the_same_job(spark, tmp_path):
     want = A.tumbling_avg(X.cadence_readings(X.events(spark, "/root/testdata/sf0.001")),
                           "device_id", "ts", "1 minute").count()
     assert got == want > 0
+
+
+def test_stored_progress_outlives_runs_and_recent_progress(spark, tmp_path):
+    """Every report is stored once, over two restarts, though Spark keeps the newest two only."""
+    path, spark_keeps = str(tmp_path / "metrics"), "spark.sql.streaming.numRecentProgressUpdates"
+    saved = spark.conf.get(spark_keeps)
+    spark.conf.set(spark_keeps, "2")
+    try:
+        for run in range(3):
+            for k in range(4):
+                spark.range(k + 1).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+            q = R.start_query(stream, lambda batch, n: batch.count(), "stored", str(tmp_path / "ck"), progress_path=path)
+            q.awaitTermination()
+            R.store_progress(spark, path, "stored").wait(q)
+            assert len(q.recentProgress) <= 2
+    finally:
+        spark.conf.set(spark_keeps, saved)
+    m = R.stored_metrics(spark, path)
+    rows = m.filter("metric = 'stream_numInputRows' AND value > 0").collect()
+    assert sorted(int(r.labels["batch"]) for r in rows) == list(range(12)) and sum(r.value for r in rows) == 30
+    assert len({r.labels["query_id"] for r in rows}) == 1 and len({r.labels["run"] for r in rows}) == 3
+    assert {r.metric for r in m.collect()} >= {"stream_inputRowsPerSecond", "stream_processedRowsPerSecond"}
+    assert [tuple(r) for r in R.late_rows(m).collect()] == [("stored", 0)]
+
+
+def test_replayed_batch_replaces_its_report(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    listener = R.store_progress(spark, path, "again")
+    for run, late in (("r1", 3), ("r2", 5)):
+        listener._runs.add(run)
+        report = {"id": "q", "runId": run, "name": "again", "batchId": 7, "timestamp": "2031-01-01T00:00:00.000Z", "numInputRows": 9,
+                  "stateOperators": [{"numRowsDroppedByWatermark": late}]}
+        listener.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(json=json.dumps(report))))
+    assert [tuple(r) for r in R.late_rows(R.stored_metrics(spark, path)).collect()] == [("again", 5)]
