@@ -120,13 +120,13 @@ def test_kept_index_follows_the_documents(spark):
             out[sha(f"t{i % 40}" if i % 4 else "hot")].append(i)
         return out
 
-    first, gone, came = list(range(300)), [i for i in range(300) if i % 7 == 0 or i % 40 in (3, 9) or i > 280], list(range(400, 460))
+    first, gone, came = list(range(300)), [i for i in range(300) if i % 7 == 0 or i % 40 in (3, 9) or i > 280], list(range(410, 440))
     index = ed.build_index(rows(first, 0), 6).cache()
     assert entries(index) == plain(first)
     left = [i for i in first if i not in set(gone)]
     index = ed.update_index(index, rows(came, 0), rows(gone, 0), rows(left, 0)).cache()
     assert entries(index) == plain(left + came)
-    assert any(not v for v in [set(_by_text(gone)) - set(_by_text(left + came))]) is False       # some digests went
+    assert set(_by_text(gone)) - set(_by_text(left + came))          # some digests went
     none = rows([], 0)
     assert entries(ed.update_index(index, none, rows([1000], 0), none)) >= {e for e in plain(left + came) if e[0] != sha("hot")}
     assert entries(ed.update_index(ed.build_index(none, 6), rows(came, 0), none, none)) == plain(came)
