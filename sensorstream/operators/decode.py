@@ -72,6 +72,8 @@ def flag_malformed(df: DataFrame) -> DataFrame:
 
 #: Readings of this size or more are no measurements.
 MOST_READING = 1e15
+#: Letters with which a cast takes more than a decimal number: ``31.5d``, ``0x1p3``.
+_NO_DECIMAL = "dDfFxX"
 
 
 def require_fields(df: DataFrame, required: list[str]) -> DataFrame:
@@ -84,7 +86,7 @@ def require_fields(df: DataFrame, required: list[str]) -> DataFrame:
 
 def coerce(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """``try_cast`` each field; a non-NULL input that does not convert is
-    flagged ``bad_<field>``.  A float must be a finite number under
+    flagged ``bad_<field>``.  A float must be a finite decimal number under
     ``MOST_READING`` without a type letter (``31.5d``): one such reading would
     decide a whole window's mean."""
     out = df
@@ -92,7 +94,7 @@ def coerce(df: DataFrame, types: dict[str, str]) -> DataFrame:
         text = F.col(name).cast("string")
         cast = text.try_cast(typ) if typ != "string" else F.col(name)
         if typ in ("double", "float"):
-            cast = F.when((F.abs(cast) < MOST_READING) & ~F.isnan(cast) & ~F.trim(text).rlike("[dDfF]$"), cast)
+            cast = F.when((F.abs(cast) < MOST_READING) & ~F.isnan(cast) & (F.translate(text, _NO_DECIMAL, "") == text), cast)
         out = _flag(out, F.col(name).isNotNull() & cast.isNull(), f"bad_{name}")
         out = out.withColumn(name, cast)
     return out

@@ -79,11 +79,11 @@ def test_mean_of_odd_values(spark):
 
 
 def test_coerce_rejects_what_is_no_reading(spark):
-    texts = ["31.5", "abc", "NaN", "Infinity", "1e30", "31.5d", "31.5f", "-4e1", None]
+    texts = ["31.5", "abc", "NaN", "Infinity", "1e30", "31.5d", "31.5f", "31.5d\t", "0x1p3", "-4e1", None]
     df = spark.createDataFrame([(t,) for t in texts], "temperature string")
     got = D.coerce(df, {"temperature": "double"}).collect()
-    assert [r.reject_reason for r in got] == [None] + ["bad_temperature"] * 6 + [None, None]
-    assert [r.temperature for r in got] == [31.5, *[None] * 6, -40.0, None]
+    assert [r.reject_reason for r in got] == [None] + ["bad_temperature"] * 8 + [None, None]
+    assert [r.temperature for r in got] == [31.5, *[None] * 8, -40.0, None]
 
 
 def test_iso_shape(spark):
