@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.time import parse_any_ts
 from ..operators import decode as D
 from ..schemas import DEFAULT_TOPIC_AVERAGES, DEFAULT_TOPIC_READINGS, ROUTED_WIRE, WINDOW_AVG_WIRE
+from ..sources.tables import make_folder
 from ..streaming import sinks as S
 from ..streaming.runner import observe_counts, start_query
 from ..streaming.windows import windowed_average, windowed_mean_parts
@@ -77,28 +78,56 @@ def readings_to_tables(envelope: DataFrame, raw_path: str, rejects_path: str, ch
     return start_query(d, S.split_sink(_split_valid, targets), "readings_to_tables", checkpoint, "append", trigger)
 
 
-def rejects_to_table(envelope: DataFrame, rejects_path: str, checkpoint: str, trigger="availableNow",
-                     metrics_path: str | None = None, name: str = "rejects_to_table",
-                     **decode_options) -> StreamingQuery:
-    """The rejects of a windowed job, as a stateless query of its own: an
-    aggregating query has one output."""
-    targets = {"rejected": S.quarantine_sink(rejects_path)}
-    if metrics_path:
-        targets["metrics"] = S.metrics_sink(metrics_path, name)
-    return start_query(decoded(envelope, **decode_options), S.split_sink(_split_valid, targets), name, checkpoint,
-                       "append", trigger)
+LOG_COLS = [*READING_COLS, "topic", D.REASON, "raw"]
+
+
+def decoded_log(envelope: DataFrame, log_path: str, checkpoint: str, trigger="availableNow",
+                name: str = "decoded_log", **decode_options) -> StreamingQuery:
+    """The bus read and parsed once: flagged readings as an append-only log.
+
+    Spark's file sink commits each micro-batch as a whole, and a stream over
+    its folder (:func:`read_log`) sees committed files only, each once: a chain
+    of queries that is exactly-once from end to end."""
+    rows = observe_counts(decoded(envelope, **decode_options)).select(*LOG_COLS)
+    # The sink's commit log exists before any reader looks for it.
+    make_folder(envelope.sparkSession, f"{log_path}/_spark_metadata")
+    return start_query(rows, None, name, checkpoint, "append", trigger,
+                       writer=rows.writeStream.format("parquet").option("path", log_path))
+
+
+def read_log(envelope: DataFrame, log_path: str, **decode_options) -> DataFrame:
+    """The log of :func:`decoded_log` as a stream of flagged readings."""
+    schema = decoded(envelope, **decode_options).select(*LOG_COLS).schema
+    return envelope.sparkSession.readStream.schema(schema).parquet(log_path)
 
 
 def _valid_for_windows(envelope: DataFrame, name: str, checkpoint: str, trigger, rejects_path: str | None,
-                       metrics_path: str | None, **decode_options) -> DataFrame:
-    """Valid readings for a windowed job; starts the query that keeps its
-    rejects (and, for an incremental run, waits for it)."""
+                       metrics_path: str | None, raw_path: str | None = None, **decode_options) -> DataFrame:
+    """Valid readings for a windowed job.
+
+    An aggregating query has one output.  Where the raw readings or the rejects
+    are kept too, the bus is therefore read by one query, which logs the decoded
+    rows; a stateless query over that log fills the tables, and the windows are
+    computed from the log as well.  Messages are read and parsed once.  An
+    incremental run waits for the first two."""
+    if not (rejects_path or raw_path):
+        return D.split_valid(observe_counts(decoded(envelope, **decode_options)))[0]
+    log = f"{checkpoint}-log"
+    targets = {}
+    if raw_path:
+        targets["valid"] = S.upsert_sink(raw_path, RAW_KEYS, BUS_ORDER)
     if rejects_path:
-        q = rejects_to_table(envelope, rejects_path, f"{checkpoint}-rejects", trigger, metrics_path,
-                             f"{name}_rejects", **decode_options)
+        targets["rejected"] = S.quarantine_sink(rejects_path)
+    if metrics_path:
+        targets["metrics"] = S.metrics_sink(metrics_path, f"{name}_kept")
+    steps = (lambda: decoded_log(envelope, log, f"{checkpoint}-log-checkpoint", trigger, f"{name}_log", **decode_options),
+             lambda: start_query(read_log(envelope, log, **decode_options), S.split_sink(_split_valid, targets), f"{name}_kept",
+                                 f"{checkpoint}-kept", "append", trigger))
+    for start in steps:
+        q = start()
         if trigger == "availableNow":
             q.awaitTermination()
-    return D.split_valid(observe_counts(decoded(envelope, **decode_options)))[0]
+    return D.split_valid(read_log(envelope, log, **decode_options))[0]
 
 
 def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width: str = "1 minute",
@@ -107,18 +136,20 @@ def windowed_averages(envelope: DataFrame, out_path: str, checkpoint: str, width
                       max_skew: str | None = None, state_partitions: int | None = None,
                       exact_scale: int | None = None, rejects_path: str | None = None,
                       metrics_path: str | None = None, on_null_time: str = "quarantine",
-                      time_source: str = "payload", progress_path: str | None = None) -> StreamingQuery:
+                      time_source: str = "payload", progress_path: str | None = None,
+                      raw_path: str | None = None) -> StreamingQuery:
     """Valid readings -> per-device tumbling average -> keyed averages table.
 
     ``mode="update"`` rewrites a window whenever it changes (the table is
     always current); ``mode="append"`` writes each window once, when the
     watermark passes its end.  ``parts=True`` is the (max ts, sum, count)
     variant with its zero-guarded mean.  Rejects are counted in the query
-    progress and, with ``rejects_path``, stored by a second query.
+    progress; ``rejects_path`` and ``raw_path`` keep them and the raw readings
+    (keyed table) from the same reading of the bus.
     ``time_source="record"`` windows on the bus record time.  ``progress_path``
     stores input rows, rates and late rows of every micro-batch.
     """
-    valid = _valid_for_windows(envelope, "windowed_averages", checkpoint, trigger, rejects_path, metrics_path,
+    valid = _valid_for_windows(envelope, "windowed_averages", checkpoint, trigger, rejects_path, metrics_path, raw_path,
                                time_mode=time_mode, max_skew=max_skew, on_null_time=on_null_time,
                                time_source=time_source)
     agg = (windowed_mean_parts(valid, "device_id", "ts", width, delay, exact_scale=exact_scale) if parts

@@ -922,6 +922,18 @@ d AS (SELECT DISTINCT s.batch, device_id, s.ts // 60000 AS w, (s.ts // 60000 + 1
       FROM s LEFT JOIN m ON m.batch = s.batch - 2)"""
 
 
+@register("stream_windowed_raw", ORACLE["stream_raw_table"])
+def q_stream_windowed_raw(spark, sf_dir):
+    """K5: the raw readings that a windowed job keeps, from the one reading of
+    the bus that also gives its windows and its rejects."""
+    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    base = _replay_run(spark, env, "window_raw",
+                       lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, rejects_path=f"{b}/rejects", raw_path=f"{b}/raw",
+                                                            state_partitions=cluster_cores(spark)))
+    raw = TB.read_table(spark, f"{base}/raw")
+    return _ntz(raw.select("device_id", "ts", "temperature", "humidity", "status", "bus_offset"), "ts")
+
+
 @register("stream_late_rows", f"""{_LATE_SQL}
 SELECT 'micro_batches' AS metric, CAST(max(batch) AS BIGINT) AS value FROM s
 UNION ALL SELECT 'input_rows', count(*) FROM s

@@ -90,6 +90,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(context._jsc.hadoopConfiguration()).exists(p))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder on its filesystem; without a JVM gateway it is left to Spark's writers."""
+    try:
+        context = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect)
+        return
+    p = context._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(context._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def read_manifest(spark: SparkSession, path: str) -> Manifest | None:
     mpath = f"{path}/_manifest"
     if not _exists(spark, mpath):

@@ -4,6 +4,7 @@ replay safety of the keyed-table sink, and stream = batch."""
 import datetime as dt
 import json
 import os
+import time
 from types import SimpleNamespace
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from sensorstream.operators import aggregates as A
+from sensorstream.plans import jobs as J
 from sensorstream.sources import tables as TB
 from sensorstream.streaming import runner as R
 from sensorstream.streaming import sinks as S
@@ -285,3 +287,31 @@ def test_replayed_batch_replaces_its_report(spark, tmp_path):
                   "stateOperators": [{"numRowsDroppedByWatermark": late}]}
         listener.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(json=json.dumps(report))))
     assert [tuple(r) for r in R.late_rows(R.stored_metrics(spark, path)).collect()] == [("again", 5)]
+
+
+def test_windows_raw_and_rejects_from_one_reading_of_the_bus(spark, tmp_path):
+    """The bus is read once a job, over restarts; all three outputs are whole, and the log's readers see no more than was sent."""
+    rows = [(json.dumps({"device_id": f"d{i % 3}", "timestamp": f"2031-05-06 07:{i % 20:02d}:00.000", "temperature": i, "humidity": 1, "status": "OK"})
+             if i % 7 else "broken", "t", i % 2, i, f"2031-05-06 07:{i % 20:02d}:01") for i in range(60)]
+    env = (spark.createDataFrame(rows, "value string, topic string, partition int, offset long, timestamp string")
+           .withColumn("value", F.encode("value", "UTF-8")).withColumn("timestamp", F.to_timestamp("timestamp")))
+    out, good = {k: str(tmp_path / k) for k in ("avg", "raw", "bad", "ck", "in")}, [i for i in range(60) if i % 7]
+    with R.ProgressTotals(spark) as totals:
+        for lo, hi in ((0, 25), (25, 60), (60, 60)):
+            env.filter((F.col("offset") >= lo) & (F.col("offset") < hi)).write.mode("append").parquet(out["in"])
+            stream = spark.readStream.schema(env.schema).parquet(out["in"])
+            q = J.windowed_averages(stream, out["avg"], out["ck"], delay="1 hour", raw_path=out["raw"], rejects_path=out["bad"])
+            q.awaitTermination()
+        end = time.time() + 20
+        while totals.of("windowed_averages").get("numInputRows", 0) < 60 and time.time() < end:
+            time.sleep(0.1)
+        read = {n: totals.of(n).get("numInputRows") for n in ("windowed_averages_log", "windowed_averages_kept", "windowed_averages")}
+    assert read == {"windowed_averages_log": 60, "windowed_averages_kept": 60, "windowed_averages": 60}
+    assert sorted(r.offset for r in spark.read.parquet(out["bad"]).collect()) == [i for i in range(60) if i % 7 == 0]
+    want = {}
+    for i in good:
+        want.setdefault((f"d{i % 3}", i % 20), []).append(i)
+    raw = TB.read_table(spark, out["raw"]).collect()
+    assert {(r.device_id, r.ts.minute): r.bus_offset for r in raw} == {k: max(v, key=lambda i: (i % 2, i)) for k, v in want.items()}
+    avg = TB.read_table(spark, out["avg"]).collect()
+    assert {(r.device_id, r.window_start.minute): r.avg_temp for r in avg} == {k: sum(v) / len(v) for k, v in want.items()}
