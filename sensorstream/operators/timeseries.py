@@ -30,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.math import exact_sum, newest_order
 
 _UNIT_MS = {"ms": 1, "millisecond": 1, "s": 1000, "sec": 1000, "second": 1000, "min": 60_000,
             "minute": 60_000, "h": 3_600_000, "hr": 3_600_000, "hour": 3_600_000, "d": 86_400_000,
@@ -119,10 +120,12 @@ def gauge_at(df: DataFrame, series, at, ts: str = "ts", value: str = "value",
     at_c = F.lit(at).cast("timestamp")
     lb = F.expr(f"INTERVAL {interval_ms(lookback)} MILLISECONDS")
     f = df.filter((F.col(ts) <= at_c) & (F.col(ts) > at_c - lb))
-    return (f.groupBy(*s)
-             .agg(F.max_by(F.struct(F.col(ts).alias("ts"), F.col(value).alias("value")),
-                           F.struct(F.col(ts), F.col(value))).alias("_v"))
-             .select(*s, F.col("_v.ts").alias("ts"), F.col("_v.value").alias("value")))
+    return f.groupBy(*s).agg(F.max(ts).alias("ts"), _newest(ts, value).alias("value"))
+
+
+def _newest(ts: str, value: str) -> Column:
+    """The value at the newest time, of several the greatest."""
+    return F.max_by(F.col(value), newest_order(F.col(ts), F.col(value).cast("double")))
 
 
 def step_end(ts: str, step_ms: int) -> Column:
@@ -138,14 +141,13 @@ def at_steps(df: DataFrame, series, step: str = "1 minute", ts: str = "ts",
     s = _cols(series)
     st = interval_ms(step)
     return (df.groupBy(*s, step_end(ts, st).alias("step_ts"))
-              .agg(F.max_by(F.col(value), F.struct(F.col(ts), F.col(value))).alias(value)))
+              .agg(_newest(ts, value).alias(value)))
 
 
 def sum_by(df: DataFrame, by, series, step: str = "1 minute", ts: str = "ts",
            value: str = "value", out: str = "value", exact_scale: int | None = None) -> DataFrame:
     """``sum(x) by (label)`` evaluated at every step.  ``exact_scale``
     sums as a decimal of that scale (order-independent result)."""
-    from ..functions.math import exact_sum
     s = _cols(series)
     s += [b for b in _cols(by) if b not in s]   # grouping labels identify the series too
     inst = at_steps(df, s, step, ts, value)

@@ -3,11 +3,13 @@
 import datetime as dt
 import math
 import random
+import struct
 from collections import Counter
 from fractions import Fraction
 
 from pyspark.sql import functions as F
 
+from sensorstream.functions.math import order_bits
 from sensorstream.operators import filters as FL
 from sensorstream.operators import latest as LW
 from sensorstream.operators import timeseries as TS
@@ -200,3 +202,29 @@ def test_interval_units_and_script_comments():
     assert [TS.interval_ms(t) for t in ("5 minutes", "1 h", "2 hours", "30 s", "1 day", "250 ms", "3 mins")] == \
         [300_000, 3_600_000, 7_200_000, 30_000, 86_400_000, 250, 180_000]
     assert split_statements("SELECT 1; -- a; comment\nSELECT 2") == ["SELECT 1", "SELECT 2"]
+
+
+def test_order_bits_are_those_of_the_double(spark):
+    rng = random.Random(3)
+    odd = [0.0, -0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, float("inf"), float("-inf"), 1.0, -1.0,
+           2.0, 0.1, 1 / 3, math.nextafter(1, 0), math.nextafter(8, 0), math.nextafter(2.0 ** -40, 0), 2.0 ** 52 + 1]
+    odd += [math.nextafter(2.0 ** e, d) for e in range(-1022, 1023, 31) for d in (0, math.inf)] + [2.0 ** e for e in range(-1074, 1024, 13)]
+    odd += [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(500)]
+    values = [v for v in odd if v == v] + [-v for v in odd if v == v] + [float("nan")]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", order_bits(F.col("v")).alias("b")).collect()
+    for r in got:
+        bits = struct.unpack("<q", struct.pack("<d", abs(r.v)))[0]
+        assert r.b == (-bits if r.v < 0 else bits), r.v
+    assert spark.sql("SELECT CAST(NULL AS DOUBLE) AS v").select(order_bits(F.col("v"))).first()[0] is None
+
+
+def test_newest_value_is_a_hash_aggregate(spark):
+    rows = [("s", _t(0, i % 7), v) for i, v in enumerate([3.0, -1.0, None, 0.5, -2.5, float("nan"), 7.0, 1.0, 2.0, 4.0, -9.0, -3.0, None, None, 8.0])]
+    df = spark.createDataFrame(rows, "sid string, ts timestamp, value double")
+    for made in (TS.gauge_at(df, "sid", "2024-01-01 00:01:00"), TS.at_steps(df, "sid")):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan
+    for at, want in ((0, 8.0), (1, 2.0), (2, 4.0), (3, 0.5), (4, -2.5), (5, "nan"), (6, 7.0)):       # nulls are below, NaN above
+        got = TS.gauge_at(df.filter(F.second("ts") <= at), "sid", "2024-01-01 00:01:00").collect()[0]
+        assert (got.ts, str(got.value)) == (_t(0, at), str(want))
+    assert TS.gauge_at(df.filter("value IS NULL"), "sid", "2024-01-01 00:01:00").collect()[0].value is None
