@@ -674,6 +674,15 @@ def q_anomalies(spark, sf_dir):
     return _ntz(anomalies(w, "device_id", "window_start", "avg_temp", 12, 3.0), "window_start", "window_end")
 
 
+@register("anomalies_split", ORACLE["anomalies"])
+def q_anomalies_split(spark, sf_dir):
+    """X1 with each device's history split into buckets of ten minutes (fewer rows than its 12 windows)."""
+    r = X.cadence_readings(X.events(spark, sf_dir))
+    w = A.tumbling_avg(r, "device_id", "ts", "1 minute", exact_scale=SCALE)
+    out = anomalies(w, "device_id", "window_start", "avg_temp", 12, 3.0, bucket="10 minutes")
+    return _ntz(out, "window_start", "window_end")
+
+
 # --------------------------------------------------------------------------
 # Streams (S1, S4, S5, W1-W7, K1-K5): incremental availableNow runs over a
 # replayed bus, three time slices, state carried by the checkpoint.
@@ -836,6 +845,16 @@ def q_stream_sql_tumbling_avg(spark, sf_dir):
     return _ntz(TB.read_table(spark, f"{base}/avg"), "window_start", "window_end")
 
 
+@register("describe_table", """
+SELECT * FROM (VALUES (0, 'event_id', 'bigint', 'order'), (1, 'device_id', 'string', 'key'), (2, 'ts', 'timestamp', 'key'),
+  (3, 'temperature', 'double', 'regular'), (4, 'humidity', 'double', 'regular'), (5, 'status', 'string', 'regular'))
+  AS t(position, column_name, type, role)
+WHERE (SELECT count(*) FROM events) > 0""")
+def q_describe_table(spark, sf_dir):
+    """``DESCRIBE`` of the keyed table that the fixture is stored in."""
+    return TB.describe_table(spark, _write_colliding_table(spark, sf_dir))
+
+
 @register("compacted_table", _COLLIDING_LATEST_SQL)
 def q_compacted_table(spark, sf_dir):
     """K7: a keyed table compacted after two of its three batches (snapshot +

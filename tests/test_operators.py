@@ -14,6 +14,7 @@ from sensorstream.operators import filters as FL
 from sensorstream.operators import latest as LW
 from sensorstream.operators import timeseries as TS
 from sensorstream.operators import topn as TN
+from sensorstream.operators.anomalies import anomalies
 from sensorstream.plans.sql import split_statements
 from sensorstream.sources import bus as B
 from sensorstream.streaming.windows import event_time, guard_future
@@ -228,3 +229,18 @@ def test_newest_value_is_a_hash_aggregate(spark):
         got = TS.gauge_at(df.filter(F.second("ts") <= at), "sid", "2024-01-01 00:01:00").collect()[0]
         assert (got.ts, str(got.value)) == (_t(0, at), str(want))
     assert TS.gauge_at(df.filter("value IS NULL"), "sid", "2024-01-01 00:01:00").collect()[0].value is None
+
+
+def test_anomalies_split_by_history(spark):
+    """Gaps, buckets of fewer rows than the history, buckets without rows, several keys: as unsplit."""
+    rng = random.Random(9)
+    rows = [(k, t, float(rng.randrange(1000)) if t % 11 else None) for k in "abc" for t in sorted(rng.sample(range(400), 120))]
+    rows += [("d", 5, 1.0), (None, 7, 2.0), (None, 300, 2.0)]
+    win = spark.createDataFrame(rows, "device_id string, window_start long, avg_temp double").repartition(4)
+    want = sorted(map(tuple, anomalies(win).collect()), key=repr)
+    for bucket in (1, 7, 50, 1000):
+        assert sorted(map(tuple, anomalies(win, bucket=bucket).collect()), key=repr) == want
+    timed = win.withColumn("window_start", F.timestamp_seconds(F.col("window_start") * 60))
+    assert Counter(r.is_anomaly for r in anomalies(timed, bucket="20 minutes").collect()) == Counter(w[-1] for w in want)
+    plan = anomalies(win, bucket=50)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
