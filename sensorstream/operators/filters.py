@@ -7,6 +7,8 @@ the latest-wins aggregate when they only touch key columns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,13 +18,22 @@ def key_equals(df: DataFrame, col: str, value) -> DataFrame:
     return df.filter(F.col(col) == F.lit(value))
 
 
-def time_range(df: DataFrame, ts: str, start=None, end=None) -> DataFrame:
-    """``start <= ts < end`` (either bound optional)."""
+def time_range(df: DataFrame, ts: str, start=None, end=None, partition: str | None = None,
+               of: Callable[[Column], Column] = F.to_date) -> DataFrame:
+    """``start <= ts < end`` (either bound optional).
+
+    ``partition`` names a column that is ``of(ts)`` in every row, a function that
+    never falls as time goes on (default: the day).  The range then bounds it
+    too, which prunes the folders of a table partitioned by it; Catalyst does
+    not know how the two columns hang together."""
     cond = F.lit(True)
-    if start is not None:
-        cond = cond & (F.col(ts) >= F.lit(start).cast("timestamp"))
-    if end is not None:
-        cond = cond & (F.col(ts) < F.lit(end).cast("timestamp"))
+    for bound, above in ((start, True), (end, False)):
+        if bound is None:
+            continue
+        at = F.lit(bound).cast("timestamp")
+        cond = cond & (F.col(ts) >= at if above else F.col(ts) < at)
+        if partition is not None:
+            cond = cond & (F.col(partition) >= of(at) if above else F.col(partition) <= of(at))
     return df.filter(cond)
 
 

@@ -1075,3 +1075,17 @@ WITH w AS ({ORACLE["tumbling_avg_1m"]}) SELECT device_id, COUNT(*) AS record_cou
 def q_serve_count_by_device(spark, sf_dir):
     """Serving: stored windows per device."""
     return A.count_by(_stored_windows(spark, sf_dir, "serve_count"), "device_id")
+
+
+@register("serve_windows_in_range", f"""
+WITH w AS ({ORACLE["tumbling_avg_1d_natural"]})
+SELECT * EXCLUDE (n) FROM w WHERE window_start >= TIMESTAMP '2024-01-03' AND window_start < TIMESTAMP '2024-01-05'""")
+def q_serve_windows_in_range(spark, sf_dir):
+    """F4 on a stored table partitioned by day: the time range prunes its folders."""
+    path = scratch_path(spark, "table", "serve_range")
+    w = A.tumbling_avg(X.natural_readings(X.events(spark, sf_dir)), "device_id", "ts", "1 day", exact_scale=SCALE)
+    w = w.withColumn("day", F.to_date("window_start"))
+    m = TB.create_table_if_absent(spark, path, w.schema, J.AVG_KEYS, partition_by=["day"])
+    TB.upsert_table(w, path, 0, manifest=m)
+    out = FL.time_range(TB.read_table(spark, path), "window_start", "2024-01-03 00:00:00", "2024-01-05 00:00:00", partition="day")
+    return _ntz(out.drop("day"), "window_start", "window_end")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.json import to_json_col
 from ..schemas import ENVELOPE, SQL_TS_FORMAT
+from .tables import _exists
 
 
 def _topics(topics) -> list[str]:
@@ -65,9 +66,8 @@ def select_envelope(df: DataFrame, topics=None, start="earliest", start_col: str
 
     ``latest`` keeps only records stamped at or after the reader's start
     (``now``), the file equivalent of skipping what is already on the topic.
-    The bound is fixed when the reader is built; a restarted stream that must
-    keep the original start passes that time explicitly (a Kafka source
-    instead keeps its offsets in the checkpoint).  Both filters reach the
+    The bound is fixed when the reader is built; ``read_bus(checkpoint=)`` keeps
+    it for restarts (a Kafka source keeps its offsets in the checkpoint).  Both filters reach the
     Parquet scan as pushed predicates.
     """
     out = df
@@ -81,10 +81,31 @@ def select_envelope(df: DataFrame, topics=None, start="earliest", start_col: str
     return out.filter(F.col(start_col) >= F.lit(utc).cast("timestamp"))
 
 
+def kept_start(spark: SparkSession, start, checkpoint: str | None, now: _dt.datetime | None = None):
+    """The time that ``latest`` meant when a query first started.
+
+    It is written beside the query's checkpoint and read back by every later
+    start, so that a restart skips no record that came while the query was
+    down.  Any other position is returned as it is."""
+    if start != "latest" or checkpoint is None:
+        return start
+    path = f"{checkpoint}-start"
+    if _exists(spark, path):
+        kept = spark.read.schema("start string").json(path).limit(1).collect()
+        if kept:
+            return _to_dt(kept[0][0])
+    start = now or _dt.datetime.now(_dt.timezone.utc)
+    spark.createDataFrame([(start.isoformat(),)], "start string").coalesce(1).write.mode("overwrite").json(path)
+    return start
+
+
 def read_bus(spark: SparkSession, topics, format: str = "parquet", path: str | None = None,
              start="earliest", streaming: bool = True, bootstrap: str | None = None,
-             max_files_per_trigger: int | None = None, **opts) -> DataFrame:
-    """Read one or more topics as envelope rows (stream or batch)."""
+             max_files_per_trigger: int | None = None, checkpoint: str | None = None, **opts) -> DataFrame:
+    """Read one or more topics as envelope rows (stream or batch).
+
+    ``checkpoint`` is that of the query the stream is for: a file replay that
+    starts at ``latest`` keeps the time there (:func:`kept_start`)."""
     reader = spark.readStream if streaming else spark.read
     if format == "kafka":
         if not bootstrap:
@@ -97,7 +118,7 @@ def read_bus(spark: SparkSession, topics, format: str = "parquet", path: str | N
     if streaming and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.options(**opts).load(path)
-    return select_envelope(df, topics, start)
+    return select_envelope(df, topics, kept_start(spark, start, checkpoint))
 
 
 def to_envelope(df: DataFrame, topic: str, value: Column, key: Column | None = None,

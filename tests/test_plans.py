@@ -79,3 +79,9 @@ def test_table_reads_shuffle_once(spark, name):
     plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_COL") == 1, plan
     assert plan.count("Exchange ") == 1 + name.startswith("serve"), plan
+
+
+def test_time_range_prunes_a_table_partitioned_by_day(spark):
+    plan = E.queries()["serve_windows_in_range"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    found = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "day" in found and ">= 2024-01-03" in found and "<= 2024-01-05" in found

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sensorstream.operators import aggregates as A
 from sensorstream.plans import jobs as J
 from sensorstream.sources import tables as TB
+from sensorstream.sources.bus import kept_start, read_bus
 from sensorstream.streaming import runner as R
 from sensorstream.streaming import sinks as S
 from sensorstream.streaming.windows import watermark
@@ -315,3 +316,30 @@ def test_windows_raw_and_rejects_from_one_reading_of_the_bus(spark, tmp_path):
     assert {(r.device_id, r.ts.minute): r.bus_offset for r in raw} == {k: max(v, key=lambda i: (i % 2, i)) for k, v in want.items()}
     avg = TB.read_table(spark, out["avg"]).collect()
     assert {(r.device_id, r.window_start.minute): r.avg_temp for r in avg} == {k: sum(v) / len(v) for k, v in want.items()}
+
+
+def test_latest_keeps_its_start_over_restarts(spark, tmp_path):
+    """What came while the query was down is read, once; what lay there before its first start is not."""
+    src, ck, out = (str(tmp_path / n) for n in ("in", "ck", "out"))
+    stamp = lambda s: dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=s)
+
+    def send(k, at):
+        (spark.createDataFrame([(bytearray([k]), "t", 0, k, at)], "value binary, topic string, partition int, offset long, timestamp timestamp")
+         .withColumn("key", F.lit(None).cast("binary")).coalesce(1).write.mode("append").parquet(src))
+
+    def run():
+        stream = read_bus(spark, "t", "parquet", src, start="latest", checkpoint=ck)
+        q = R.start_query(stream, lambda b, n: b.write.mode("overwrite").parquet(f"{out}/n={n}"), "latest", ck)
+        q.awaitTermination()
+        return sorted(r.offset for r in spark.read.parquet(out).collect()) if os.path.exists(out) else []
+
+    send(1, stamp(-60))
+    run()
+    send(2, stamp(0))
+    time.sleep(0.1)
+    assert run() == [2]
+    send(3, stamp(0))
+    time.sleep(0.1)                          # a start built now would skip it
+    assert run() == [2, 3] and run() == [2, 3]
+    first = kept_start(spark, "latest", ck)
+    assert first == kept_start(spark, "latest", ck) and kept_start(spark, "earliest", ck) == "earliest"

@@ -28,6 +28,7 @@ from sensorstream.operators import aggregates as A  # noqa: E402
 from sensorstream.operators import latest as LW  # noqa: E402
 from sensorstream.operators import timeseries as TS  # noqa: E402
 from sensorstream.operators import topn as TN  # noqa: E402
+from sensorstream.operators.anomalies import anomalies  # noqa: E402
 from sensorstream.session import build_session  # noqa: E402
 
 PARTS = 32
@@ -88,6 +89,8 @@ def main(argv):
         "counter_rate (1 hour buckets)": TS.counter_rate(series, "device_id", bucket="1 hour"),
         "counter_rate (one bucket = naive)": TS.counter_rate(series, "device_id", bucket="100000 days"),
     }
+    windows = A.tumbling_avg(r, "device_id", "ts", "1 minute")
+    ops |= {"anomalies (1-day buckets)": anomalies(windows, bucket="1 day"), "anomalies (whole histories)": anomalies(windows)}
     sc = spark.sparkContext
     groups = {}
     for name, df in ops.items():
