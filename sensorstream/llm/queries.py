@@ -45,7 +45,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), carry=False)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

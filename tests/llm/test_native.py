@@ -95,17 +95,49 @@ def test_mix(spark, odd_docs, odder_docs, no_docs):
 
 
 def test_mix_ranks_decide(spark):
+    """All in order of rank up to the cut; behind it only what is smaller than the one that did not fit, but for the closing one."""
     rows = mixing.mix(docs_of(spark)).collect()
     by = defaultdict(list)
     for r in rows:
         by[r.source].append(r)
     for held in by.values():
         times = held[0].target / held[0].source_size
-        extra = sorted((r for r in held), key=lambda r: brute.uniform(r.doc_id))
+        extra = sorted((r for r in held if r.size), key=lambda r: brute.uniform(r.doc_id))
         picked = [r.copies > int(times + 1e-12) for r in extra]
-        # All up to the cut, then at most one more that closes the gap.
         cut = picked.index(False) if False in picked else len(picked)
-        assert sum(picked[cut:]) <= 1
+        assert sum(r.size >= extra[cut].size for r, p in zip(extra[cut:], picked[cut:]) if p) <= 1
+
+
+def off_target(rows):
+    """Per source: words off the target, and the sizes of its documents that could still be taken once more."""
+    off, left = Counter(), defaultdict(list)
+    whole = {s: int(t / n + 1e-12) if n else 0 for s, t, n in {(r.source, r.target, r.source_size) for r in rows}}
+    for r in rows:
+        off[r.source] += r.taken
+        if r.copies == whole[r.source] and r.size:
+            left[r.source].append(r.size)
+    for s, t in {(r.source, r.target) for r in rows}:
+        off[s] -= t
+    return off, left
+
+
+@pytest.mark.parametrize("ids", [True, False])
+def test_mix_meets_targets_with_repeated_rows_and_a_long_text(spark, ids):
+    """A third of a source one repeated row; one text a third of another source: nearer than the smallest document that fits."""
+    same = " ".join(["w"] * 10)
+    rows = [(7 if ids else None, same, "a")] * 2000 + [(100 + i, " ".join(["x"] * (5 + i % 11)), "a") for i in range(1000)]
+    rows += [(5000 + i, " ".join(["y"] * 20), "b") for i in range(900)] + [(9999, " ".join(["z"] * 9000), "b")]
+    rows += [(None, " ".join(["v"] * (1 + i % 30)) + f" {i}", "c") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows)
+    check_mix(got)
+    off, left = off_target(got)
+    for s, words in off.items():
+        fitting = [n for n in left[s] if n <= -words]
+        assert abs(words) < (min(fitting) if fitting else 20), (s, words)
+    again = mixing.mix(docs.repartition(3), carry=False).collect()
+    assert Counter((r.doc_id, r.source, r.size, r.copies) for r in again) == Counter((r.doc_id, r.source, r.size, r.copies) for r in got)
 
 
 def test_mix_take(spark):
