@@ -8,7 +8,8 @@ document's raw quality, and a logistic curve fitted on training documents the
 final score.
 
 Training takes a bounded sample of labelled documents (``TRAIN_DOCS``, by the
-smallest hash), each line carrying its document's label.  Scoring reads every
+smallest hash, of those with at most ``TRAIN_BYTES`` bytes and ``TRAIN_LINES``
+lines), each whole, each line carrying its document's label.  Scoring reads every
 text in full; lines are scored batch by batch with array operations.
 """
 
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from ._scratch import share
 from ._text import slices, string_buffers
 
-#: Most labelled documents that a model is fitted on, and characters of each.
-TRAIN_DOCS, TRAIN_CHARS = 4000, 65_536
+#: Most labelled documents that a model is fitted on; larger ones are not among them.
+TRAIN_DOCS, TRAIN_BYTES, TRAIN_LINES = 4000, 65_536, 500
 THRESHOLD = 0.7
 _STEPS, _RATE, _DECAY = 250, 0.08, 1e-3
 
@@ -145,8 +146,9 @@ class Crf:
         x = (lines.features - self.mean) / self.scale
         return x, x @ self.weights, np.diff(lines.first)
 
-    def marginals(self, score: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probability of label good for each line, and expected transitions.
+    def marginals(self, score: np.ndarray, first: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of label good for each line, and expected transitions,
+        each counted with the weight of the line it leads to (default: 1).
 
         Chains run side by side from the longest to the shortest; a step adds
         one line to every chain that still has one.
@@ -179,7 +181,20 @@ class Crf:
         at = np.flatnonzero(linked)
         pair = ahead[at - 1][:, :, None] + t + (node[at] + behind[at])[:, None, :]
         norm = np.logaddexp(both[at, 0], both[at, 1])
-        return good, np.exp(np.minimum(pair - norm[:, None, None], 0)).sum(axis=0)
+        moves = np.exp(np.minimum(pair - norm[:, None, None], 0))
+        return good, moves.sum(axis=0) if weight is None else np.tensordot(weight[at], moves, axes=1)
+
+    def slopes(self, x: np.ndarray, goal: np.ndarray, weight: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient, by weights and transitions, of the weighted log-likelihood
+        of the labels ``goal``, a document's lines all having its weight, less
+        half of ``_DECAY`` times the squared parameters."""
+        good, moves = self.marginals(x @ self.weights, first, weight)
+        linked = np.ones(len(goal), dtype=bool)
+        linked[first[:-1][np.diff(first) > 0]] = False
+        at = np.flatnonzero(linked)
+        seen = np.zeros((2, 2))
+        np.add.at(seen, (goal[at - 1].astype(int), goal[at].astype(int)), weight[at])
+        return x.T @ (weight * (goal - good)) - _DECAY * self.weights, seen - moves - _DECAY * self.between
 
     def raw(self, lines: Lines) -> np.ndarray:
         """Length-weighted mean of the line marginals of each text."""
@@ -225,17 +240,9 @@ def fit(texts: list[str | None], labels: list[int]) -> Crf:
     # A document's lines share its weight; labels weigh by how rare they are.
     rare = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max(len(y) - y.sum(), 1))
     weight = np.repeat(rare / count, count)
-    inner = np.ones(len(goal), dtype=bool)
-    inner[first[:-1]] = False
-    at = np.flatnonzero(inner)
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (goal[at].astype(int), goal[at].astype(int)), weight[at])
     state = [np.zeros(width), np.zeros(width), np.zeros((2, 2)), np.zeros((2, 2))]
     for step in range(1, _STEPS + 1):
-        good, moves = model.marginals(x @ model.weights, first)
-        slope = x.T @ (weight * (goal - good)) - _DECAY * model.weights
-        moves = moves / max(moves.sum(), 1e-9) * seen.sum()
-        turn = seen - moves - _DECAY * model.between
+        slope, turn = model.slopes(x, goal, weight, first)
         for value, g, m, v in ((model.weights, slope, state[0], state[1]), (model.between, turn, state[2], state[3])):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
@@ -258,15 +265,18 @@ def fit(texts: list[str | None], labels: list[int]) -> Crf:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_docs: int = TRAIN_DOCS) -> Crf:
     """Fit on at most ``most_docs`` labelled documents of ``docs``.
 
-    The sample is the documents with the smallest hash of their id; null texts
-    count as empty, null labels and ids are left out, and a document labelled
-    twice counts once with its larger label.  Of a text longer than
-    ``TRAIN_CHARS`` its beginning is fitted; at most ``most_docs`` rows are.
+    The sample is the documents with the smallest hash of their id, whole;
+    texts of more than ``TRAIN_BYTES`` bytes or ``TRAIN_LINES`` lines are not
+    drawn, the next ones by hash are.  Null texts count as empty, null labels
+    and ids are left out, and a document labelled twice counts once with its
+    larger label.
     """
     marked = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
               .agg(F.max(F.col(label).cast("int")).alias("label")))
-    picked = marked.join(docs.select("doc_id").distinct(), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs)
-    texts = docs.select("doc_id", F.substring(F.col("text").cast("string"), 1, TRAIN_CHARS).alias("text"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    lines = F.octet_length(text) - F.octet_length(F.translate(text, "\n", "")) + 1
+    texts = docs.where((F.octet_length(text) <= TRAIN_BYTES) & (lines <= TRAIN_LINES)).select("doc_id", text.alias("text"))
+    picked = marked.join(texts.select("doc_id").distinct(), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs)
     rows = (texts.join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
             .limit(most_docs).select("text", "label").collect())
     return fit([r.text for r in rows], [r.label for r in rows])
