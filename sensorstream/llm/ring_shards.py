@@ -9,8 +9,11 @@ node of a shard with room.
 
 Documents of a cell are alike to the ring, so the walk needs only the number
 of rows in each cell: a table of at most ``CELLS`` rows, whatever the input.
-It yields, for each cell, which ranks go to which shard from which slot on;
-ranks within a cell come from one window over the cell.
+It yields, for each cell, which ranks go to which shard from which slot on.
+Ranks within a cell come from counts of like rows by input partition: a running
+sum over those gives each count its first rank, and the rows behind a count are
+numbered among themselves.  So rows of one id and text, a third of all or not,
+never meet in one task.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ._scratch import settle
+
 CELL_BITS = 13
 CELLS = 1 << CELL_BITS
 VNODES = 64
@@ -83,6 +88,19 @@ def walk(counts: dict[int, int], shards: int, vnodes: int = VNODES) -> list[dict
     return out
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_rank``, their place in their cell by hash, id, size and
+    checksum, like rows by input partition."""
+    like = ["_cell", "_hash", "doc_id", "size", "text_crc32", "_part"]
+    before = Window.partitionBy("_cell").orderBy(*like[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (rows.groupBy(*like).agg(F.count("*").alias("_n"))
+              .select(*(F.col(c).alias(f"_{c}_") for c in like), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}_")) for c in like]
+    number = F.row_number().over(Window.partitionBy(*like).orderBy("_row")) - 1
+    return (rows.withColumn("_no", number).join(starts, same).withColumn("_rank", F.col("_start") + F.col("_no"))
+            .drop("_no", "_start", *(f"_{c}_" for c in like)))
+
+
 def ring_shards(docs: DataFrame, shards: int, vnodes: int = VNODES, carry: bool = True) -> DataFrame:
     """``docs`` with ``size, text_crc32, law, shard, slot`` per row.
 
@@ -104,14 +122,15 @@ def ring_shards(docs: DataFrame, shards: int, vnodes: int = VNODES, carry: bool
     hashed = F.xxhash64(F.col("doc_id").cast("string"), "text_crc32")
     rows = rows.withColumn("_hash", hashed).withColumn(
         "_cell", F.shiftrightunsigned(F.col("_hash"), 64 - CELL_BITS).cast("int"))
+    rows = settle(rows.withColumn("_row", F.monotonically_increasing_id())
+                  .withColumn("_part", F.shiftright("_row", 33).cast("int")), "rows")
     counts = {r["_cell"]: r["n"] for r in rows.groupBy("_cell").agg(F.count("*").alias("n")).collect()}
     plan = json.dumps(walk(counts, shards, vnodes))
     segments = (spark.range(1).select(F.inline(F.from_json(
         F.lit(plan), "array<struct<cell:int,lo:long,hi:long,shard:int,slot:long>>"))))
-    order = Window.partitionBy("_cell").orderBy("_hash", "doc_id", "size", "text_crc32")
-    ranked = rows.withColumn("_rank", F.row_number().over(order) - 1)
+    ranked = _ranked(rows)
     # At most CELLS + shards * vnodes segments.
     placed = ranked.join(F.broadcast(segments), (F.col("_cell") == F.col("cell")) & (F.col("_rank") >= F.col("lo")) &
                          (F.col("_rank") < F.col("hi")))
     return (placed.withColumn("law", F.lit("rows")).withColumn("slot", F.col("slot") + F.col("_rank") - F.col("lo"))
-            .drop("_hash", "_cell", "_rank", "cell", "lo", "hi"))
+            .drop("_hash", "_cell", "_rank", "_row", "_part", "cell", "lo", "hi"))

@@ -194,6 +194,39 @@ def test_shards(spark, odd_docs, odder_docs, no_docs):
     assert ring_shards.ring_shards(no_docs, 40).count() == 0
 
 
+def plain_shards(cells, shards):
+    """Shard of each row of a list of cells, one row at a time: on from the cell's node to the next with room."""
+    nodes = ring_shards.ring(shards)
+    room = [len(cells) // shards + (s < len(cells) % shards) for s in range(shards)]
+    queues, out, at = [[] for _ in nodes], [None] * len(cells), 0
+    for i in sorted(range(len(cells)), key=lambda i: cells[i]):
+        queues[next((k for k, (c, _) in enumerate(nodes) if c >= cells[i]), 0)].append(i)
+    while any(queues):
+        for k, (_, shard) in enumerate(nodes):
+            while queues[k] and room[shard]:
+                out[queues[k].pop(0)] = shard
+                room[shard] -= 1
+            after = (k + 1) % len(nodes)
+            queues[after] = queues[k] + queues[after]
+            queues[k] = []
+    return out
+
+
+@pytest.mark.parametrize("shards", [3, 40])
+def test_shards_by_plain_walk_with_a_third_of_the_rows_alike(spark, shards):
+    rows = [(7, "same")] * 700 + [(None, "none")] * 60 + [(i, f"text {i}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ring_shards.ring_shards(docs.repartition(5), shards).collect()
+    check_shards(got, shards)
+    cell = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("string"), F.crc32(F.col("text").cast("binary"))), 64 - ring_shards.CELL_BITS)
+    cells = {(r.doc_id, r.text): r.c for r in docs.distinct().select("doc_id", "text", cell.alias("c")).collect()}
+    # In a cell rows stand by hash: only how many of a cell go to each shard is compared.
+    want = Counter(zip((cells[r] for r in rows), plain_shards([cells[r] for r in rows], shards), strict=True))
+    assert Counter((cells[r.doc_id, r.text], r.shard) for r in got) == want
+    again = ring_shards.ring_shards(docs.repartition(3), shards, carry=False).collect()
+    assert Counter((r.doc_id, r.shard, r.slot) for r in again) == Counter((r.doc_id, r.shard, r.slot) for r in got)
+
+
 def test_shards_move_little():
     counts = {c: 20 for c in range(ring_shards.CELLS)}
     place = lambda n: {(s["cell"], k): s["shard"] for s in ring_shards.walk(counts, n) for k in range(s["lo"], s["hi"])}
