@@ -71,7 +71,7 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: float = MO
 
 
 def _draw(docs: DataFrame, seed: str) -> DataFrame:
-    """Size, text key, uniform number and a row number.
+    """Size, text key and uniform number.
 
     Rows without an id differ by their text."""
     name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit(":"), F.xxhash64("text").cast("string")))
@@ -79,7 +79,7 @@ def _draw(docs: DataFrame, seed: str) -> DataFrame:
     number = F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("double")
     return (docs.withColumn("size", F.expr(word_count("text")).cast("long"))
             .withColumn("_u", (number + 0.5) / float(1 << 4 * _DIGITS))
-            .withColumn("_key", F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id()))
+            .withColumn("_key", F.xxhash64("text")))
 
 
 def _rank() -> Column:
@@ -168,20 +168,19 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: float = MOST, s
     source without words has target 0.  Extra columns stay; ``size``,
     ``source_size``, ``target``, ``copies`` and ``taken`` are replaced if they
     exist.  ``carry=False`` returns only ``doc_id`` and ``source`` beside the
-    results and stores no texts.
+    results.  Of the texts only those of groups at a limit are stored.
     """
     docs = docs.drop("size", "source_size", "target", "copies", "taken")
     keep = docs.columns if carry else ["doc_id", "source"]
-    drawn = _draw(docs, seed)
-    rows = settle(drawn if carry else drawn.select(*keep, "size", "_u", "_key", "_row"), "drawn")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    slim_rows = settle(_draw(docs, seed).select("doc_id", "source", "size", "_u", "_key"), "drawn")
+    sizes = slim_rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     times = F.coalesce(F.col("target") / F.nullif("source_size", F.lit(0)), F.lit(0.0))
     shares = settle(targets(sizes, weights, most).withColumn("_times", times)
                     .withColumn("_whole", F.floor(F.col("_times") + 1e-12))
                     .withColumn("_p", F.greatest(F.col("_times") - F.col("_whole"), F.lit(0.0)))
                     .withColumn("_rest", F.greatest(F.col("target") - F.col("_whole") * F.col("source_size"), F.lit(0.0))),
                     "shares")
-    slim = rows.groupBy("source", "_u", "_key", "size").agg(F.count("*").alias("_rows"))
+    slim = slim_rows.groupBy("source", "_u", "_key", "size").agg(F.count("*").alias("_rows"))
     groups = settle(_by_source(slim, shares.select("source", "_p"), "p").withColumn("_rank", _rank()).where("_rank IS NOT NULL")
                     # Ranks grow with u, so cells of equal width in u are in order.
                     .withColumn("_cell", F.floor(F.col("_u") * CELLS).cast("int")).drop("_p"), "groups")
@@ -208,15 +207,20 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: float = MOST, s
              .select("source", F.struct(F.col("_c._rank").alias("rank"), F.col("_c._key").alias("key")).alias("_cut"), F.lit(1).cast("long").alias("_some")))
     picks = settle(passes.where("_some > 0").select("source", "_cut", "_some").unionByName(close)
                    .groupBy("source", "_cut").agg(F.sum("_some").alias("_some")), "picks")
-    ranked = _by_source(rows, shares.select("source", "_p"), "odds").withColumn("_rank", _rank())
-    limits = _row_limits(ranked.where("_rank IS NOT NULL").select("source", "_rank", "_key", "_row"), picks)
-    limits = limits.groupBy("source").agg(F.collect_list(F.struct("_pick", "_limit")).alias("_limits"))
+    at_limits = picks.groupBy("source").agg(F.collect_list("_cut").alias("_picks")).withColumnRenamed("source", "_s")
     plan = (shares.drop("_times", "_rest").join(rules.select(F.col("source").alias("_t"), "_rules"), F.col("source").eqNullSafe(F.col("_t")), "left")
-            .join(limits.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s", "_t"))
-    rows = _by_source(rows, plan, "plan").withColumn("_rank", _rank())
-    some = F.exists("_limits", lambda x: (x["_pick"] == _at()) & (F.col("_row") <= x["_limit"]))
-    chosen = F.col("_rank").isNotNull() & F.coalesce(_taken() | F.coalesce(some, F.lit(False)), F.lit(False))
-    return (rows.withColumn("copies", (F.col("_whole") + chosen.cast("long")).cast("long"))
+            .join(at_limits, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s", "_t"))
+    rows = _by_source(_draw(docs, seed) if carry else slim_rows, plan, "plan").withColumn("_rank", _rank())
+    ranked = F.col("_rank").isNotNull()
+    at_limit = F.coalesce(ranked & F.exists("_picks", lambda x: x == _at()), F.lit(False))
+    whole = rows.where(~at_limit).withColumn("_chosen", ranked & _taken()).drop("_rules", "_picks")
+    # Only here rows are numbered, so only these are stored.
+    some = settle(rows.where(at_limit).drop("_rules", "_picks").withColumn("_row", F.monotonically_increasing_id()), "some")
+    limits = settle(_row_limits(some.select("source", "_rank", "_key", "_row"), picks).withColumnRenamed("source", "_s"), "limits")
+    some = (some.join(limits, F.col("source").eqNullSafe(F.col("_s")) & (_at() == F.col("_pick")), "left")
+            .withColumn("_chosen", F.coalesce(F.col("_row") <= F.col("_limit"), F.lit(False))))
+    rows = whole.unionByName(some.select(whole.columns))
+    return (rows.withColumn("copies", (F.col("_whole") + F.col("_chosen").cast("long")).cast("long"))
             .select(*keep, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")))
 
 
