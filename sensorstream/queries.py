@@ -927,6 +927,8 @@ def q_stream_windowed_rejects(spark, sf_dir):
 #: Micro-batches of the late feed, and how long every 37th message is held up.
 LATE_SLICES, LATE_BY = 24, "15 MINUTES"
 _LATE_MS = 15 * 60_000
+#: A micro-batch of the late feed has more than one file from twice so many rows on.
+LATE_FILE_ROWS = 10_000
 
 _LATE_SQL = f"""
 WITH e AS (
@@ -966,12 +968,13 @@ def q_stream_late_rows(spark, sf_dir):
     env = env.withColumn("timestamp", F.when(late, F.col("timestamp") + F.expr(f"INTERVAL {LATE_BY}"))
                          .otherwise(F.col("timestamp")))
     ms = F.unix_millis("timestamp")
-    lo, hi = env.agg(F.min(ms), F.max(ms)).first()
+    lo, hi, n = env.agg(F.min(ms), F.max(ms), F.count(F.lit(1))).first()
+    files = max(1, min(cluster_cores(spark), n // (LATE_SLICES * LATE_FILE_ROWS)))
     env = env.withColumn("slice", F.floor((ms - F.lit(lo)) / F.lit((hi - lo) // LATE_SLICES + 1)).cast("int"))
     base = scratch_path(spark, "stream", "late")
     for first, last in ((0, LATE_SLICES // 2 - 1), (LATE_SLICES // 2, LATE_SLICES)):
-        replay_files(env, f"{base}/bus", f"{base}/staged", "slice", first, last)
-        stream = B.read_bus(spark, None, "parquet", f"{base}/bus", max_files_per_trigger=1)
+        replay_files(env, f"{base}/bus", f"{base}/staged", "slice", first, last, files)
+        stream = B.read_bus(spark, None, "parquet", f"{base}/bus", max_files_per_trigger=files)
         q = J.windowed_averages(stream, f"{base}/avg", f"{base}/checkpoint", state_partitions=1,
                                 progress_path=f"{base}/progress")
         _await(q)
