@@ -696,6 +696,11 @@ def _await(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+def _bus_records(spark, sf_dir, **options) -> DataFrame:
+    """The readings as bus records, dealt to all cores for the replay."""
+    return X.messages(X.dealt(X.events(spark, sf_dir), cluster_cores(spark)), **options)
+
+
 def _replay_run(spark, env: DataFrame, name: str, build, slices: int = 3,
                 progress: list | None = None) -> str:
     """Write ``env`` as ``slices`` time-ordered file drops; after each drop run
@@ -719,7 +724,7 @@ def _replay_run(spark, env: DataFrame, name: str, build, slices: int = 3,
 def q_stream_tumbling_avg_1m(spark, sf_dir):
     """Bus -> decode -> watermark 5 s -> 1-minute average -> keyed
     table (update mode), run incrementally; the table equals the batch result."""
-    env = X.messages(X.events(spark, sf_dir))
+    env = _bus_records(spark, sf_dir)
     base = _replay_run(spark, env, "avg1m",
                        lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "1 minute", "5 seconds",
                                                             state_partitions=cluster_cores(spark),
@@ -731,7 +736,7 @@ def q_stream_tumbling_avg_1m(spark, sf_dir):
 @register("stream_mean_5m", ORACLE["tumbling_mean_5m"])
 def q_stream_mean_5m(spark, sf_dir):
     """In-order variant (watermark 0 s), 5-minute (max ts, sum, count)."""
-    env = X.messages(X.events(spark, sf_dir))
+    env = _bus_records(spark, sf_dir)
     base = _replay_run(spark, env, "mean5m",
                        lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "5 minutes", "0 seconds",
                                                             parts=True, state_partitions=cluster_cores(spark),
@@ -747,7 +752,7 @@ SELECT device_id, ts, temperature, humidity, status, event_id // 3 AS bus_offset
 FROM r WHERE ({_REASON_SQL}) IS NULL""")
 def q_stream_raw_table(spark, sf_dir):
     """Decoded readings stored in a keyed raw table by a stream."""
-    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    env = _bus_records(spark, sf_dir, corrupt=True)
     base = _replay_run(spark, env, "raw",
                        lambda s, b, ck: J.readings_to_tables(s, f"{b}/raw", f"{b}/rejects", ck))
     raw = TB.read_table(spark, f"{base}/raw")
@@ -757,7 +762,7 @@ def q_stream_raw_table(spark, sf_dir):
 @register("stream_quarantine", ORACLE["quarantine_rows"])
 def q_stream_quarantine(spark, sf_dir):
     """K6: the same stream's rejects, written per micro-batch."""
-    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    env = _bus_records(spark, sf_dir, corrupt=True)
     base = _replay_run(spark, env, "rejects",
                        lambda s, b, ck: J.readings_to_tables(s, f"{b}/raw", f"{b}/rejects", ck))
     rej = spark.read.parquet(f"{base}/rejects")
@@ -775,7 +780,7 @@ SELECT device_id, window_start, window_end, avg_temperature, bus_offset FROM k W
 def q_stream_route(spark, sf_dir):
     """One stream over two topics, routed per micro-batch; this is
     the averages table it keeps (last write wins per device and window)."""
-    env = X.messages(X.events(spark, sf_dir), two_topics=True)
+    env = _bus_records(spark, sf_dir, two_topics=True)
     base = _replay_run(spark, env, "route",
                        lambda s, b, ck: J.route_topics_to_tables(s, f"{b}/raw", f"{b}/avg", f"{b}/rejects", ck))
     avg = TB.read_table(spark, f"{base}/avg")
@@ -790,7 +795,7 @@ FROM events GROUP BY 1""")
 def q_stream_route_counts(spark, sf_dir):
     """Rows stored per route by the routed stream (raw readings, all
     average messages incl. superseded versions, rejected unknown topics)."""
-    env = X.messages(X.events(spark, sf_dir), two_topics=True)
+    env = _bus_records(spark, sf_dir, two_topics=True)
     base = _replay_run(spark, env, "route_counts",
                        lambda s, b, ck: J.route_topics_to_tables(s, f"{b}/raw", f"{b}/avg", f"{b}/rejects", ck))
     raw = TB.read_table(spark, f"{base}/raw").agg(F.count(F.lit(1)).alias("n")).withColumn("target", F.lit("raw"))
@@ -811,7 +816,7 @@ def q_stream_averages_bus(spark, sf_dir):
     """Windows appended once, when final, as JSON messages to a topic;
     read back from the topic and decoded.  Windows not yet closed by the
     watermark (end > max event time - 5 s) are still in state, by design."""
-    env = X.messages(X.events(spark, sf_dir))
+    env = _bus_records(spark, sf_dir)
     base = _replay_run(spark, env, "bus",
                        lambda s, b, ck: J.averages_to_bus(s, f"{b}/topic", ck,
                                                           state_partitions=cluster_cores(spark),
@@ -840,7 +845,7 @@ def q_stream_sql_tumbling_avg(spark, sf_dir):
         return start_query(agg, S.upsert_sink(f"{b}/avg", J.AVG_KEYS), "sql_avg", ck, "update",
                            no_data_batches=False, state_partitions=cluster_cores(spark))
 
-    env = X.messages(X.events(spark, sf_dir))
+    env = _bus_records(spark, sf_dir)
     base = _replay_run(spark, env, "sqlavg", build)
     return _ntz(TB.read_table(spark, f"{base}/avg"), "window_start", "window_end")
 
@@ -881,7 +886,7 @@ def q_stream_decode_metrics(spark, sf_dir):
     """K8: per-batch success/error counts observed inside the decode stream,
     turned into METRIC rows from the query progress and summed per metric."""
     progress: list = []
-    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    env = _bus_records(spark, sf_dir, corrupt=True)
     _replay_run(spark, env, "metrics",
                 lambda s, b, ck: J.readings_to_tables(s, f"{b}/raw", f"{b}/rejects", ck), progress=progress)
     m = progress_metrics(spark, "readings_to_tables", progress)
@@ -908,7 +913,7 @@ def q_stream_route_rejects(spark, sf_dir):
     """The routed consumer over two topics with broken readings: unknown
     topics and bad readings land in one quarantine (ISO times are accepted by
     this consumer's SQL-then-ISO time parse)."""
-    env = X.messages(X.events(spark, sf_dir), corrupt=True, two_topics=True)
+    env = _bus_records(spark, sf_dir, corrupt=True, two_topics=True)
     base = _replay_run(spark, env, "route_rejects",
                        lambda s, b, ck: J.route_topics_to_tables(s, f"{b}/raw", f"{b}/avg", f"{b}/rejects", ck))
     return spark.read.parquet(f"{base}/rejects").select("topic", "partition", "offset", D.REASON)
@@ -917,7 +922,7 @@ def q_stream_route_rejects(spark, sf_dir):
 @register("stream_windowed_rejects", ORACLE["quarantine_rows"])
 def q_stream_windowed_rejects(spark, sf_dir):
     """K6: what a windowed job rejects is stored, not dropped."""
-    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    env = _bus_records(spark, sf_dir, corrupt=True)
     base = _replay_run(spark, env, "window_rejects",
                        lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, rejects_path=f"{b}/rejects",
                                                             state_partitions=cluster_cores(spark)))
@@ -947,7 +952,7 @@ d AS (SELECT DISTINCT s.batch, device_id, s.ts // 60000 AS w, (s.ts // 60000 + 1
 def q_stream_windowed_raw(spark, sf_dir):
     """K5: the raw readings that a windowed job keeps, from the one reading of
     the bus that also gives its windows and its rejects."""
-    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    env = _bus_records(spark, sf_dir, corrupt=True)
     base = _replay_run(spark, env, "window_raw",
                        lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, rejects_path=f"{b}/rejects", raw_path=f"{b}/raw",
                                                             state_partitions=cluster_cores(spark)))
@@ -994,7 +999,7 @@ SELECT 'decoded_rejected' AS metric,
        CAST(SUM(CASE WHEN ({_REASON_SQL}) IS NOT NULL THEN 1 ELSE 0 END) AS DOUBLE) AS value FROM events""")
 def q_stream_pipeline_metrics(spark, sf_dir):
     """K8: row and reject counts that every micro-batch stored, summed from the table."""
-    env = X.messages(X.events(spark, sf_dir), corrupt=True)
+    env = _bus_records(spark, sf_dir, corrupt=True)
     base = _replay_run(spark, env, "metric_table",
                        lambda s, b, ck: J.readings_to_tables(s, f"{b}/raw", f"{b}/rejects", ck,
                                                              metrics_path=f"{b}/metrics"))
@@ -1011,7 +1016,7 @@ def q_stream_sql_insert(spark, sf_dir):
         declare_sink("insert_target", f"{b}/avg", J.AVG_KEYS, ck, state_partitions=cluster_cores(spark))
         return run_sql(spark, "INSERT INTO insert_target " + tumbling_avg_sql("insert_source", exact_scale=SCALE))
 
-    base = _replay_run(spark, X.messages(X.events(spark, sf_dir)), "sqlinsert", build)
+    base = _replay_run(spark, _bus_records(spark, sf_dir), "sqlinsert", build)
     return _ntz(TB.read_table(spark, f"{base}/avg"), "window_start", "window_end")
 
 
@@ -1034,7 +1039,7 @@ def q_stream_sql_insert_bus(spark, sf_dir):
             FROM iot_sensor_data
             GROUP BY device_id, window(ts, '1 minute');""")
 
-    base = _replay_run(spark, X.messages(X.events(spark, sf_dir)), "sqlinsertbus", build)
+    base = _replay_run(spark, _bus_records(spark, sf_dir), "sqlinsertbus", build)
     return _windows_on_bus(spark, f"{base}/topic")
 
 
@@ -1045,7 +1050,7 @@ SELECT device_id, {_bucket('ts', FIVE_MIN_US)} AS window_start, {_bucket('ts', F
 FROM r GROUP BY 1, 2, 3""")
 def q_stream_record_time_5m(spark, sf_dir):
     """Windows on the bus record time, here seven minutes after the reading."""
-    env = X.messages(X.events(spark, sf_dir))
+    env = _bus_records(spark, sf_dir)
     env = env.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 7 MINUTES"))
     base = _replay_run(spark, env, "recordtime",
                        lambda s, b, ck: J.windowed_averages(s, f"{b}/avg", ck, "5 minutes", "0 seconds", parts=True,

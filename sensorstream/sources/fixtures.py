@@ -40,6 +40,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def dealt(ev: DataFrame, parts: int) -> DataFrame:
+    """``ev`` dealt evenly to ``parts`` tasks.  The table's files follow the time,
+    so without this a time range is encoded and written by the few tasks whose
+    files it lies in, and its few files are read by as few."""
+    return ev.repartition(parts, "event_id")
+
+
 def _status() -> Column:
     return (F.when(F.col("event_type") == "error", F.lit("FAIL"))
             .when(F.col("event_type") == "purchase", F.lit("WARN"))
